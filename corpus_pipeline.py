@@ -1,3 +1,63 @@
-STAGES = []
+"""The corpus pipeline: documents go through the stages one after another, each written and read again."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import queries, toxicity
+from tidemark.llm.common import Scratch
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.mixing import mix
+from tidemark.llm.packing import pack
+
+#: From this chance of toxicity on, a document goes.
+TOXIC_FROM = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, queries.read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("score") < TOXIC_FROM).select("row.*")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; n_chars counts what is left of the text."""
+    out = line_dedup(docs).select("row.*", "kept_text")
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix(docs).select("row.*")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, queries.tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("minhash", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Toxicity, shingle similarity on deduplicated lines and packing have no SQL form.
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = queries.read(spark, sf_dir, "documents")
+    scratch = Scratch(spark, "pipeline")
+    for _, stage in STAGES[:-1]:
+        after = scratch.save(stage(spark, docs, sf_dir))
+        scratch.drop(docs)
+        docs = after
+    return STAGES[-1][1](spark, docs, sf_dir)

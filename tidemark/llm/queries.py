@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import hmm, quality, toxicity
+from .fingerprint import fingerprints
+from .lattice import near_vectors
+from .licenses import TEMPLATES, scan, template_words
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .mixing import mix
@@ -41,10 +45,51 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def _remainder(by: int) -> Column:
+    """crc32 of the id as text, modulo ``by``; null ids have none."""
+    return F.crc32(F.col("doc_id").cast("string")) % by
+
+
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    trees = quality.fit(docs, labels.where(_remainder(5) != 0))
+    out = quality.score(docs, trees).select("row.doc_id", "score")
+    return out.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(_remainder(3) != 1))
+    out = toxicity.score(docs, model).select("row.doc_id", "score")
+    return out.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(read(spark, sf_dir, "documents"), _remainder(7) == 2)
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_lattice": op2_lattice,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
+    "op5_fingerprint": op5_fingerprint,
+    "op6_toxicity": op6_toxicity,
+    "op7_hmm": op7_hmm,
     "op8_mixing": op8_mixing,
+    "op9_licenses": op9_licenses,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -69,6 +114,18 @@ links AS (
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) AS component_id,
   least(s.doc_id, coalesce(m, s.doc_id)) = s.doc_id AS kept
 FROM s LEFT JOIN c ON s.doc_id = c.doc_id""",
+    "op2_lattice": """
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach(vec_id, other) AS (
+  SELECT a, b FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), c AS (SELECT vec_id, min(other) AS m FROM reach GROUP BY vec_id), n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT x.vec_id, coalesce(n, 0) AS n_links, least(x.vec_id, coalesce(m, x.vec_id)) AS component_id, least(x.vec_id, coalesce(m, x.vec_id)) = x.vec_id AS kept
+FROM embeddings x LEFT JOIN c ON x.vec_id = c.vec_id LEFT JOIN n ON x.vec_id = n.vec_id""",
     "op8_mixing": """
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
 n AS (SELECT source, count(*) AS n FROM d GROUP BY source),
@@ -90,6 +147,23 @@ SELECT doc_id, source, rate, copies::BIGINT AS copies, copy,
   (CAST('0x' || substr(sha256('mix-order|' || doc_id || '|' || copy), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS mix_key,
   sha256(text) AS text_sha256
 FROM c""",
+    "op9_licenses": f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS k, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), p AS (
+  SELECT *, list_filter(range(1, len(ws) + 1), lambda i: (ws[i] = 'cc' AND ws[i + 1] = 'by') IS TRUE) AS c,
+    list_filter(range(1, len(ws) + 1), lambda i: (ws[i] = 'general' AND ws[i + 1] = 'public' AND ws[i + 2] = 'license') IS TRUE) AS g,
+    list_filter(range(1, len(ws) + 1), lambda i: (ws[i] = 'all' AND ws[i + 1] = 'rights' AND ws[i + 2] = 'reserved') IS TRUE) AS r FROM d
+), t(label, words) AS (VALUES {", ".join(f"('{k}', string_split('{' '.join(ws)}', ' '))" for k, ws in template_words(TEMPLATES).items())}),
+b AS (SELECT k, ws, label, words, unnest(range(0, greatest(len(ws) - 1, 0) // len(words) + 1)) AS i FROM d, t WHERE list_has_any(ws, words)),
+s AS (SELECT k, label, max(len(list_distinct(list_intersect(words, ws[i * len(words) + 1 : (i + 2) * len(words)])))::DOUBLE / len(list_distinct(words))) AS share FROM b GROUP BY k, label),
+f AS (SELECT k, list(label) AS labels, max(share) AS share FROM s WHERE share >= 0.8 GROUP BY k)
+SELECT doc_id, len(ws) AS n_words, len(c) + len(g) + len(r) AS n_base, list_min(c || g || r) - 1 AS first_word, list_max(c || g || r) - 1 AS last_word,
+  concat_ws(',', CASE WHEN len(c) > 0 THEN 'cc-by' END, CASE WHEN len(g) > 0 THEN 'gpl' END, CASE WHEN len(r) > 0 THEN 'reserved' END) AS base_labels,
+  array_to_string(list_sort(list_distinct(coalesce(labels, []::VARCHAR[]) || list_filter(['cc-by', 'gpl', 'reserved'],
+    lambda x: (x = 'cc-by' AND len(c) > 0) OR (x = 'gpl' AND len(g) > 0) OR (x = 'reserved' AND len(r) > 0)))), ',') AS labels,
+  CASE WHEN len(c) + len(g) + len(r) > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM p LEFT JOIN f ON p.k = f.k""",
     "op10_line_dedup": f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents
