@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, batch_rows, components
@@ -82,6 +82,25 @@ def _sets(size: int):
     return run
 
 
+def _prefix_pairs(open_rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Of documents (rep, n, comp), all pairs in different components that may be similar enough: (a, na, b, nb).
+
+    An exact join with prefix, length and positional filters: a document's shingles are ordered by how few of these
+    documents have them; a pair shares one of the first n - need + 1 of both, and has room for enough after it.
+    What a document alone has stands first, so one that is edited too much meets nobody.
+    """
+    each = scratch.save(open_rows.join(sets, F.col("rep") == F.col("doc_id")).select("rep", "n", "comp", F.explode("set").alias("s")))
+    df = scratch.save(each.groupBy("s").agg(F.count(F.lit(1)).alias("df")))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "s"))
+    first = each.join(df, "s").withColumn("pos", place).where("df > 1").where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    first = scratch.save(first.select("s", "rep", "n", "comp", "pos"))
+    other = first.select("s", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("pos").alias("pb"))
+    # 100 * x >= percent * (na + nb - x) for the overlap x
+    room = F.least(F.col("n") - F.col("pos"), F.col("nb") - F.col("pb")) + 1
+    fits = room * (100 + percent) >= (F.col("n") + F.col("nb")) * percent
+    return first.join(other, "s").where("comp < cb").where(fits).select(F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, rounds: int = 3) -> DataFrame:
     """Groups of documents whose shingle sets have a Jaccard similarity of ``percent`` or more, linked in chains.
 
@@ -89,9 +108,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     With 32 bands of 4 coordinates a pair at 0.8 shares no band with a chance below 1e-7.
 
     Documents of equal sets are one class from the start, so copies cost nothing more. In each bucket a pivot is
-    verified against the others, a few rounds with new pivots; then only pairs whose documents are still in
-    different components are looked at, all of them. So a bucket of thousands of near copies isn't expanded into
-    its pairs, and no link between components is lost.
+    verified against the others, a few rounds with new pivots. What is then left in buckets of several components
+    goes through an exact join on the rarest shingles, across components only. So a bucket of thousands of near
+    copies isn't expanded into its pairs, and no link between components is lost.
 
     Null or empty text, or no words: an empty set, linked with nothing. Rows that share an id are one document: it
     has the links of all of them and the largest of their set sizes. Rows with a null id give one row with that id
@@ -148,10 +167,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 F.greatest("rep", "p.rep").alias("b"), F.when(F.col("rep") < F.col("p.rep"), F.col("p.n")).otherwise(F.col("n")).alias("nb"),
             )
         else:
-            other = open_rows.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = open_rows.join(other, "key").where("comp < cb").where(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent).select(
-                F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb"
-            )
+            pairs = _prefix_pairs(open_rows.select("rep", "n", "comp").distinct(), sets, percent, scratch)
         new = verified(pairs.distinct())
         edges = scratch.save(new.unionByName(edges))
         if comps is not None:
