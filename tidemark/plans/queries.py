@@ -139,14 +139,14 @@ def q_code_regex_product(spark, sf_dir):
     return rows.join(wanted, "code", "left").select("s_suppkey", "code", normalize.product(F.col("code")).alias("product"), F.coalesce("wanted", F.lit(False)).alias("wanted"))
 
 
-@query("""WITH c AS (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-10-20'), s AS (SELECT printf('%06d', s_suppkey) || '.SH' AS code, s_suppkey, s_name FROM supplier)
+@query("""WITH c AS (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-11-03'), s AS (SELECT printf('%06d', s_suppkey) || '.SH' AS code, s_suppkey, s_name FROM supplier)
 SELECT code FROM s WHERE s_suppkey NOT IN (SELECT l_suppkey FROM c) AND s_name <> '' AND s_suppkey % 10 <> 0""")
 def q_anti_delisted(spark, sf_dir):
     def code(c):
         return F.concat(F.lpad(F.col(c).cast("string"), 6, "0"), F.lit(".SH")).alias("code")
 
     stocks = b.table(spark, sf_dir, "supplier")
-    current = b.table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit("1998-10-20").cast("timestamp_ntz")).select(code("l_suppkey")).distinct()
+    current = b.table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit("2001-11-03").cast("timestamp_ntz")).select(code("l_suppkey")).distinct()
     details = stocks.where("s_suppkey % 10 <> 0").select(code("s_suppkey"), F.col("s_name").alias("InstrumentName"))
     return feed.delisted_candidates(stocks.select(code("s_suppkey")), current, details)
 
@@ -366,10 +366,10 @@ def _base(spark, sf_dir) -> DataFrame:
     return out.withColumn("amihud", F.try_divide(F.abs("ret"), F.nullif(F.col("amount"), F.lit(0.0))))
 
 
-@query(f"WITH {b.BARS} SELECT trade_date, stock_code, amount, round(avg(amount) OVER {_W20}, 6) AS adv20, round(avg(amount) OVER {_W60}, 6) AS adv60, round(quantile_cont(amount, 0.5) OVER {_W20}, 6) AS median_amount20, round(quantile_cont(amount, 0.5) OVER {_W60}, 6) AS median_amount60 FROM bars")
+@query(f"WITH {b.BARS} SELECT trade_date, stock_code, amount, round(avg(amount) OVER {_W20}, 7) AS adv20, round(avg(amount) OVER {_W60}, 7) AS adv60, round(quantile_cont(amount, 0.5) OVER {_W20}, 7) AS median_amount20, round(quantile_cont(amount, 0.5) OVER {_W60}, 7) AS median_amount60 FROM bars")
 def q_adv20_adv60(spark, sf_dir):
     out = liq.average_amount(b.bars(spark, sf_dir))
-    return out.select("trade_date", "stock_code", "amount", *_r("adv20", "adv60", "median_amount20", "median_amount60", digits=6))
+    return out.select("trade_date", "stock_code", "amount", *_r("adv20", "adv60", "median_amount20", "median_amount60", digits=7))
 
 
 @query(f"WITH {_RET} SELECT trade_date, stock_code, round(amihud * 1e9::DOUBLE, 6) AS amihud, round(quantile_cont(amihud, 0.5) OVER {_W20} * 1e9::DOUBLE, 6) AS amihud20, round(quantile_cont(amihud, 0.5) OVER {_W60} * 1e9::DOUBLE, 6) AS amihud60 FROM a")
