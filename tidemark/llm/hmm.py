@@ -15,7 +15,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, batch_rows
@@ -253,7 +253,7 @@ def _score(lang: Language):
             for i in range(b.num_rows):
                 obs, lens, held, idx = _sequences(b, i)
                 known = b.column(b.schema.get_field_index("known"))[i].values
-                c = np.zeros(int(idx.max()) + 1, np.int64)
+                c = b.column(b.schema.get_field_index("counts"))[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
                 if known is not None and len(known):
                     c[known.field("pos").to_numpy(zero_copy_only=False)] = known.field("c").to_numpy(zero_copy_only=False)
                 c = c[idx]
@@ -289,8 +289,13 @@ def score_texts(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col:
     chunks = scratch.save(rows.mapInArrow(_chunks(classes, chunk_bytes), CHUNK_SCHEMA))
     batch_rows(spark, 2)
     each = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts", "classes")).alias("pos", "w")).select("chunk", "pos", F.col("w.words").alias("h"), F.col("w.counts").alias("n"), F.col("w.classes").alias("cls"))
-    vocabulary = scratch.save(each.groupBy("h").agg(F.sum("n").alias("c"), F.min("cls").alias("cls")).where("c > 0"))
-    per = vocabulary.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toPandas()  # at most `classes` rows
+    # A word has a row for each chunk that holds it; they meet once, for the word's count and its number of chunks.
+    word = Window.partitionBy("h")
+    met = each.select(
+        "chunk", "pos", "cls", F.sum("n").over(word).alias("c"), F.count(F.lit(1)).over(word).alias("m"), F.row_number().over(word.orderBy("chunk")).alias("k")
+    )
+    met = scratch.save(met.select("chunk", "pos", "cls", "c", (F.col("m") > 1).alias("shared"), (F.col("k") == 1).alias("first")))
+    per = met.where("first and c > 0").groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toPandas()  # at most `classes` rows
     tokens, distinct = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
     tokens[per.cls], distinct[per.cls] = per.c, per.v
 
@@ -316,6 +321,7 @@ def score_texts(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col:
         model = improve(table[-1], table[classes : classes + states], table[:classes])
     lang = Language(model, int(tokens.sum()), int(distinct.sum()), tokens, distinct)
 
-    known = each.select("chunk", "pos", "h").join(vocabulary.select("h", "c"), "h").groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("known"))
-    full = chunks.select("chunk", "ids", "held", "lens", "idx", "classes").join(known, "chunk", "left").drop("chunk")
+    # A chunk knows by itself the counts of words that no other has.
+    known = met.where("shared").groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("known"))
+    full = chunks.select("chunk", "ids", "held", "lens", "idx", "counts", "classes").join(known, "chunk", "left").drop("chunk")
     return full.mapInArrow(_score(lang), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
