@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows
+from .common import Scratch, batch_rows, with_row
 from .textbytes import LOWER, text_bytes
 
 #: Symbols of the character model: 0 what is no letter, 1 to 26 a to z, 27 any other letter.
@@ -113,7 +114,7 @@ def viterbi(span: str, model: CharModel, beam: int = 64) -> str:
         else:
             arcs += [(x, -1.0) for x in LEET.get(c, "")]
             if c in GAPS or c == before:
-                arcs.append(("", -0.7))
+                arcs.append(("", -0.7 if c in GAPS else -4.0))
             arcs.append((" ", -2.0 if c not in GAPS else 0.0))
         best: dict[int, tuple[float, str]] = {}
         for state, (score, read) in states.items():
@@ -194,19 +195,26 @@ def _texts(b: pa.RecordBatch, column: int, restore: Restorer | None) -> Iterator
         yield restore(t) if restore and flags[i] else t
 
 
-def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each fold and class that hold a feature; columns text, toxic, fold."""
+def _feature_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features, each with the word before it, and in which class and fold they stand; columns text, toxic, fold.
+
+    A word that is used in many places tells more than one that many copies of a text repeat.
+    """
 
     def flush() -> pa.RecordBatch:
-        cols = np.array(list(seen.values()), np.int64).reshape(-1, 4)
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array(cols[:, j]) for j in range(4))], ["feature", "c0", "c1", "t0", "t1"])
+        flags = np.array(list(seen.values()), np.int64)
+        cols = [pa.array([f for f, _ in seen], pa.string()), pa.array([p for _, p in seen], pa.int64())]
+        return pa.RecordBatch.from_arrays([*cols, *(pa.array(flags >> j & 1) for j in range(4))], ["feature", "before", "c0", "c1", "t0", "t1"])
 
-    seen: dict[str, list[int]] = {}
+    seen: dict[tuple[str, int], int] = {}
     for b in batches:
         for t, toxic, fold in zip(_texts(b, 0, None), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            for f in {f for w in tokens(t) for f in features(w)}:
-                seen.setdefault(f, [0, 0, 0, 0])[2 * toxic + fold] += 1
-        if len(seen) > 200_000:
+            bit, before = 1 << (2 * toxic + fold), 0
+            for w in _WORD.findall(t):
+                for f in features(w):
+                    seen[f, before] = seen.get((f, before), 0) | bit
+                before = zlib.crc32(w.encode())
+        if len(seen) > 300_000:
             yield flush()
             seen = {}
     yield flush()
@@ -249,8 +257,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _weights(c: np.ndarray, t: np.ndarray, clean: int, toxic: int) -> np.ndarray:
-    return np.log((t + 0.3) / (toxic + 1)) - np.log((c + 0.3) / (clean + 1))
+def _weights(c: np.ndarray, t: np.ndarray, clean: int, toxic: int, surely: float = 22.0) -> np.ndarray:
+    """Log odds of features, 0 where a likelihood-ratio test can't tell them from chance among as many features."""
+    share = toxic / (toxic + clean)
+    ratio = 2 * (t * np.log(np.maximum(t, 1e-9) / ((t + c) * share + 1e-12) + 1e-12) + c * np.log(np.maximum(c, 1e-9) / ((t + c) * (1 - share) + 1e-12)))
+    odds = np.log((t + 0.3) / (toxic + 1)) - np.log((c + 0.3) / (clean + 1))
+    return np.where((ratio >= surely) & (odds > 1.5), odds, 0.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 20_000, lexicon_size: int = 20_000) -> ToxicModel:
@@ -271,26 +283,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         picked = part if picked is None else picked.unionByName(part)
     scratch = Scratch(docs.sparkSession, "toxicity")
     picked = scratch.save(picked)
-    some = scratch.save(rows.join(F.broadcast(picked), "id").select("text", "toxic", F.pmod(turn, F.lit(2)).cast("int").alias("fold")))  # at most 2 x sample ids
+    some = scratch.save(rows.join(F.broadcast(picked), "id").select("text", "toxic", F.pmod(turn, F.lit(2)).cast("int").alias("fold")).dropDuplicates(["text", "toxic"]))  # at most 2 x sample ids
     n = {(r["toxic"], r["fold"]): r["count"] for r in some.groupBy("toxic", "fold").count().collect()}
     lex: list[dict[str, float]] = [{}, {}, {}]
     coef = np.array([-30.0, 0, 0, 0])
     if all(n.get((y, f), 0) for y in (0, 1) for f in (0, 1)):
-        counts = some.mapInArrow(_feature_counts, "feature string, c0 long, c1 long, t0 long, t1 long")
-        sums = counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("c0", "c1", "t0", "t1")])
-        share = (n[0, 0] + n[0, 1]) / (n[1, 0] + n[1, 1])
+        kinds = ("c0", "c1", "t0", "t1")
+        places = some.mapInArrow(_feature_places, "feature string, before long, c0 long, c1 long, t0 long, t1 long")
+        sums = places.groupBy("feature", "before").agg(*[F.max(c).alias(c) for c in kinds]).groupBy("feature").agg(*[F.sum(c).alias(c) for c in kinds])
+        sums = scratch.save(sums)
+        c0, c1, t0, t1 = sums.agg(*[F.sum(c) for c in kinds]).first()
+        share = (c0 + c1 + 1) / (t0 + t1 + 1)
         top = (
             sums.withColumn("t", F.col("t0") + F.col("t1")).where("t >= 3")
             .where((F.col("t") * share) > 4 * (F.col("c0") + F.col("c1")))
             .orderBy(F.desc("t"), "feature").limit(lexicon_size).toPandas()
         )
-        for i, (c, t, clean, toxic, least) in enumerate((
-            (top.c1, top.t1, n[0, 1], n[1, 1], 2), (top.c0, top.t0, n[0, 0], n[1, 0], 2),
-            (top.c0 + top.c1, top.t0 + top.t1, n[0, 0] + n[0, 1], n[1, 0] + n[1, 1], 3),
-        )):
-            w = _weights(c.to_numpy(), t.to_numpy(), clean, toxic)
-            use = (w > 1.5) & (t.to_numpy() >= least)
-            lex[i] = dict(zip(top.feature[use], w[use].tolist(), strict=True))
+        for i, (c, t, clean, toxic) in enumerate(((top.c1, top.t1, c1, t1), (top.c0, top.t0, c0, t0), (top.c0 + top.c1, top.t0 + top.t1, c0 + c1, t0 + t1))):
+            w = _weights(c.to_numpy(float), t.to_numpy(float), clean, toxic)
+            lex[i] = dict(zip(top.feature[w > 0], w[w > 0].tolist(), strict=True))
         # Each fold is measured with the other fold's lexicon, as unseen documents will be.
         got = some.mapInArrow(_measures(lex[:2]), "toxic int, x array<double>").toPandas()
         coef = _logistic(np.stack(got.x), got.toxic.to_numpy(float))
@@ -316,4 +327,4 @@ def score(docs: DataFrame, model: ToxicModel, *, text_col: str = "text") -> Data
     """``(row, score)``: the input row as a struct and the chance that its text is toxic; null text as empty."""
     batch_rows(docs.sparkSession, 1000)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_score(model), f"row {docs.schema.simpleString()}, score double")
+    return rows.mapInArrow(_score(model), with_row(docs, score="double"))
