@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _own_dir: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -57,8 +61,23 @@ class Scratch:
                 p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def with_row(docs: DataFrame, **columns: str) -> T.StructType:
+    """A schema of the whole input row, whatever its columns are called, and further columns."""
+    out = T.StructType([T.StructField("row", docs.schema)])
+    for name, kind in columns.items():
+        out = out.add(name, kind)
+    return out
+
+
 def batch_rows(spark: SparkSession, rows: int) -> None:
-    """Rows in an Arrow batch, so that batches of long texts stay small in Python."""
+    """Ready for Python in tasks: the package on the workers' path, and so many rows in an Arrow batch, so that
+    batches of long texts stay small."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

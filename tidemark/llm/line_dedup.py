@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows
+from .common import Scratch, batch_rows, with_row
 
 #: What is stripped from both ends of a line before it is compared.
 STRIP = b" \t\n\x0b\x0c\r"
@@ -82,7 +82,7 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     scratch = Scratch(spark, "line-dedup")
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
     slim = docs.select(order.alias("doc"), F.col(text_col).alias("text"))
-    cuts = sorted(set(slim.select("doc").approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01) or []))
+    cuts = sorted(set(slim.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
     part = sum((F.when(F.col("doc") > int(c), 1).otherwise(0) for c in cuts), F.lit(0))
     pairs = scratch.save(slim.mapInArrow(_keys(min_chars), "doc long, k1 long, k2 long").withColumn("batch", part), "batch")
 
@@ -107,5 +107,4 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     )
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), order.alias("doc"), F.col(text_col).alias("text"))
     joined = rows.join(drops, "doc", "left").select("row", "text", "drop")
-    kind = docs.schema.simpleString()
-    return joined.mapInArrow(_rewrite(min_chars), f"row {kind}, kept_text string, n_lines long, n_dropped long")
+    return joined.mapInArrow(_rewrite(min_chars), with_row(docs, kept_text="string", n_lines="long", n_dropped="long"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows
+from .common import batch_rows, with_row
 from .textbytes import BLANK, LOWER, Words, shingles, text_bytes, words
 
 _CLASS = np.zeros((256, 12), bool)
@@ -193,4 +193,4 @@ def score(docs: DataFrame, trees: Trees, *, text_col: str = "text") -> DataFrame
     """``(row, score)``: the input row as a struct and the chance of label 1; null text as empty."""
     batch_rows(docs.sparkSession, 1000)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_score(trees), f"row {docs.schema.simpleString()}, score double")
+    return rows.mapInArrow(_score(trees), with_row(docs, score="double"))
