@@ -76,7 +76,7 @@ class CharModel(NamedTuple):
                 k = 0
                 for x in s[i - ORDER + 1 : i + 1]:
                     k = k * SYMBOLS + x
-                own[k] += 1
+                own[k] += 20  # so that a few words outweigh the smoothing
         p = smooth(counts)
         return cls(np.log((1 - share) * p + share * smooth(own) if lexicon else p))
 
