@@ -77,3 +77,62 @@ def test_bars_of_a_stream(spark, tmp_path):
     stream.writeStream.trigger(availableNow=True).format("memory").queryName("bars5").outputMode("complete").start().awaitTermination()
     got = sorted((r.open, r.high, r.low, r.close, r.volume) for r in spark.table("bars5").collect())
     assert got == [(5.0 * i, 5.0 * i + 4, 5.0 * i, 5.0 * i + 4, 5.0) for i in range(4)]
+
+
+def test_files_are_verified(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    m = s.publish("raw", "x", rows(spark, (5, "A", 1.0)).coalesce(1))
+    before = spark.createDataFrame(s.files("raw", "x").collect())
+    assert s.verify(before, "raw", "x").count() == 0
+    rows(spark, (6, "B", 1.0)).coalesce(1).write.mode("append").parquet(m.folders[0])
+    assert [r.problem for r in s.verify(before, "raw", "x").collect()] == ["new"]
+
+
+def test_builder(spark, tmp_path):
+    from datetime import date
+
+    from tidemark.operators.quality import QualityError
+    from tidemark.plans.pipeline import SURVIVORS, Builder
+
+    state = Checkpoint(f"{tmp_path}/state.json")
+    b = Builder(Store(spark, f"{tmp_path}/root"), state)
+    bar = "time string, stock_code string, open double, high double, low double, close double, preClose double, volume double, amount double, suspendFlag double"
+    stock = spark.createDataFrame([("20260105", c, 10.0, 11.0, 9.0, 10.5, 10.0, 100.0, 1000.0, 0.0) for c in ("A.SH", "B.SH")], bar)
+    assert b.bars(stock, "stock", "batch-1").rows == 2 and b.bars(stock, "stock", "batch-1") is None
+    assert b.latest("daily_bar").count() == 2
+    with pytest.raises(QualityError):
+        b.bars(stock.withColumn("high", F.lit(1.0)), "stock")
+    assert b.latest("daily_bar").count() == 2
+    b.calendar(spark.createDataFrame([(date(2026, 1, 5),), (date(2026, 1, 6),)], "trade_date date"), "SH")
+    b.masters(spark.createDataFrame([("A.SH", "a", "20200101", "", "20260105")], "code string, InstrumentName string, OpenDate string, CreateDate string, ExpireDate string"), "stock")
+    assert b.universe("ALL_A").rows == 1
+    with pytest.raises(ValueError, match="survivors"):
+        Builder(b.store, state, SURVIVORS).universe("ALL_A")
+    fut = "time string, contract_code string, open double, high double, low double, close double, volume double, openInterest double, settelementPrice double"
+    b.bars(spark.createDataFrame([("20260105", "IF2609.IF", 4010.0, 4010.0, 4010.0, 4010.0, 5.0, 7.0, 4005.0)], fut), "future")
+    b.bars(spark.createDataFrame([("20260105", "SPOT", 4000.0, 4000.0, 4000.0, 4000.0)], "time string, index_code string, open double, high double, low double, close double"), "index")
+    b.masters(spark.createDataFrame([("IF2609.IF", "0", "20260101", "20260918", "300")], "code string, CreateDate string, OpenDate string, ExpireDate string, VolumeMultiple string"), "future")
+    mapping, basis = b.futures({"IF": "SPOT"})
+    assert mapping.rows == 2 and basis.rows == 1 and basis.inputs == [mapping.run_id]
+    b.financial(spark.createDataFrame([("A.SH", "Income", "20251231", date(2026, 1, 5), 1.0)], "stock_code string, table_name string, report_period string, announce_date date, value double"))
+    assert "daily_bar" in b.refresh() and spark.table("future_basis_daily").first().basis_close == 10.0
+
+
+def test_self_check(spark):
+    from tidemark.sources.selfcheck import REDUCED, CapabilityError, check, gate
+
+    one = rows(spark, (5, "A", 1.0))
+
+    def refuse():
+        raise PermissionError("no")
+
+    def broken():
+        raise RuntimeError("down")
+
+    asked = {"stock_bars": lambda: one, "index_bars": lambda: one, "future_bars": lambda: one, "delisted_stocks": lambda: one.limit(0), "expired_contracts": refuse, "x": broken, "y": lambda: None}
+    report = check(spark, asked)
+    assert {r.capability: r.status for r in report.collect()} == {"stock_bars": "PASS", "index_bars": "PASS", "future_bars": "UNSUPPORTED", "delisted_stocks": "EMPTY", "expired_contracts": "NO_PERMISSION", "x": "ERROR", "y": "SKIP"}
+    with pytest.raises(CapabilityError, match="delisted_stocks"):
+        gate(report)
+    good = asked | {"future_bars": lambda: one.select("*", *[F.lit(1.0).alias(c) for c in ("settlement", "open_interest", "volume")])}
+    gate(check(spark, good), REDUCED)

@@ -11,7 +11,7 @@ from ..functions import detail_date, epoch_or_text_date, record_key, streak_leng
 from ..operators import calendar as cal
 from ..operators import futures as fut
 from ..operators import liquidity as liq
-from ..operators import normalize, pit, quality, research, universe
+from ..operators import flows, normalize, pit, quality, research, universe
 from ..operators.versions import duplicate_count, latest_version
 from ..sources import feed
 from ..sources.parquet import union_by_name
@@ -488,6 +488,53 @@ def q_sector_rta(spark, sf_dir):
     return out.select("trade_date", "sector", F.round("amount", 2).alias("amount"), *_tiny("median_amihud"), "stocks", *_r("amount_share", "cap_share", "rta"))
 
 
+# --- flows -----------------------------------------------------------------------------------------------------
+
+_LAG = "lag({}) OVER (PARTITION BY stock_code ORDER BY trade_date)"
+
+
+def _funds(spark, sf_dir) -> DataFrame:
+    return b.capped(spark, sf_dir).select("trade_date", F.col("stock_code").alias("code"), F.col("volume").alias("shares"), F.col("low").alias("nav"), "close", "amount", F.col("ff_cap").alias("balance"))
+
+
+@query(f"""WITH {b.CAPPED}, x AS (SELECT *, (volume - {_LAG.format("volume")}) * low AS c FROM capped)
+SELECT trade_date, stock_code AS code, round(c, 8) AS net_creation, round(c / nullif(volume * low, 0), 8) AS creation_share, round(close / nullif(low, 0) - 1, 8) AS premium FROM x""")
+def q_etf_creation(spark, sf_dir):
+    return flows.etf_creation(_funds(spark, sf_dir)).select("trade_date", "code", *_r("net_creation"), *_r("creation_share", "premium"))
+
+
+@query(f"WITH {b.CAPPED} SELECT trade_date, stock_code AS code, volume - 25 AS margin_flow, round((volume - 25) / ff_cap * 1e6::DOUBLE, 6) AS margin_intensity, round(volume / nullif(amount, 0) * 1e6::DOUBLE, 6) AS buy_share FROM capped")
+def q_margin_flow(spark, sf_dir):
+    rows = _funds(spark, sf_dir).withColumn("buy", F.col("shares")).withColumn("repay", F.lit(25.0))
+    return flows.margin_flow(rows).select("trade_date", "code", "margin_flow", *[F.round(F.col(c) * 1e6, 6).alias(c) for c in ("margin_intensity", "buy_share")])
+
+
+@query(f"""WITH {b.BARS}, x AS (SELECT *, close / nullif({_LAG.format("close")}, 0) - 1 AS ret, {_LAG.format("amount")} AS was FROM bars)
+SELECT trade_date, stock_code AS code, round(amount - was * (1 + ret), 7) + 0.0::DOUBLE AS flow FROM x""")
+def q_fund_flow(spark, sf_dir):
+    rows = liq.with_returns(b.bars(spark, sf_dir)).select("trade_date", F.col("stock_code").alias("code"), F.col("amount").alias("aum"), "ret")
+    return flows.fund_flow(rows).select("trade_date", "code", (F.round("flow", 7) + 0.0).alias("flow"))
+
+
+@query(f"""WITH {b.FUTURES} SELECT trade_date, contract_code, open_interest - lag(open_interest) OVER (PARTITION BY contract_code ORDER BY trade_date) AS oi_change,
+  round(volume / nullif(open_interest, 0), 8) AS volume_to_oi FROM futures""")
+def q_open_interest(spark, sf_dir):
+    return flows.open_interest_pressure(b.futures(spark, sf_dir)).select("trade_date", "contract_code", "oi_change", *_r("volume_to_oi"))
+
+
+@query(f"""WITH {b.BARS}, d AS (SELECT trade_date, max(close) AS a, min(close) AS m, median(close) AS c FROM bars GROUP BY trade_date),
+z AS (SELECT trade_date, a - c AS wide, c - m AS low, (a - c - avg(a - c) OVER {_MZ}) / nullif(stddev_samp(a - c) OVER {_MZ}, 0) AS z1, (c - m - avg(c - m) OVER {_MZ}) / nullif(stddev_samp(c - m) OVER {_MZ}, 0) AS z2 FROM d)
+SELECT trade_date, round(wide, 8) AS wide, round(low, 8) AS low, round((coalesce(z1, 0) + coalesce(z2, 0)) / nullif((z1 IS NOT NULL)::INT + (z2 IS NOT NULL)::INT, 0), 6) AS stress FROM z""")
+def q_funding_stress(spark, sf_dir):
+    rates = b.bars(spark, sf_dir).groupBy("trade_date").agg(F.max("close").alias("a"), F.min("close").alias("m"), F.median("close").alias("c"))
+    return flows.funding_stress(rates, {"wide": ("a", "c"), "low": ("c", "m")}).select("trade_date", *_r("wide", "low"), *_r("stress", digits=6))
+
+
+@query(f"WITH {b.BARS} SELECT trade_date, round(sum(amount - volume), 2) AS net_liquidity FROM bars GROUP BY trade_date")
+def q_net_liquidity(spark, sf_dir):
+    return flows.net_liquidity(b.bars(spark, sf_dir), ["amount"], ["volume"]).select("trade_date", F.round("net_liquidity", 2).alias("net_liquidity"))
+
+
 # --- events ----------------------------------------------------------------------------------------------------
 
 _FROM, _TO = "2024-01-10 00:00:00", "2024-01-12 00:00:00"

@@ -106,6 +106,19 @@ class Store:
             out = part if out is None else out.unionByName(part, allowMissingColumns=True)
         return out
 
+    def files(self, layer: str, dataset: str) -> DataFrame:
+        """Active files with their sizes and SHA-256 sums; the files are read by tasks, not by the driver."""
+        m = self.load(layer, dataset)
+        found = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(m.folders)
+        return found.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+    def verify(self, before: DataFrame, layer: str, dataset: str) -> DataFrame:
+        """(path, problem) for files that are missing, new or changed since ``before``, which files() gave."""
+        now = self.files(layer, dataset).select("path", F.col("length").alias("l"), F.col("sha256").alias("s"))
+        both = before.join(now, "path", "full")
+        problem = F.when(F.col("l").isNull(), "missing").when(F.col("length").isNull(), "new").when((F.col("l") != F.col("length")) | (F.col("s") != F.col("sha256")), "changed")
+        return both.select("path", problem.alias("problem")).where("problem is not null")
+
     def refresh(self, views: dict[str, tuple[str, str, list[str]]]) -> list[str]:
         """Latest-version views: name to (layer, dataset, keys). All plans are built before the first is registered."""
         plans = {name: latest_version(self.read(layer, ds), keys, ingested_order()) for name, (layer, ds, keys) in views.items() if self.load(layer, ds)}
