@@ -24,7 +24,7 @@ from .textbytes import Words, mix, words
 _U = np.uint64
 #: The end of a text: its hash, and its class.
 END = 0x5E1F_0FD0_C0FF_EE01
-CHUNK_SCHEMA = "chunk long, ids array<long>, held array<boolean>, lens array<int>, idx binary, words array<long>, counts array<long>, classes array<int>"
+CHUNK_SCHEMA = "chunk long, ids array<long>, held array<boolean>, lens array<int>, idx binary, words array<long>, counts array<int>, classes array<short>"
 
 
 class Hmm(NamedTuple):
@@ -33,6 +33,16 @@ class Hmm(NamedTuple):
     emit: np.ndarray  # classes x S
 
 
+def pack_indices(idx: np.ndarray) -> bytes:
+    """Indices as compressed planes of bytes: the high ones are nearly all zero."""
+    return pa.compress(np.ascontiguousarray(idx.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_indices(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 def word_classes(w: Words, classes: int) -> np.ndarray:
     """Short words have a class by their whole spelling, longer ones by their last three bytes; class 0 is the end's."""
     n = w.end - w.start
@@ -43,20 +53,28 @@ def word_classes(w: Words, classes: int) -> np.ndarray:
 
 
 def _chunks(classes: int, most: int):
+    if classes > 1 << 15:
+        raise ValueError("classes are kept in 15 bits")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         ids, held, lens, toks, cls, size = [], [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             t, c, n = np.concatenate(toks), np.concatenate(cls), np.concatenate(lens)
-            distinct, at, idx = np.unique(t, return_index=True, return_inverse=True)
+            distinct, at, idx, times = np.unique(t, return_index=True, return_inverse=True, return_counts=True)
+            order = np.argsort(-times, kind="stable")  # frequent words first: small indices, which compress well
+            distinct, at = distinct[order], at[order]
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            idx = rank[idx]
             learn = np.repeat(~np.array(held, bool), n)
             counts = np.bincount(idx[learn], minlength=len(distinct))
             one = [
-                [(part << 32) + seq], [ids], [held], [n.astype(np.int32)], [idx.astype("<u4").tobytes()],
-                [distinct.view(np.int64)], [counts], [c[at]],
+                [(part << 32) + seq], [ids], [held], [n.astype(np.int32)], [pack_indices(idx)],
+                [distinct.view(np.int64)], [counts.astype(np.int32)], [c[at].astype(np.int16)],
             ]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int16())]
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(one, kinds, strict=True)], CHUNK_SCHEMA.replace(",", "").split()[::2])
 
         for b in batches:
@@ -212,8 +230,9 @@ def improve(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, prior: flo
 def _sequences(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a chunk: classes of its tokens, lengths, held flags, indices of its tokens."""
     get = lambda name: b.column(b.schema.get_field_index(name))[i]
-    idx = np.frombuffer(get("idx").as_py(), "<u4").astype(np.int64)
-    return get("classes").values.to_numpy(zero_copy_only=False)[idx], get("lens").values.to_numpy(zero_copy_only=False).astype(np.int64), get("held").values.to_numpy(zero_copy_only=False), idx
+    lens = get("lens").values.to_numpy(zero_copy_only=False).astype(np.int64)
+    idx = unpack_indices(get("idx").as_py(), int(lens.sum()))
+    return get("classes").values.to_numpy(zero_copy_only=False)[idx], lens, get("held").values.to_numpy(zero_copy_only=False), idx
 
 
 def _learning(obs: np.ndarray, lens: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,7 +311,7 @@ def score_texts(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col:
     # A word has a row for each chunk that holds it; they meet once, for the word's count and its number of chunks.
     word = Window.partitionBy("h")
     met = each.select(
-        "chunk", "pos", "cls", F.sum("n").over(word).alias("c"), F.count(F.lit(1)).over(word).alias("m"), F.row_number().over(word.orderBy("chunk")).alias("k")
+        "chunk", "pos", "cls", F.sum(F.col("n").cast("long")).over(word).alias("c"), F.count(F.lit(1)).over(word).alias("m"), F.row_number().over(word.orderBy("chunk")).alias("k")
     )
     met = scratch.save(met.select("chunk", "pos", "cls", "c", (F.col("m") > 1).alias("shared"), (F.col("k") == 1).alias("first")))
     per = met.where("first and c > 0").groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toPandas()  # at most `classes` rows
@@ -302,9 +321,10 @@ def score_texts(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col:
     rng = np.random.default_rng(7)
     freq = (tokens + 1.0) / (tokens + 1.0).sum()
     model = improve(np.ones(states), np.eye(states) * 8 + 1, freq[:, None] * 1e6 * rng.uniform(0.5, 1.5, (classes, states)))
-    warm_obs, warm_lens, left = [], [], warm_tokens
-    for r in chunks.select("idx", "classes", "lens", "held").orderBy(F.xxhash64("chunk")).limit(8).toLocalIterator():
-        idx = np.frombuffer(r["idx"], "<u4")
+    warm_obs, warm_lens = [], []
+    some = [r["chunk"] for r in chunks.select("chunk").orderBy(F.xxhash64("chunk")).limit(8).collect()]
+    for r in chunks.where(F.col("chunk").isin(*some)).orderBy("chunk").select("idx", "classes", "lens", "held").collect() if some else ():
+        idx = unpack_indices(bytes(r["idx"]), sum(r["lens"]))
         obs, lens = _learning(np.array(r["classes"])[idx], np.array(r["lens"], np.int64), np.array(r["held"], bool))
         take = int(np.searchsorted(np.cumsum(lens), warm_tokens // 8)) + 1
         warm_lens.append(lens[:take])
