@@ -78,3 +78,19 @@ def test_packing_stage(stages):
 def test_run_is_the_stages(stages, spark):
     show = lambda df: Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in df.collect())
     assert show(corpus_pipeline.run(spark, SF)) == show(stages["packing"][1])
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from tidemark.llm.common import Scratch, clear_scratch, work_dir
+
+    s = Scratch(spark, "x")
+    t = s.save(spark.range(3).toDF("k"))
+    folder = Path(s.base)
+    assert t.count() == 3 and folder.parent == Path(work_dir(spark)) and folder.exists()
+    s.drop(t)
+    assert not list(folder.rglob("*.parquet"))
+    s.save(spark.range(3).toDF("k"))
+    clear_scratch(spark)
+    assert not folder.exists()

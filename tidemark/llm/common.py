@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 _own_dir: dict[str, str] = {}
 _shipped: set[str] = set()
+_bases: dict[str, list[str]] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -37,6 +38,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
         self.base = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+        _bases.setdefault(spark.sparkContext.applicationId, []).append(self.base)
         self._n = 0
         self._paths: dict[int, tuple[str, DataFrame]] = {}
 
@@ -56,9 +58,18 @@ class Scratch:
         for df in tables:
             path, _ = self._paths.pop(id(df), (None, None))
             if path:
-                jvm = self.spark.sparkContext._jvm
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+                _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every table that this session's operators have written, once their results are written or no more wanted."""
+    for base in _bases.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, base)
 
 
 def with_row(docs: DataFrame, **columns: str) -> T.StructType:
@@ -81,7 +92,7 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def components(scratch: Scratch, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: a table ``(node, comp)``, comp the smallest node reachable.
 
     Each round replaces every node's label by the smallest label among itself and its neighbours, then jumps
@@ -97,7 +108,7 @@ def components(scratch: Scratch, edges: DataFrame, max_rounds: int = 60) -> Data
     labels = scratch.save(
         both.groupBy("s").agg(F.min("d").alias("m")).select(F.col("s").alias("node"), F.least("s", "m").alias("comp"))
     )
-    for _ in range(max_rounds):
+    while True:
         near = (
             both.join(labels.select(F.col("node").alias("d"), "comp"), "d")
             .groupBy("s")
