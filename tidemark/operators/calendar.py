@@ -25,8 +25,7 @@ def next_open_day(df: DataFrame, calendar: DataFrame, announced: str, name: str
     civil = spans.where("_before is not null").select(
         F.explode(F.sequence(F.col("_before"), F.date_sub("_open", 1))).alias("_day"), F.col("_open").alias(name)
     )
-    first = days.agg(F.min("_open").alias("_first"))
-    dated = df.join(F.broadcast(first)).withColumn("_first", F.col("_first"))  # one row
-    found = dated.join(civil, F.col(announced) == F.col("_day"), "left")
-    early: Column = F.when(F.col(announced) < F.col("_first"), F.col("_first"))
-    return found.withColumn(name, F.coalesce(F.col(name), early)).drop("_first", "_day")
+    first = days.agg(F.min("_open")).scalar()
+    found = df.join(civil, F.col(announced) == F.col("_day"), "left")
+    early: Column = F.when(F.col(announced) < first, first)
+    return found.withColumn(name, F.coalesce(F.col(name), early)).drop("_day")
