@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -196,27 +197,40 @@ def _texts(b: pa.RecordBatch, column: int, restore: Restorer | None) -> Iterator
 
 
 def _feature_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features, each with the word before it, and in which class and fold they stand; columns text, toxic, fold.
+    """Features of toxic texts, each with the word before it, and how often features stand in other texts; by fold.
 
-    A word that is used in many places tells more than one that many copies of a text repeat.
+    A word that is used in many places tells more than one that many copies of a text repeat, so a toxic text's
+    feature counts once for each word before it; elsewhere every use counts. Columns text, toxic, fold.
     """
 
     def flush() -> pa.RecordBatch:
-        flags = np.array(list(seen.values()), np.int64)
-        cols = [pa.array([f for f, _ in seen], pa.string()), pa.array([p for _, p in seen], pa.int64())]
-        return pa.RecordBatch.from_arrays([*cols, *(pa.array(flags >> j & 1) for j in range(4))], ["feature", "before", "c0", "c1", "t0", "t1"])
-
-    seen: dict[tuple[str, int], int] = {}
+        flags = np.array(list(toxic_at.values()), np.int64)
+        uses = np.array(list(clean.values()), np.int64).reshape(-1, 2)
+        none, zero = np.full(len(uses), -1), np.zeros(len(flags), np.int64)
+        cols = [
+            pa.array([*(f for f, _ in toxic_at), *clean], pa.string()), pa.array(np.concatenate([np.array([p for _, p in toxic_at], np.int64), none])),
+            *(pa.array(np.concatenate([zero, uses[:, j]])) for j in (0, 1)), *(pa.array(np.concatenate([flags >> j & 1, none * 0])) for j in (0, 1)),
+        ]
+        return pa.RecordBatch.from_arrays(cols, ["feature", "before", "c0", "c1", "t0", "t1"])
+
+    toxic_at: dict[tuple[str, int], int] = {}
+    clean: dict[str, list[int]] = {}
     for b in batches:
         for t, toxic, fold in zip(_texts(b, 0, None), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            bit, before = 1 << (2 * toxic + fold), 0
-            for w in _WORD.findall(t):
-                for f in features(w):
-                    seen[f, before] = seen.get((f, before), 0) | bit
-                before = zlib.crc32(w.encode())
-        if len(seen) > 300_000:
+            found = _WORD.findall(t)
+            if toxic:
+                before = 0
+                for w in found:
+                    for f in features(w):
+                        toxic_at[f, before] = toxic_at.get((f, before), 0) | 1 << fold
+                    before = zlib.crc32(w.encode())
+            else:
+                for w, n in Counter(found).items():
+                    for f in features(w):
+                        clean.setdefault(f, [0, 0])[fold] += n
+        if len(toxic_at) + len(clean) > 150_000:
             yield flush()
-            seen = {}
+            toxic_at, clean = {}, {}
     yield flush()
 
 
@@ -290,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     if all(n.get((y, f), 0) for y in (0, 1) for f in (0, 1)):
         kinds = ("c0", "c1", "t0", "t1")
         places = some.mapInArrow(_feature_places, "feature string, before long, c0 long, c1 long, t0 long, t1 long")
-        sums = places.groupBy("feature", "before").agg(*[F.max(c).alias(c) for c in kinds]).groupBy("feature").agg(*[F.sum(c).alias(c) for c in kinds])
+        sums = places.groupBy("feature", "before").agg(*[(F.sum if c[0] == "c" else F.max)(c).alias(c) for c in kinds]).groupBy("feature").agg(*[F.sum(c).alias(c) for c in kinds])
         sums = scratch.save(sums)
         c0, c1, t0, t1 = sums.agg(*[F.sum(c) for c in kinds]).first()
         share = (c0 + c1 + 1) / (t0 + t1 + 1)
