@@ -18,7 +18,9 @@ def epoch_or_text_date(c: Column, zone: str = "Asia/Shanghai") -> Column:
     """Epoch milliseconds as the date in ``zone``; else text such as 20260105 or 2026-01-05, with or without ``.0``."""
     n = number(c)
     text = F.regexp_replace(F.trim(c.cast("string")), r"\.0$", "")
-    millis = F.to_date(F.from_utc_timestamp(F.timestamp_millis(n.cast("bigint")), zone))
+    # Wall clocks without a zone, so that the session's own time zone plays no part.
+    since = F.make_dt_interval(secs=(n / 1000).try_cast("decimal(18,6)"))
+    millis = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.lit("1970-01-01").cast("timestamp_ntz") + since).cast("date")
     plain = F.coalesce(*[F.try_to_date(text, f) for f in ("yyyyMMdd", "yyyy-MM-dd", "yyyy/MM/dd")])
     return F.when(n > EPOCH_FROM, millis).otherwise(plain)
 

@@ -550,4 +550,4 @@ def q_freshness_filter(spark, sf_dir):
 SELECT event_type, count(*) AS received, count(*) FILTER (WHERE ok) AS fresh, count(*) FILTER (WHERE NOT ok) AS stale, CAST(epoch_us(min(ts) FILTER (WHERE ok)) AS BIGINT) AS first_fresh_us FROM e GROUP BY event_type""")
 def q_first_fresh_event(spark, sf_dir):
     out = evidence(b.table(spark, sf_dir, "events"), "ts", F.lit(_FROM), F.lit(_TO), ["event_type"])
-    return out.select("event_type", "received", "fresh", "stale", F.unix_micros(F.col("first_fresh").cast("timestamp")).alias("first_fresh_us"))
+    return out.select("event_type", "received", "fresh", "stale", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', first_fresh)").alias("first_fresh_us"))
