@@ -136,3 +136,20 @@ def test_self_check(spark):
         gate(report)
     good = asked | {"future_bars": lambda: one.select("*", *[F.lit(1.0).alias(c) for c in ("settlement", "open_interest", "volume")])}
     gate(check(spark, good), REDUCED)
+
+
+def test_partitions_are_skipped(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    s.publish("raw", "x", rows(spark, (5, "A", 1.0), (6, "B", 2.0)).withColumn("year", F.year("trade_date")), partition_by=["year"])
+    got = s.read("raw", "x").where("year = 2026")
+    assert got.count() == 2 and s.read("raw", "x").where("year = 2025").count() == 0
+    assert "PartitionFilters: [isnotnull(year" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pinned_schemas(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    s.publish("processed", "stock_daily", rows(spark, (5, "A", 1.0)))
+    s.publish("processed", "stock_daily", rows(spark, (6, "A", 1.0)).select("trade_date", "stock_code", F.lit(2).alias("close"), F.lit("x").alias("odd")))
+    got = s.read("processed", "stock_daily")
+    assert got.columns[:2] == ["trade_date", "stock_code"] and "odd" not in got.columns and dict(got.dtypes)["close"] == "double"
+    assert sorted(r.close for r in got.collect()) == [1.0, 2.0] and {r.volume for r in got.collect()} == {None}

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.versions import ingested_order, latest_version
+from ..schemas import schema
+from ..sources.parquet import read_by_name
 
 
 class StorageLimitError(RuntimeError):
@@ -55,8 +57,11 @@ class Store:
         if self.limit is not None and self.used() + more * self.safety > self.limit:
             raise StorageLimitError(f"{self.used()} bytes and {more} more exceed {self.limit}")
 
-    def publish(self, layer: str, dataset: str, df: DataFrame, *, mode: str = "append", date: str | None = None, inputs: list[str] | None = None, estimate: int = 64 << 10) -> Manifest:
-        """Write a run and make it active; an empty one is refused. What fails leaves the active manifest as it is."""
+    def publish(self, layer: str, dataset: str, df: DataFrame, *, mode: str = "append", date: str | None = None, inputs: list[str] | None = None, estimate: int = 64 << 10, partition_by: list[str] | None = None) -> Manifest:
+        """Write a run and make it active; an empty one is refused. What fails leaves the active manifest as it is.
+
+        ``partition_by`` lays a run out by columns, a year for example, so that readers skip what a filter on them excludes.
+        """
         self._gate(estimate)
         run = f"{datetime.now().astimezone():%Y%m%dT%H%M%S%z}-{uuid.uuid4().hex[:12]}"
         folder = self.root / layer / dataset / run
@@ -65,12 +70,13 @@ class Store:
             if name not in df.columns:
                 stamped = stamped.withColumn(name, value)
         try:
-            stamped.write.mode("errorifexists").parquet(str(folder))
+            writer = stamped.write.mode("errorifexists")
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(str(folder))
             back = self.spark.read.parquet(str(folder))
             stats = back.agg(F.count(F.lit(1)).alias("n"), *([F.min(date).cast("string").alias("lo"), F.max(date).cast("string").alias("hi")] if date else [])).first()
             if not stats["n"]:
                 raise ValueError(f"{dataset}: nothing to publish")
-            size = sum(f.stat().st_size for f in folder.glob("*.parquet"))
+            size = sum(f.stat().st_size for f in folder.rglob("*.parquet"))
             if self.limit is not None and self.used() > self.limit:
                 raise StorageLimitError(f"{self.used()} bytes exceed {self.limit}")
         except Exception:
@@ -96,10 +102,12 @@ class Store:
         return m
 
     def read(self, layer: str, dataset: str) -> DataFrame:
-        """All active runs by column name, every version."""
+        """All active runs by column name, every version; with the dataset's pinned schema, if it has one."""
         m = self.load(layer, dataset)
         if m is None:
             raise FileNotFoundError(f"{layer}/{dataset} has no active manifest")
+        if layer != "raw" and (pinned := schema(dataset)):
+            return read_by_name(self.spark, [[f] for f in m.folders], pinned)
         out = None
         for folder in m.folders:
             part = self.spark.read.parquet(folder)
