@@ -17,27 +17,31 @@ TOXIC_FROM = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are likely toxic go; null and empty texts stay."""
     model = toxicity.fit(docs, queries.read(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(F.col("score") < TOXIC_FROM).select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go; n_chars counts what is left of the text."""
-    out = line_dedup(docs).select("row.*", "kept_text")
+    """Repeated lines go; every document stays, a null text as an empty one, and n_chars counts what is left."""
+    out = line_dedup(docs)
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
-    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group the smallest id stays; rows with a null id stay, and so do all rows of an id that stays."""
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All sources alike in their numbers of documents; a document has a row for each of its copies."""
     return mix(docs).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece, with its place in a sequence; each copy of a document is packed."""
     return pack(docs, queries.tokenizer_path())
 
 

@@ -94,3 +94,14 @@ def test_scratch_tables_can_be_cleared(spark):
     s.save(spark.range(3).toDF("k"))
     clear_scratch(spark)
     assert not folder.exists()
+
+
+def test_stages_take_odd_rows(spark, messy, empty):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0, name
+        out = stage(spark, messy, SF)
+        rows = out.count()
+        if name != "packing":
+            assert out.columns == messy.columns, name
+        if name in ("toxicity", "line_dedup"):
+            assert rows == messy.count(), name
