@@ -28,3 +28,21 @@ def epoch_or_text_date(c: Column, zone: str = "Asia/Shanghai") -> Column:
 def detail_date(c: Column) -> Column:
     """The first eight digits as a date; null where they are none."""
     return F.try_to_date(F.substring(F.regexp_replace(c.cast("string"), r"\D", ""), 1, 8), "yyyyMMdd")
+
+
+def event_time(c: Column) -> Column:
+    """A wall clock without zone from seconds or milliseconds since 1970, or from 14 or 17 digits; else null."""
+    t = F.regexp_replace(F.trim(c.cast("string")), r"\.0$", "")
+    digits = F.when(t.rlike(r"^\d+$"), t)
+    n = F.length(digits)
+    since = F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def part(at: int, size: int, kind: str = "int") -> Column:
+        return F.substring(digits, at, size).try_cast(kind)
+
+    written = F.try_make_timestamp_ntz(
+        part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2),
+        (part(13, 2) + F.when(n == 17, part(15, 3)).otherwise(0) / 1000).cast("decimal(8,6)"),
+    )
+    epoch = F.when(n == 10, part(1, 10, "decimal(18,6)")).when(n == 13, (part(1, 13, "decimal(18,0)") / 1000).cast("decimal(18,6)"))
+    return F.when(n.isin(14, 17), written).when(epoch.isNotNull(), since + F.make_dt_interval(secs=epoch))

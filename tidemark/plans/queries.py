@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import detail_date, epoch_or_text_date, record_key, streak_length
+from ..functions import detail_date, epoch_or_text_date, event_time, record_key, streak_length
 from ..operators import calendar as cal
 from ..operators import futures as fut
 from ..operators import liquidity as liq
@@ -551,3 +551,15 @@ SELECT event_type, count(*) AS received, count(*) FILTER (WHERE ok) AS fresh, co
 def q_first_fresh_event(spark, sf_dir):
     out = evidence(b.table(spark, sf_dir, "events"), "ts", F.lit(_FROM), F.lit(_TO), ["event_type"])
     return out.select("event_type", "received", "fresh", "stale", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', first_fresh)").alias("first_fresh_us"))
+
+
+@query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN (1704067200 + event_id * 60) * 1000000 WHEN 1 THEN (1704067200000 + event_id * 1001) * 1000
+  WHEN 2 THEN epoch_us(TIMESTAMP '2024-01-05 09:31:00') + event_id % 60 * 1000000 WHEN 3 THEN epoch_us(TIMESTAMP '2024-01-05 09:31:59') + event_id % 900 * 1000 END AS at_us FROM events""")
+def q_event_time(spark, sf_dir):
+    k = F.col("event_id")
+    raw = (
+        F.when(k % 5 == 0, (F.lit(1704067200) + k * 60).cast("string")).when(k % 5 == 1, (F.lit(1704067200000) + k * 1001).cast("string"))
+        .when(k % 5 == 2, F.concat(F.lit("202401050931"), F.lpad((k % 60).cast("string"), 2, "0"))).when(k % 5 == 3, F.concat(F.lit("20240105093159"), F.lpad((k % 900).cast("string"), 3, "0"))).otherwise("20241305")
+    )
+    rows = b.table(spark, sf_dir, "events").select("event_id", event_time(raw).alias("t"))
+    return rows.select("event_id", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', t)").alias("at_us"))
