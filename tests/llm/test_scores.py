@@ -316,3 +316,12 @@ def test_licenses(spark, messy, empty):
     assert (got[5].n_words, got[5].labels, got[5].score) == (0, "", 0.0)
     assert got[6].labels == ""
     assert scan(messy).count() == messy.count() and scan(empty).count() == 0
+
+
+def test_samples_are_the_smallest_hashes(spark):
+    from tidemark.llm.common import first_by_hash
+
+    df = spark.range(5000).toDF("id")
+    want = [r.id for r in df.orderBy(F.xxhash64("id", F.lit("s")), "id").limit(300).collect()]
+    assert [r.id for r in first_by_hash(df, "id", 300, "s").collect()] == want
+    assert first_by_hash(df.limit(10), "id", 300, "s").count() == 10

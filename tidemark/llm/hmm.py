@@ -165,9 +165,9 @@ def log_likelihood(m: Hmm, obs: np.ndarray, lens: np.ndarray) -> np.ndarray:
 def expect(m: Hmm, obs: np.ndarray, lens: np.ndarray, group: int = 2048) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts of starts, moves and emissions, and the log likelihood."""
     s = len(m.start)
-    starts, moves, emits, total = np.zeros(s), np.zeros((s, s)), np.zeros_like(m.emit), 0.0
+    starts, moves, emits = np.zeros(s), np.zeros((s, s)), np.zeros_like(m.emit)
     if not len(lens):
-        return starts, moves, emits, total
+        return starts, moves, emits, 0.0
     seg = Segments(lens)
     p, log = _products(m, obs, seg)
     before, ll = _ahead(p, log, seg, len(lens))
@@ -215,7 +215,6 @@ def expect(m: Hmm, obs: np.ndarray, lens: np.ndarray, group: int = 2048) -> tupl
         post = np.concatenate([alpha[t, : live[t]] for t in range(length)])
         for j in range(s):
             emits[:, j] += np.bincount(obs[at], post[:, j], len(emits))
-        total += 0.0
     return starts, moves * m.move, emits, float(ll.sum())
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, with_row
+from .common import batch_rows, first_by_hash, with_row
 from .textbytes import BLANK, LOWER, Words, shingles, text_bytes, words
 
 _CLASS = np.zeros((256, 12), bool)
@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """
     batch_rows(docs.sparkSession, 1000)
     marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null")
-    picked = marked.orderBy(F.xxhash64("id", F.lit("quality")), "id").limit(sample)
+    picked = first_by_hash(marked, "id", sample, "quality")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     got = rows.join(F.broadcast(picked), "id").select("text", "y").mapInArrow(_statistics, "y int, x array<double>").toPandas()  # at most `sample` ids
     order = np.lexsort([got.y, *np.stack(got.x).T]) if len(got) else []  # the trees don't depend on the rows' order

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows, with_row
+from .common import Scratch, batch_rows, first_by_hash, with_row
 from .textbytes import LOWER, text_bytes
 
 #: Symbols of the character model: 0 what is no letter, 1 to 26 a to z, 27 any other letter.
@@ -293,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     turn = F.xxhash64("id", F.lit("toxicity"))
     picked = None
     for y in (0, 1):
-        part = marked.where(F.col("toxic") == y).orderBy(turn, "id").limit(sample)
+        part = first_by_hash(marked.where(F.col("toxic") == y), "id", sample, "toxicity")
         picked = part if picked is None else picked.unionByName(part)
     scratch = Scratch(docs.sparkSession, "toxicity")
     picked = scratch.save(picked)
