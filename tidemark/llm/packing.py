@@ -21,44 +21,64 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, batch_rows
 
-_tokenizers: dict[str, tuple] = {}
+class _Words:
+    """A tokenizer and the ids of words it has seen: a table in use, and the one before, whose words may come back."""
 
-
-def _tokenizer(path: str):
-    if path not in _tokenizers:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
-
-
-def encode(texts: list[str], path: str, most: int = 400_000) -> list[bytes]:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def learn(self, words: list[str]) -> None:
+        """Put words into the table. A full stop or comma that ends a word of letters is a token of its own."""
+        known, before = self.known, self.before
+        new, ends = set(), []
+        for w in words:
+            if w in before:
+                known[w] = before[w]
+                continue
+            parts = (w,)
+            if w[-1:] in (".", ",") and w[:-1].isalpha():
+                ends.append(w)
+                parts = (w[:-1], w[-1])
+            for x in parts:
+                if x not in known:
+                    if x in before:
+                        known[x] = before[x]
+                    else:
+                        new.add(x)
+        todo = list(new)
+        for w, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
+            known[w] = array("I", e.ids).tobytes()
+        for w in ends:
+            known[w] = known[w[:-1]] + known[w[-1]]
+
+
+_words: dict[str, _Words] = {}
+
+
+def encode(texts: list[str], path: str, most: int = 250_000) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit numbers.
 
     The tokenizer lower-cases, drops white space and never joins what stands on both sides of it, so each
-    blank-separated word is encoded by itself, once for as long as it stays in the table of about ``most`` words.
-    A full stop or comma that ends a word of letters is a token of its own.
+    blank-separated word is encoded by itself, once for as long as it stays in two tables of about ``most`` words.
     """
-    tok, known = _tokenizer(path)
+    table = _words.get(path) or _words.setdefault(path, _Words(path))
     out = []
     for text in texts:
         # Lower-casing here only lets more words share an entry; where it might differ, the text stays as it is.
         if text.isascii() or (unicodedata.is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text):
             text = text.lower()
         ws = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if new := [w for w in set(ws) if w not in known]:
-            if len(known) > most:
-                known.clear()
+        if new := [w for w in set(ws) if w not in table.known]:
+            if len(table.known) > most:
+                table.known, table.before = {}, table.known
                 new = list(set(ws))
-            ends = [w for w in new if w[-1:] in (".", ",") and w[:-1].isalpha()]
-            cut = set(ends)
-            plain = [x for x in {*(w for w in new if w not in cut), *(w[:-1] for w in ends), ".", ","} if x not in known]
-            for w, e in zip(plain, tok.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-                known[w] = array("I", e.ids).tobytes()
-            for w in ends:
-                known[w] = known[w[:-1]] + known[w[-1]]
-        out.append(b"".join(map(known.__getitem__, ws)))
+            table.learn(new)
+        out.append(b"".join(map(table.known.__getitem__, ws)))
     return out
 
 
