@@ -45,11 +45,11 @@ def _keys(least: int):
     return run
 
 
-def _rewrite(least: int):
+def _rewrite(text_col: str, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, n, gone = [], [], []
-            for text, drop in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for text, drop in zip(b.column(0).field(text_col).to_pylist(), b.column(1).to_pylist(), strict=True):
                 lines = (text or "").encode().split(b"\n")
                 stay = lines
                 if drop:
@@ -105,6 +105,6 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     drops = (
         pairs.join(owners, ["k1", "k2"]).where("owner < doc").groupBy("doc").agg(F.collect_list("k1").alias("drop"))
     )
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), order.alias("doc"), F.col(text_col).alias("text"))
-    joined = rows.join(drops, "doc", "left").select("row", "text", "drop")
-    return joined.mapInArrow(_rewrite(min_chars), with_row(docs, kept_text="string", n_lines="long", n_dropped="long"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), order.alias("doc"))
+    joined = rows.join(drops, "doc", "left").select("row", "drop")
+    return joined.mapInArrow(_rewrite(text_col, min_chars), with_row(docs, kept_text="string", n_lines="long", n_dropped="long"))
