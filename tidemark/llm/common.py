@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,9 +84,22 @@ def first_by_hash(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     return df.orderBy(turn, key).limit(n)
 
 
-def with_row(docs: DataFrame, **columns: str) -> T.StructType:
-    """A schema of the whole input row, whatever its columns are called, and further columns."""
-    out = T.StructType([T.StructField("row", docs.schema)])
+def carried(docs: DataFrame, text_col: str, keep: list[str] | None) -> DataFrame:
+    """The columns to keep (None: all) as a struct ``row``, and the text beside them unless it is among them."""
+    names = docs.columns if keep is None else keep
+    row = F.struct(*[docs[f"`{c}`"] for c in names]).alias("row")
+    return docs.select(row) if text_col in names else docs.select(row, docs[f"`{text_col}`"].alias("text"))
+
+
+def carried_text(b: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts of a batch of ``carried`` rows."""
+    return b.column(1) if b.num_columns > 1 else b.column(0).field(text_col)
+
+
+def with_row(docs: DataFrame, keep: list[str] | None = None, **columns: str) -> T.StructType:
+    """A schema of the kept part of the input row, whatever its columns are called, and further columns."""
+    fields = docs.schema.fields if keep is None else [docs.schema[c] for c in keep]
+    out = T.StructType([T.StructField("row", T.StructType(fields))])
     for name, kind in columns.items():
         out = out.add(name, kind)
     return out

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, first_by_hash, with_row
+from .common import batch_rows, carried, carried_text, first_by_hash, with_row
 from .textbytes import BLANK, LOWER, Words, shingles, text_bytes, words
 
 _CLASS = np.zeros((256, 12), bool)
@@ -180,17 +180,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return boost(x, got.y.to_numpy(float)[order], **boosting)
 
 
-def _score(trees: Trees):
+def _score(trees: Trees, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = [trees.score(x) for _, x in _slices(b.column(1))]
+            s = [trees.score(x) for _, x in _slices(carried_text(b, text_col))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate([np.zeros(0), *s]))], ["row", "score"])
 
     return run
 
 
-def score(docs: DataFrame, trees: Trees, *, text_col: str = "text") -> DataFrame:
-    """``(row, score)``: the input row as a struct and the chance of label 1; null text as empty."""
+def score(docs: DataFrame, trees: Trees, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``(row, score)``: the columns to keep (None: all) as a struct and the chance of label 1; null text as empty."""
     batch_rows(docs.sparkSession, 1000)
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_score(trees), with_row(docs, score="double"))
+    return carried(docs, text_col, keep).mapInArrow(_score(trees, text_col), with_row(docs, keep, score="double"))

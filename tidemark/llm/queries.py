@@ -57,7 +57,7 @@ def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
     trees = quality.fit(docs, labels.where(_remainder(5) != 0))
-    out = quality.score(docs, trees).select("row.doc_id", "score")
+    out = quality.score(docs, trees, keep=["doc_id"]).select("row.doc_id", "score")
     return out.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -68,7 +68,7 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(_remainder(3) != 1))
-    out = toxicity.score(docs, model).select("row.doc_id", "score")
+    out = toxicity.score(docs, model, keep=["doc_id"]).select("row.doc_id", "score")
     return out.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows, first_by_hash, with_row
+from .common import Scratch, batch_rows, carried, carried_text, first_by_hash, with_row
 from .textbytes import LOWER, text_bytes
 
 #: Symbols of the character model: 0 what is no letter, 1 to 26 a to z, 27 any other letter.
@@ -187,8 +187,7 @@ def features(word: str) -> list[str]:
     return [word] + [f"^{word[:k]}" for k in (4, 5, 6) if n >= k] if n >= 3 else []
 
 
-def _texts(b: pa.RecordBatch, column: int, restore: Restorer | None) -> Iterator[str]:
-    col = b.column(column)
+def _texts(col: pa.Array, restore: Restorer | None) -> Iterator[str]:
     raw, offs = text_bytes(col)
     flags = suspects(raw, offs) if restore else None
     for i, t in enumerate(col.to_pylist()):
@@ -216,7 +215,7 @@ def _feature_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     toxic_at: dict[tuple[str, int], int] = {}
     clean: dict[str, list[int]] = {}
     for b in batches:
-        for t, toxic, fold in zip(_texts(b, 0, None), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+        for t, toxic, fold in zip(_texts(b.column(0), None), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             found = _WORD.findall(t)
             if toxic:
                 before = 0
@@ -249,7 +248,7 @@ def measure(text: str, lexicon: dict[str, float]) -> list[float]:
 def _measures(lexicons: list[dict[str, float]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [measure(t, lexicons[fold]) for t, fold in zip(_texts(b, 0, None), b.column(2).to_pylist(), strict=True)]
+            x = [measure(t, lexicons[fold]) for t, fold in zip(_texts(b.column(0), None), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
 
     return run
@@ -326,19 +325,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return ToxicModel(CharModel.from_counts(counts, [w for w in lex[2] if w[0] != "^"]), lex[2], coef)
 
 
-def _score(model: ToxicModel):
+def _score(model: ToxicModel, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model.chars)
         for b in batches:
-            x = np.array([measure(t, model.lexicon) for t in _texts(b, 1, restore)]).reshape(-1, 3)
+            x = np.array([measure(t, model.lexicon) for t in _texts(carried_text(b, text_col), restore)]).reshape(-1, 3)
             z = model.coef[0] + x @ model.coef[1:]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["row", "score"])
 
     return run
 
 
-def score(docs: DataFrame, model: ToxicModel, *, text_col: str = "text") -> DataFrame:
-    """``(row, score)``: the input row as a struct and the chance that its text is toxic; null text as empty."""
+def score(docs: DataFrame, model: ToxicModel, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``(row, score)``: the columns to keep (None: all) as a struct and the chance that its text is toxic; null text as empty."""
     batch_rows(docs.sparkSession, 1000)
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_score(model), with_row(docs, score="double"))
+    return carried(docs, text_col, keep).mapInArrow(_score(model, text_col), with_row(docs, keep, score="double"))
