@@ -65,12 +65,19 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs
 
 
-def words(col: pa.Array, most: int = 1 << 20) -> Iterator[Words]:
-    """The words of a text column, in slices of about ``most`` bytes; a longer document is a slice of its own."""
-    raw, offs = text_bytes(col)
+def slices(offs: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes together; a longer text is a range of its own."""
     lo = 0
     while lo < len(offs) - 1:
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def words(col: pa.Array, most: int = 1 << 20) -> Iterator[Words]:
+    """The words of a text column, in slices of about ``most`` bytes; a longer document is a slice of its own."""
+    raw, offs = text_bytes(col)
+    for lo, hi in slices(offs, most):
         data = LOWER[raw[offs[lo] : offs[hi]]]
         first = offs[lo : hi + 1] - offs[lo]
         n = len(data)
@@ -93,7 +100,6 @@ def words(col: pa.Array, most: int = 1 << 20) -> Iterator[Words]:
         np.cumsum(_BYTE[data] * up, out=run[1:])
         h = mix((run[end] - run[start]) * down[start])
         yield Words(lo, hi, data, first, start, end, np.searchsorted(start, first), h)
-        lo = hi
 
 
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, batch_rows, carried, carried_text, first_by_hash, with_row
-from .textbytes import LOWER, text_bytes
+from .textbytes import LOWER, slices, text_bytes
 
 #: Symbols of the character model: 0 what is no letter, 1 to 26 a to z, 27 any other letter.
 SYMBOLS = 28
@@ -86,8 +86,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SYMBOLS**ORDER, np.int64)
     for b in batches:
         raw, offs = text_bytes(b.column(0))
-        for lo in range(0, len(offs) - 1, 500):
-            hi = min(lo + 500, len(offs) - 1)
+        for lo, hi in slices(offs):
             code = _CODE[LOWER[raw[offs[lo] : offs[hi]]]]
             # A letter of several bytes counts once; runs of what is no letter count as one; texts are kept apart.
             use = np.ones(len(code), bool)
@@ -140,8 +139,7 @@ def suspects(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Which texts may hold a suspect span, from their bytes."""
     n = len(offs) - 1
     out = np.zeros(n, bool)
-    for lo in range(0, n, 500):
-        hi = min(lo + 500, n)
+    for lo, hi in slices(offs):
         d = LOWER[raw[offs[lo] : offs[hi]]]
         if len(d) < 3:
             continue
