@@ -220,6 +220,26 @@ def test_plan_holds_the_histogram():
             assert held == hist
 
 
+def test_program_covers_every_length():
+    """As many lengths as real tables have: the program covers them all, near the least, and places most tokens."""
+    from tidemark.llm.packing import cover_program, program_configs
+
+    rng, size = random.Random(8), 2048
+    hist = Counter(1 + int(rng.lognormvariate(6, 1)) % (size - 1) for _ in range(9000))
+    total = sum(a * n for a, n in hist.items())
+    plan, cover = cover_program(dict(hist), size), Counter()
+    for key, x in plan.items():
+        assert x > 0 and sum(a * k for a, k in key) <= size
+        for a, k in key:
+            cover[a] += k * x
+    assert len(hist) > 1000 and all(cover[a] >= 0.998 * n for a, n in hist.items())
+    assert sum(plan.values()) <= 1.01 * total / size
+    taken, left = program_configs(dict(hist), size)
+    placed = sum(a * k * times for config, times in taken for a, k in config.items())
+    assert placed + sum(a * n for a, n in left.items()) == total and placed > 0.9 * total
+    assert sum(program_configs({1500: 40, 700: 3}, size)[1].values()) <= 2  # nothing that fills a sequence
+
+
 def test_encoding_by_words():
     from tokenizers import Tokenizer
 

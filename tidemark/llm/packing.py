@@ -2,8 +2,9 @@
 
 The histogram of piece lengths, at most as long as a sequence, is all that the driver sees. Over it the
 configuration linear program (least number of sequences that cover every length's demand) is solved by
-multiplicative weights; a knapsack dynamic program prices the configurations. Its rounded solution places most
-pieces; the rest is placed best-fit, by runs of equal sequences, so that the work doesn't grow with the input.
+multiplicative weights until every length is covered; a knapsack dynamic program prices the configurations. Its
+solution, rounded and solved again over what rounding leaves, places most pieces; the residue is placed best-fit, by
+runs of equal sequences, so that the work doesn't grow with the input.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -96,8 +97,8 @@ def _tokenise(path: str, end: int, size: int):
     return run
 
 
-def _best_config(lens: np.ndarray, price: np.ndarray, size: int) -> dict[int, int]:
-    """Unbounded knapsack: the multiset of lengths, at most ``size`` together, of the highest price."""
+def _price_configs(lens: np.ndarray, price: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unbounded knapsack: for each room its highest price, the length put in at it, and the next room below to put one in (0: none)."""
     best, pick = np.zeros(size + 1), np.full(size + 1, -1)
     upto = np.searchsorted(lens, np.arange(size + 1), "right")
     for c in range(1, size + 1):
@@ -107,54 +108,98 @@ def _best_config(lens: np.ndarray, price: np.ndarray, size: int) -> dict[int, in
             j = int(v.argmax())
             if v[j] > best[c]:
                 best[c], pick[c] = v[j], j
-    config: dict[int, int] = {}
-    c = size
-    while c > 0:
-        if (j := pick[c]) < 0:
-            c -= 1
-            continue
-        config[int(j)] = config.get(int(j), 0) + 1
-        c -= int(lens[j])
-    return config
-
-
-def solve_configs(hist: dict[int, int], size: int, rounds: int = 300, sharp: float = 12.0) -> list[tuple[dict[int, int], int]]:
-    """Configurations (length to copies) and how often each is used; together they hold the histogram exactly."""
+    return best, pick, np.maximum.accumulate(np.where(pick >= 0, np.arange(size + 1), 0))
+
+
+def cover_program(hist: dict[int, int], size: int, steps: int = 4, sharp: float = 12.0, within: float = 1e-3, near: float = 0.02) -> dict[tuple, float]:
+    """The configuration linear program by multiplicative weights: configurations, ((length, copies), ...), and their uses.
+
+    Every length's demand is covered to a share of ``within``. Coverage rises in ``steps`` even steps; a length's price
+    falls exponentially with the share that is covered. Each pricing gives the best configuration that holds a length,
+    for each length; those that come ``near`` the best of all are used, as far as the step's demand goes, which closes
+    at least one length. So it ends, however many lengths there are.
+    """
     lens = np.array(sorted(hist), np.int64)
-    need = np.array([hist[int(x)] for x in lens], np.float64)
-    plan: dict[tuple, float] = {}
-    full = lens == size
-    part, want = lens[~full], need[~full]
-    if len(part):
-        cover = np.zeros(len(part))
-        for _ in range(rounds):
-            # The price of a length falls exponentially with the share of its demand that is covered.
-            weight = np.exp(-sharp * (cover - cover.min()))
-            config = _best_config(part, weight * part / part.mean(), size)
-            at, copies = np.fromiter(config, int), np.fromiter(config.values(), float)
-            step = (want[at] / copies).min() * 0.25
-            cover[at] += step * copies / want[at]
-            key = tuple(sorted((int(part[j]), k) for j, k in config.items()))
-            plan[key] = plan.get(key, 0.0) + step
-            if cover.min() >= 1:
+    want = np.array([hist[int(x)] for x in lens], np.float64)
+    cover, plan = np.zeros(len(lens)), {}
+    rng = np.random.default_rng(11)
+    for step in range(1, steps + 1):
+        goal = step / steps
+        while len(at := np.flatnonzero(goal - cover > within)):
+            part, least = lens[at].tolist(), (within * want[at]).tolist()
+            # Prices that are all but equal are told apart, so that configurations differ.
+            price = lens[at] * np.exp(sharp * (goal - cover[at])) * (1 + 1e-5 * rng.random(len(at)))
+            best, pick, below = _price_configs(lens[at], price, size)
+            value = price + best[size - lens[at]]
+            pick, below, room = pick.tolist(), below.tolist(), ((goal - cover[at]) * want[at]).tolist()
+            used = 0
+            for j in np.argsort(-value, kind="stable").tolist():
+                if value[j] < (1 - near) * best[size]:
+                    break
+                config, c = {j: 1}, below[size - part[j]]
+                while c:
+                    config[pick[c]] = config.get(pick[c], 0) + 1
+                    c = below[c - part[pick[c]]]
+                if any(room[i] <= least[i] for i in config):
+                    continue
+                x = min(room[i] / k for i, k in config.items())
+                for i, k in config.items():
+                    room[i] -= x * k
+                key = tuple(sorted((part[i], k) for i, k in config.items()))
+                plan[key] = plan.get(key, 0.0) + x
+                used += 1
+            cover[at] = goal - np.array(room) / want[at]
+            # Lengths that lag have higher prices in the next step; the last one covers all.
+            if step < steps and used * 20 < len(at):
                 break
-    left = {int(x): int(n) for x, n in zip(lens, need, strict=True)}
-    out: list[tuple[dict[int, int], int]] = []
-    for key, x in sorted(plan.items(), key=lambda p: (-p[1], p[0])):
-        # Only configurations that fill a sequence are taken from the program; the others are placed best-fit.
-        if sum(a * k for a, k in key) < size:
-            continue
-        times = min([int(x), *(left[a] // k for a, k in key)])
-        if times > 0:
-            out.append((dict(key), times))
-            for a, k in key:
-                left[a] -= k * times
-    return out + best_fit({a: n for a, n in left.items() if n}, size)
-
-
-def best_fit(hist: dict[int, int], size: int) -> list[tuple[dict[int, int], int]]:
-    """Best-fit decreasing over runs of equal pieces and runs of equal sequences."""
+    return plan
+
+
+def program_configs(hist: dict[int, int], size: int, steps: int = 4, sharp: float = 12.0) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """The rounded program's configurations with how often each is used, and the pieces that rounding leaves.
+
+    Uses are rounded down, then up while pieces last; the program is solved again over what is left until that places
+    less than a tenth of it. Those that don't fill a sequence are taken last, rounded down, so that others may top them up.
+    """
+    left = {a: n for a, n in hist.items() if n}
+    out = [({size: 1}, left.pop(size))] if size in left else []
+    while left:
+        before = sum(a * n for a, n in left.items())
+        plan = cover_program(left, size, steps, sharp)
+        full = {key: x for key, x in plan.items() if sum(a * k for a, k in key) == size}
+        taken: dict[tuple, int] = {}
+
+        def take(some: dict[tuple, float], order, most) -> None:
+            for key, x in sorted(some.items(), key=order):
+                if times := min([most(x), *(left[a] // k for a, k in key)]):
+                    taken[key] = taken.get(key, 0) + times
+                    for a, k in key:
+                        left[a] -= k * times
+
+        take(full, lambda p: (-p[1], p[0]), int)
+        take(full, lambda p: (-(p[1] % 1), p[0]), lambda x: 1)
+        last = sum(a * n for a, n in left.items()) > 0.9 * before
+        if last:
+            take({key: x for key, x in plan.items() if key not in full}, lambda p: (-p[1], p[0]), int)
+        out += [(dict(key), times) for key, times in taken.items()]
+        left = {a: n for a, n in left.items() if n}
+        if last:
+            break
+    return out, left
+
+
+def solve_configs(hist: dict[int, int], size: int, steps: int = 4, sharp: float = 12.0) -> list[tuple[dict[int, int], int]]:
+    """Configurations (length to copies) and how often each is used; together they hold the histogram exactly."""
+    out, left = program_configs(hist, size, steps, sharp)
+    fills = lambda c: sum(a * k for a, k in c.items()) == size
+    return [p for p in out if fills(p[0])] + best_fit(left, size, [p for p in out if not fills(p[0])])
+
+
+def best_fit(hist: dict[int, int], size: int, begun: Sequence[tuple[dict[int, int], int]] = ()) -> list[tuple[dict[int, int], int]]:
+    """Best-fit decreasing over runs of equal pieces and runs of equal sequences, those ``begun`` first."""
     runs: dict[int, list[list]] = {}  # room -> [configuration, how many]
+    for config, many in begun:
+        runs.setdefault(size - sum(a * k for a, k in config.items()), []).append([config, many])
     for length in sorted(hist, reverse=True):
         n = hist[length]
         while n:
@@ -204,7 +249,7 @@ def _assign(places: np.ndarray):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 0, rounds: int = 300, shard_rows: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 0, steps: int = 4, shard_rows: int = 50_000) -> DataFrame:
     """Pack each document's ids and then ``end_id`` into sequences of at most ``size`` ids.
 
     Returns a row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Only documents
@@ -228,7 +273,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     hist = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `size` rows
     if not hist:
         return pieces.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).limit(0)
-    places = _places(solve_configs(hist, size, rounds))
+    places = _places(solve_configs(hist, size, steps))
     most = max(1, -(-max(hist.values()) // shard_rows))
     shards = F.create_map(*[F.lit(x).cast("long") for k, n in hist.items() if n > shard_rows for x in (k, -(-n // shard_rows))]) if most > 1 else None
     ways = F.coalesce(F.try_element_at(shards, F.col("length")), F.lit(1).cast("long")) if most > 1 else F.lit(1)
