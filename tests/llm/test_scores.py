@@ -123,6 +123,21 @@ def test_suspects_miss_nothing(toxic_model):
     assert not flags[0] and flags[1] and flags[5]
 
 
+def test_suspects_hold_all_that_the_pattern_finds():
+    import pyarrow as pa
+
+    texts = ["i. d. i. o. t", "i  d  i  o  t", "i d. i  o.t", "x a. b c  d", "и д и о т", "é t é s", "“i d i o”", "ÄÄä", "ддд", "kk\u212a", "ii\u0130", "ςςΣ", "\u0130b c d e", "1a", "中中中", "😀a b c d", "𐐀𐐀𐐨"]
+    rng = random.Random(9)
+    parts = ["a", "b", "ab", "é", "É", "д", "中", "𐐀", "\u0130", "\u212a", "²", "“", "—", " ", ". ", "- ", "  ", ".", "_", "1", "@", "|", "\n", "\u0307", "\u00a0"]
+    texts += ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(30_000)]
+    want = [bool(toxicity.SUSPECT.search(t.lower())) for t in texts]
+    for some in (texts, *([t] for t in texts[:17])):
+        flags = toxicity.suspects(*toxicity.text_bytes(pa.array(some)))
+        assert [t for t, w, f in zip(some, want if some is texts else [toxicity.SUSPECT.search(some[0].lower())], flags, strict=True) if w and not f] == []
+    plain = ["plain words only.", "a café, öööl", "Das ist — gut", "то и другое"]
+    assert toxicity.suspects(*toxicity.text_bytes(pa.array(plain))).tolist() == [False, True, False, False]
+
+
 def test_toxicity_odd_rows(spark, messy, empty, no_labels):
     model = toxicity.fit(messy, no_labels)
     out = toxicity.score(messy, model)

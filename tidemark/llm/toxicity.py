@@ -45,6 +45,8 @@ _WORD = re.compile(rf"{_LETTER}+")
 _CODE = np.zeros(256, np.int64)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[128:] = 27
+_GAP = np.zeros(256, bool)
+_GAP[[ord(c) for c in GAPS]] = True
 _HINT = np.zeros(256, bool)
 _HINT[[ord(c) for c in "0123456789@$!|+*("]] = True
 
@@ -135,23 +137,68 @@ def viterbi(span: str, model: CharModel, beam: int = 64) -> str:
     return max(states.values())[1].strip()
 
 
+def _lowered() -> np.ndarray:
+    """Each code point in lower case, but for the dotted I, of which that makes two; both forms of small sigma are one."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    out[:0x20000] = [ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(0x20000)]
+    out[0x3C2] = 0x3C3
+    return out
+
+
+_lower: list[np.ndarray] = []
+_DOTTED = 0x130
+
+
+def _code_points(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each code point of UTF-8 bytes starts, and the code points in lower case."""
+    if not _lower:
+        _lower.append(_lowered())
+    at = np.flatnonzero((d & 0xC0) != 0x80)
+    lead = d[at].astype(np.uint32)
+    size = 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+    c = np.where(size == 1, lead, lead & (0xFF >> (size + 1)).astype(np.uint32))
+    for k in (1, 2, 3):
+        more = np.flatnonzero(size > k)
+        c[more] = c[more] << 6 | d[at[more] + k] & 0x3F
+    return at, _lower[0][c]
+
+
 def suspects(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Which texts may hold a suspect span, from their bytes."""
+    """Which texts may hold a suspect span: all that SUSPECT finds one in, and few others.
+
+    Works on code points; one beyond ASCII may be a letter or not.
+    """
     n = len(offs) - 1
     out = np.zeros(n, bool)
     for lo, hi in slices(offs):
         d = LOWER[raw[offs[lo] : offs[hi]]]
-        if len(d) < 3:
+        if len(d) < 2:
             continue
-        letter, hint = _CODE[d] > 0, _HINT[d]
-        hit = np.zeros(len(d), bool)
+        at = None
+        if (d >= 0x80).any():
+            at, c = _code_points(d)
+            b = np.minimum(c, 0x80).astype(np.uint8)
+        else:
+            c = b = d
+        letter, hint, gap = _CODE[b] > 0, _HINT[b], _GAP[b]
+        hit = np.zeros(len(b), bool)
         hit[1:] = (hint[:-1] & letter[1:]) | (letter[:-1] & hint[1:])
-        hit[2:] |= letter[2:] & (d[2:] == d[1:-1]) & (d[1:-1] == d[:-2])
-        if len(d) > 4:
-            hit[4:] |= letter[4:] & letter[2:-2] & letter[:-4] & ~letter[1:-3] & ~letter[3:-1]
-            hit[4:] |= letter[4:] & letter[:-4] & ~letter[1:-3] & ~letter[3:-1]
-        at = np.flatnonzero(hit) + offs[lo]
-        out[np.searchsorted(offs, at, "right") - 1] = True
+        hit |= c == _DOTTED
+        hit[2:] |= letter[2:] & (c[2:] == c[1:-1]) & (c[1:-1] == c[:-2])
+        # Single letters: none that is surely one stands beside them in their text. Four in a row, one or two gaps apart.
+        sure = letter & (b < 0x80)
+        first = np.zeros(len(b) + 1, bool)
+        starts = offs[lo : hi + 1] - offs[lo]
+        first[starts if at is None else np.searchsorted(at, starts)] = True
+        single = letter.copy()
+        single[1:] &= ~sure[:-1] | first[1:-1]
+        single[:-1] &= ~sure[1:] | first[1:-1]
+        q = np.flatnonzero(single)
+        apart = np.diff(q)
+        near = ((apart == 2) | (apart == 3)) & gap[np.minimum(q[:-1] + 1, len(b) - 1)] & gap[q[1:] - 1]
+        hit[q[3:][near[:-2] & near[1:-1] & near[2:]]] = True
+        found = np.flatnonzero(hit)
+        out[np.searchsorted(offs, (found if at is None else at[found]) + offs[lo], "right") - 1] = True
     return out
 
 
