@@ -232,3 +232,15 @@ def test_fresh_events(spark):
     df = spark.createDataFrame([("a", at(0)), ("a", at(20)), ("a", None), ("b", at(5))], "k string, t timestamp_ntz")
     got = {r.k: (r.received, r.fresh, r.stale, r.first_fresh) for r in evidence(df, "t", F.lit("2026-01-05 10:00:10"), F.lit("2026-01-05 10:00:15"), ["k"]).collect()}
     assert got == {"a": (3, 1, 2, at(20)), "b": (1, 1, 0, at(5))}
+
+
+def test_known_as_of_by_code(spark):
+    from datetime import date
+
+    from tidemark.operators import pit
+
+    rows = [(c, t, "20251231", date(2026, 1, 5), date(2026, 1, 6), 1) for c in ("A", "B", "C") for t in ("Income", "Top10Holder")]
+    df = spark.createDataFrame(rows, "stock_code string, table_name string, report_period string, announce_date date, available_date date, rank int")
+    known = lambda codes: sorted((r.stock_code, r.table_name) for r in pit.known_as_of(pit.financial_keys(df), codes, "2026-01-31").collect())
+    assert known(None) == sorted((r[0], r[1]) for r in rows)
+    assert known(["B"]) == [("B", "Income"), ("B", "Top10Holder")] and known([]) == []

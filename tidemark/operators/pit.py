@@ -39,13 +39,14 @@ def pit_view(financial: DataFrame, newest: Sequence[Column]) -> DataFrame:
     return latest_version(financial, ["source_record_key"], newest, F.col("announce_date").isNotNull() & F.col("available_date").isNotNull())
 
 
-def known_as_of(view: DataFrame, codes: Sequence[str], as_of, tables: Sequence[str] | None = None, newest: Sequence[Column] = ()) -> DataFrame:
+def known_as_of(view: DataFrame, codes: Sequence[str] | None, as_of, tables: Sequence[str] | None = None, newest: Sequence[Column] = ()) -> DataFrame:
     """What was known of the codes on a day, every report period.
 
-    No codes: nothing; no tables: all. Of snapshot tables the newest whole announcement of each code, table and
+    None for codes: all; no codes: nothing; no tables: all. Of snapshot tables the newest whole announcement of each code, table and
     period; of others the newest row of each logical record.
     """
-    eligible = view.where(F.col("stock_code").isin(*codes) if codes else F.lit(False)).where(F.col("available_date") <= F.lit(as_of).cast("date"))
+    among = F.lit(True) if codes is None else F.col("stock_code").isin(*codes) if codes else F.lit(False)
+    eligible = view.where(among).where(F.col("available_date") <= F.lit(as_of).cast("date"))
     if tables:
         eligible = eligible.where(F.col("table_name").isin(*tables))
     snapshot = F.col("table_name").isin(*SNAPSHOT_TABLES)

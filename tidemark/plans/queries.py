@@ -201,6 +201,11 @@ def q_main_contract_next_day(spark, sf_dir):
     return research.main_contract_of(_mapping(spark, sf_dir), ["1", "2", "7"], "NEXT_TRADE_DAY")
 
 
+@query(f"WITH {_MAIN}, {_NEXT} SELECT * FROM next_day")
+def q_main_contract_next_day_all(spark, sf_dir):
+    return _mapping(spark, sf_dir).where("mapping_type = 'NEXT_TRADE_DAY'")
+
+
 @query(f"WITH {_MAIN} SELECT product, count(*) AS days FROM eod WHERE selection_method = 'VOLUME' GROUP BY product")
 def q_main_fallback_volume(spark, sf_dir):
     return _eod(spark, sf_dir).where("selection_method = 'VOLUME'").groupBy("product").agg(F.count(F.lit(1)).alias("days"))
@@ -271,10 +276,14 @@ single AS (SELECT * FROM elig WHERE table_name NOT LIKE 'Top10%' QUALIFY row_num
 _FIN_COLS = "stock_code, table_name, report_period, announce_date, available_date, rank, order_key, value, logical_record_key, source_record_key, snapshot_version_key"
 
 
-def _known(spark, sf_dir, tables=None) -> DataFrame:
+#: The same over every stock.
+_VIEW_ALL = _VIEW.replace(f" AND stock_code IN ({_IN})", "")
+
+
+def _known(spark, sf_dir, tables=None, codes=_CODES) -> DataFrame:
     dated = pit.assign_availability(b.financials(spark, sf_dir), b.open_days(spark, sf_dir))
     view = pit.pit_view(dated, [F.col("order_key")])
-    return pit.known_as_of(view, _CODES, "1996-06-30", tables, [F.col("order_key")]).select(*_FIN_COLS.split(", "))
+    return pit.known_as_of(view, codes, "1996-06-30", tables, [F.col("order_key")]).select(*_FIN_COLS.split(", "))
 
 
 @query(f"WITH {_VIEW} SELECT {_FIN_COLS} FROM single")
@@ -292,6 +301,21 @@ def q_pit_union(spark, sf_dir):
     return _known(spark, sf_dir)
 
 
+@query(f"WITH {_VIEW_ALL} SELECT {_FIN_COLS} FROM single")
+def q_pit_single_all(spark, sf_dir):
+    return _known(spark, sf_dir, ["Income", "Balance"], None)
+
+
+@query(f"WITH {_VIEW_ALL} SELECT {_FIN_COLS} FROM snap")
+def q_pit_snapshot_all(spark, sf_dir):
+    return _known(spark, sf_dir, list(pit.SNAPSHOT_TABLES), None)
+
+
+@query(f"WITH {_VIEW_ALL} SELECT {_FIN_COLS} FROM snap UNION ALL SELECT {_FIN_COLS} FROM single")
+def q_pit_union_all(spark, sf_dir):
+    return _known(spark, sf_dir, codes=None)
+
+
 # --- quality, reports ------------------------------------------------------------------------------------------
 
 _PREV = "lag(close) OVER (PARTITION BY stock_code ORDER BY trade_date)"
