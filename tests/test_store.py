@@ -118,6 +118,19 @@ def test_builder(spark, tmp_path):
     assert "daily_bar" in b.refresh() and spark.table("future_basis_daily").first().basis_close == 10.0
 
 
+def test_batches_are_known_by_what_was_asked(spark, tmp_path):
+    from tidemark.plans.pipeline import Builder
+
+    b = Builder(Store(spark, f"{tmp_path}/root"), Checkpoint(f"{tmp_path}/state.json"))
+    schema = "time string, stock_code string, open double, high double, low double, close double, volume double, amount double"
+    bars = lambda *rows: spark.createDataFrame([(d, c, 10.0, 11.0, 9.0, x, 100.0, 1000.0) for d, c, x in rows], schema)
+    one = (("20260105", "A.SH", 10.0), ("20260105", "B.SH", 10.5))
+    assert b.bars(bars(*one), "stock", "x").rows == 2 and b.bars(bars(*reversed(one)), "stock", "x") is None
+    for changed in ((*one, ("20260105", "C.SH", 10.0)), (*one, ("20260106", "A.SH", 10.0)), (one[0], ("20260105", "B.SH", 9.5))):
+        assert b.bars(bars(*changed), "stock", "x") is not None and b.bars(bars(*changed), "stock", "x") is None
+    assert b.latest("daily_bar").count() == 4
+
+
 def test_self_check(spark):
     from tidemark.sources.selfcheck import REDUCED, CapabilityError, check, gate
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import epoch_or_text_date
 from ..operators import calendar as cal
 from ..operators import futures as fut
 from ..operators import normalize, pit, quality, universe
@@ -36,17 +37,28 @@ class Builder:
         layer, dataset, keys = VIEWS[view]
         return latest_version(self.store.read(layer, dataset), keys, ingested_order())
 
-    def bars(self, raw: DataFrame, asset: str, batch: str | None = None) -> Manifest | None:
-        """Raw bars, then normalised ones that pass the gate; a batch that is done isn't done again."""
-        what = [asset, *sorted(raw.columns)]
-        if batch and self.checkpoint and self.checkpoint.done(batch, what):
+    def _request(self, raw: DataFrame, asset: str, period: str) -> dict:
+        """What a batch is made from: dataset, codes, first and last day, period, and its rows in any order."""
+        code, names = normalize.ASSETS[asset][0], sorted(raw.columns)
+        day = epoch_or_text_date(F.col("trade_date" if "trade_date" in names else "time"))
+        content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])))
+        got = raw.agg(
+            F.sort_array(F.collect_set(F.col(code).cast("string"))).alias("codes"), F.min(day).cast("string").alias("start"), F.max(day).cast("string").alias("end"),
+            F.count(F.lit(1)).alias("rows"), F.sum(content.cast("decimal(38,0)")).cast("string").alias("content"),
+        ).first()
+        return {"dataset": f"{asset}_daily", "period": period, "columns": names, **got.asDict()}
+
+    def bars(self, raw: DataFrame, asset: str, batch: str | None = None, period: str = "1d") -> Manifest | None:
+        """Raw bars, then normalised ones that pass the gate; a batch that is done isn't done again, unless codes, days or rows differ."""
+        what = self._request(raw, asset, period) if batch and self.checkpoint else None
+        if what and self.checkpoint.done(batch, what):
             return None
         code = normalize.ASSETS[asset][0]
         first = self.store.publish("raw", f"{asset}_daily", raw)
         rows = normalize.normalize_bars(raw, asset)
         quality.enforce(quality.bar_rules(rows, code) if asset != "index" else quality.bar_rules(rows.withColumn("volume", F.col("volume") if "volume" in rows.columns else F.lit(None).cast("double")), code))
         done = self.store.publish("processed", f"{asset}_daily", rows, date="trade_date", inputs=[first.run_id])
-        if batch and self.checkpoint:
+        if what:
             self.checkpoint.mark(batch, what)
         return done
 
