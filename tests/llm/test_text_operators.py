@@ -206,6 +206,26 @@ def test_packing_messy(messy, empty):
     assert pack(empty, queries.tokenizer_path()).collect() == []
 
 
+def test_packed_sequences_hold_the_ids(spark):
+    from tokenizers import Tokenizer
+
+    docs = [(i, f"word{i} is here, " * (i * 40)) for i in range(12)] + [(None, "no id"), (3, None)]
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+    want = Counter((i, *tok.encode(t or "", add_special_tokens=False).ids, 7) for i, t in docs)
+    rows = pack(spark.createDataFrame(docs, "doc_id long, text string"), queries.tokenizer_path(), size=64, end_id=7).collect()
+    sequences = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert len(sequences[r.sequence_id]) == r.offset and len(r.ids) == r.length
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        sequences[r.sequence_id] += r.ids
+    assert all(len(s) <= 64 for s in sequences.values())
+    texts, at = Counter(), {(r.doc_id, r.start, r.ids_crc32): r.ids for r in rows if r.doc_id not in (None, 3)}
+    for i in range(12):
+        if i != 3:
+            texts[i, *(x for k in sorted(k for k in at if k[0] == i) for x in at[k])] += 1
+    assert texts == Counter({k: n for k, n in want.items() if k[0] not in (None, 3)})
+
+
 def test_plan_holds_the_histogram():
     rng = random.Random(5)
     for _ in range(30):
