@@ -66,7 +66,7 @@ def test_main_contract_and_basis(case):
     f = table("f", bars, "trade_date date, contract_code string, product string, close double, settlement double, open_interest double, volume double")
     eod = fut.main_contracts(f, master)
     con.sql("""CREATE TABLE eod AS WITH c AS (SELECT f.*, expire_date, bool_or(coalesce(open_interest >= 0, false)) OVER g AS oi, count(*) OVER g AS n FROM f JOIN m USING (contract_code) WHERE expire_date > trade_date WINDOW g AS (PARTITION BY trade_date, product))
-      SELECT trade_date, product, contract_code, n, CASE WHEN oi THEN 'OPEN_INTEREST' ELSE 'VOLUME' END AS how FROM c WHERE CASE WHEN oi THEN open_interest ELSE volume END >= 0
+      SELECT trade_date, product, contract_code, n, CASE WHEN oi THEN 'MAX_OPEN_INTEREST' ELSE 'MAX_VOLUME_FALLBACK' END AS how FROM c WHERE CASE WHEN oi THEN open_interest ELSE volume END >= 0
       QUALIFY row_number() OVER (PARTITION BY trade_date, product ORDER BY CASE WHEN oi THEN open_interest ELSE volume END DESC, expire_date, contract_code) = 1""")
     same(eod.select(F.col("effective_trade_date").alias("trade_date"), "product", "contract_code", F.col("eligible_contract_count").alias("n"), F.col("selection_method").alias("how")), con.sql("FROM eod"))
     index = table("x", [(DAY + timedelta(d), "S0", maybe(rng, float(rng.randrange(0, 3) * 50))) for d in range(0, 30, 2)], "trade_date date, index_code string, close double")

@@ -35,12 +35,12 @@ def test_main_contract_tie_goes_to_the_earlier_expiry(market):
     futures, master, calendar, _ = market
     eod = fut.main_contracts(futures, master)
     (r,) = eod.collect()
-    assert (r.contract_code, r.selection_method, r.eligible_contract_count, r.mapping_type) == ("IF2609.IF", "OPEN_INTEREST", 2, "EOD")
+    assert (r.contract_code, r.selection_method, r.eligible_contract_count, r.mapping_type) == ("IF2609.IF", "MAX_OPEN_INTEREST", 2, "EOD_OBSERVED")
     (n,) = fut.next_day_mapping(eod, calendar).collect()
     assert (n.effective_trade_date, n.observation_trade_date, n.mapping_type) == (d("2026-08-21"), d("2026-08-20"), "NEXT_TRADE_DAY")
 
 
-@pytest.mark.parametrize("oi,volume,winner,method", [((None, -1.0), (5.0, 7.0), "IF2612.IF", "VOLUME"), ((0.0, None), (5.0, 7.0), "IF2609.IF", "OPEN_INTEREST"), ((None, -2.0), (None, -1.0), None, None)])
+@pytest.mark.parametrize("oi,volume,winner,method", [((None, -1.0), (5.0, 7.0), "IF2612.IF", "MAX_VOLUME_FALLBACK"), ((0.0, None), (5.0, 7.0), "IF2609.IF", "MAX_OPEN_INTEREST"), ((None, -2.0), (None, -1.0), None, None)])
 def test_main_contract_fallbacks(spark, market, oi, volume, winner, method):
     rows = [(d("2026-08-20"), c, "IF", o, v) for c, o, v in zip(("IF2609.IF", "IF2612.IF"), oi, volume, strict=True)]
     got = fut.main_contracts(spark.createDataFrame(rows, "trade_date date, contract_code string, product string, open_interest double, volume double"), market[1]).collect()

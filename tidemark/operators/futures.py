@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Kinds of mappings, and how a main contract was found.
+EOD, NEXT_DAY = "EOD_OBSERVED", "NEXT_TRADE_DAY"
+BY_OPEN_INTEREST, BY_VOLUME = "MAX_OPEN_INTEREST", "MAX_VOLUME_FALLBACK"
+
 
 def main_contracts(futures: DataFrame, master: DataFrame, rule: str = "v1") -> DataFrame:
-    """The main contract of each day and product, by the end of the day: ``EOD`` rows.
+    """The main contract of each day and product, by the end of the day: ``EOD_OBSERVED`` rows.
 
     Candidates expire after the day. The largest open interest wins, if any is valid (not null, not negative), else
     the largest volume; ties go to the earlier expiry, then the code. No valid one: no row. One aggregation, whose
@@ -20,16 +24,16 @@ def main_contracts(futures: DataFrame, master: DataFrame, rule: str = "v1") -> D
 
     per = alive.groupBy("trade_date", "product").agg(best("open_interest").alias("oi"), best("volume").alias("vol"), F.count(F.lit(1)).alias("n"))
     return per.where("oi is not null or vol is not null").select(
-        F.lit("EOD").alias("mapping_type"), F.col("trade_date").alias("observation_trade_date"), F.col("trade_date").alias("effective_trade_date"), "product",
+        F.lit(EOD).alias("mapping_type"), F.col("trade_date").alias("observation_trade_date"), F.col("trade_date").alias("effective_trade_date"), "product",
         F.coalesce("oi.contract_code", "vol.contract_code").alias("contract_code"),
-        F.when(F.col("oi").isNotNull(), "OPEN_INTEREST").otherwise("VOLUME").alias("selection_method"), F.lit(rule).alias("rule_version"), F.col("n").alias("eligible_contract_count"),
+        F.when(F.col("oi").isNotNull(), BY_OPEN_INTEREST).otherwise(BY_VOLUME).alias("selection_method"), F.lit(rule).alias("rule_version"), F.col("n").alias("eligible_contract_count"),
     )
 
 
 def next_day_mapping(eod: DataFrame, calendar: DataFrame) -> DataFrame:
     """The same contracts as they can be used: on the open day after the one they were seen on."""
     days = calendar.where("next_trade_date is not null").select(F.col("trade_date").alias("observation_trade_date"), F.col("next_trade_date").alias("_next")).dropDuplicates(["observation_trade_date"])
-    return eod.join(days, "observation_trade_date").select(*[F.lit("NEXT_TRADE_DAY").alias(c) if c == "mapping_type" else F.col("_next").alias(c) if c == "effective_trade_date" else F.col(c) for c in eod.columns])
+    return eod.join(days, "observation_trade_date").select(*[F.lit(NEXT_DAY).alias(c) if c == "mapping_type" else F.col("_next").alias(c) if c == "effective_trade_date" else F.col(c) for c in eod.columns])
 
 
 def with_main_flag(df: DataFrame, mapping: DataFrame, mapping_type: str, name: str) -> DataFrame:
@@ -57,7 +61,7 @@ def basis(futures: DataFrame, index: DataFrame, master: DataFrame, mapping: Data
         .withColumn("annualized_basis", F.when(F.col("days_to_expiry") > 0, F.col("basis_pct") * 365 / F.col("days_to_expiry")))
         .withColumn("rule_version", F.lit(rule))
     )
-    rows = with_main_flag(with_main_flag(rows, mapping, "EOD", "is_eod_main"), mapping, "NEXT_TRADE_DAY", "is_tradable_main")
+    rows = with_main_flag(with_main_flag(rows, mapping, EOD, "is_eod_main"), mapping, NEXT_DAY, "is_tradable_main")
     return rows.select(
         "trade_date", "product", "contract_code", "spot_code", "future_close", "settlement", "spot_close", "basis_close", "basis_settlement",
         "basis_pct", "days_to_expiry", "annualized_basis", "is_eod_main", "is_tradable_main", "rule_version",

@@ -33,9 +33,9 @@ def amihud(bars: DataFrame, windows: tuple[int, ...] = (20, 60)) -> DataFrame:
     return out.select("trade_date", "stock_code", "ret", "amount", "amihud", *[rolling_median(F.col("amihud"), over(n)).alias(f"amihud{n}") for n in windows])
 
 
-def idiosyncratic_amihud(bars: DataFrame) -> DataFrame:
-    """The same of what the return has beyond the day's mean return."""
-    day = Window.partitionBy("trade_date")
+def idiosyncratic_amihud(bars: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """The same of what the return has beyond the mean return of the day, or of the day's sector, say."""
+    day = Window.partitionBy("trade_date", *within)
     out = with_returns(bars).withColumn("idio", F.col("ret") - F.avg("ret").over(day))
     return out.select("trade_date", "stock_code", "idio", F.try_divide(F.abs("idio"), F.nullif(F.col("amount"), F.lit(0.0))).alias("idio_amihud"))
 
@@ -109,6 +109,18 @@ def breadth(df: DataFrame, value: str, n: int = 60, above: bool = True) -> DataF
     return own.where(F.col(value).isNotNull() & F.col("_own").isNotNull()).groupBy("trade_date").agg(F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("breadth"), F.count(F.lit(1)).alias("stocks"))
 
 
+def improving(df: DataFrame, value: str = "amihud", n: int = 20) -> DataFrame:
+    """Whether a stock's rolling median of illiquidity fell within n rows; null where there is nothing to compare."""
+    out = df.withColumn("_median", rolling_median(F.col(value), over(n)))
+    before = F.lag("_median", n).over(Window.partitionBy("stock_code").orderBy("trade_date"))
+    return out.withColumn("improving", F.col("_median") < before).drop("_median")
+
+
+def share_of(df: DataFrame, flag: Column, by: tuple[str, ...] = ("trade_date",), name: str = "breadth") -> DataFrame:
+    """The share of stocks for which a flag holds, of those for which it isn't null, and their number."""
+    return df.where(flag.isNotNull()).groupBy(*by).agg(F.avg(F.when(flag, 1.0).otherwise(0.0)).alias(name), F.count(F.lit(1)).alias("stocks"))
+
+
 def concentration(df: DataFrame, by: list[str], tops: tuple[int, ...] = (10, 50), shares: tuple[float, ...] = (0.05,)) -> DataFrame:
     """Herfindahl index of amounts, plain and normalised, and the share of the largest."""
     day = Window.partitionBy(*by)
@@ -124,9 +136,9 @@ def concentration(df: DataFrame, by: list[str], tops: tuple[int, ...] = (10, 50)
     return ranked.groupBy(*by).agg(*aggs)
 
 
-def hot_share(df: DataFrame, above: float = 1.5) -> DataFrame:
+def hot_share(df: DataFrame, above: float = 1.5, by: tuple[str, ...] = ("trade_date",)) -> DataFrame:
     """The share of the day's amount in stocks whose turnover z-score is above a bound."""
-    return df.groupBy("trade_date").agg(F.try_divide(F.sum(F.when(F.col("turnover_z") > above, F.col("amount")).otherwise(0.0)), F.nullif(F.sum("amount"), F.lit(0.0))).alias("hot_share"))
+    return df.groupBy(*by).agg(F.try_divide(F.sum(F.when(F.col("turnover_z") > above, F.col("amount")).otherwise(0.0)), F.nullif(F.sum("amount"), F.lit(0.0))).alias("hot_share"))
 
 
 def day_z(df: DataFrame, value: str, n: int) -> Column:
@@ -152,9 +164,37 @@ def regime(df: DataFrame, health: str, crowding: str, middle: float = 0.5) -> Da
     return df.withColumn("regime", name)
 
 
+def with_sector(df: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows with the sectors that a stock belonged to on its day: from in_date on, until before out_date; null ends are open."""
+    m = members.select(F.col("code").alias("stock_code"), "sector", "in_date", "out_date")
+    since = F.col("in_date").isNull() | (F.col("in_date") <= F.col("trade_date"))
+    until = F.col("out_date").isNull() | (F.col("out_date") > F.col("trade_date"))
+    return df.join(m, "stock_code").where(since & until).drop("in_date", "out_date")
+
+
+def composite(df: DataFrame, parts: dict[str, bool], n: int, name: str) -> DataFrame:
+    """The mean of each part's rank in its last n days, turned round where less is more; null parts are left out.
+
+    ``parts`` tells for each column whether more of it counts for more. A market has one row a day.
+    """
+    w = Window.orderBy("trade_date").rowsBetween(1 - n, 0)
+    ranks = [F.when(F.col(c).isNotNull(), r if up else 1 - r) for c, up in parts.items() for r in [history_rank(F.col(c), w)]]
+    given = F.filter(F.array(*ranks), lambda x: x.isNotNull())
+    mean = F.try_divide(F.aggregate(given, F.lit(0.0), lambda a, x: a + x), F.nullif(F.size(given), F.lit(0)))
+    return df.withColumn(name, mean)
+
+
+def standardise(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """z-scores among the rows of a group; null where they don't differ."""
+    return df.withColumn(value, rolling_z(F.col(value), Window.partitionBy(*by)))
+
+
 def sector_day(df: DataFrame) -> DataFrame:
-    """A day's sectors: amount, shares of the market's amount and cap, their ratio, median illiquidity."""
-    per = df.groupBy("trade_date", "sector").agg(F.sum("amount").alias("amount"), F.sum("ff_cap").alias("cap"), F.median("amihud").alias("median_amihud"), F.count(F.lit(1)).alias("stocks"))
+    """A day's sectors: amount, turnover, shares of the market's amount and cap, their ratio, median illiquidity, also on falling days."""
+    per = df.groupBy("trade_date", "sector").agg(
+        F.sum("amount").alias("amount"), F.sum("ff_cap").alias("cap"), F.median("amihud").alias("median_amihud"),
+        F.median(F.when(F.col("ret") < 0, F.col("amihud"))).alias("median_downside"), F.count(F.lit(1)).alias("stocks"),
+    ).withColumn("turnover", F.try_divide(F.col("amount"), F.nullif(F.col("cap"), F.lit(0.0))))
     day = Window.partitionBy("trade_date")
     out = per.withColumn("amount_share", F.try_divide(F.col("amount"), F.sum("amount").over(day))).withColumn("cap_share", F.try_divide(F.col("cap"), F.sum("cap").over(day)))
     return out.withColumn("rta", F.try_divide(F.col("amount_share"), F.nullif(F.col("cap_share"), F.lit(0.0))))

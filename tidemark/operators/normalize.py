@@ -10,6 +10,7 @@ from ..functions import detail_date, epoch_or_text_date, number, record_key
 # Upstream names and ours, one misspelt upstream.
 RENAMES = {
     "time": "trade_date",
+    "stime": "trade_date",
     "preClose": "pre_close",
     "suspendFlag": "suspend_flag",
     "openInterest": "open_interest",

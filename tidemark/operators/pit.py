@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from ..functions import record_key
 from .calendar import next_open_day
-from .versions import latest_version
+from .versions import ingested_order, latest_version
 
 #: Tables of which an announcement replaces the whole one before.
 SNAPSHOT_TABLES = ("Top10Holder", "Top10FlowHolder")
 
 
 def financial_keys(df: DataFrame) -> DataFrame:
-    """Logical, source and snapshot keys. Ranked tables need a ``rank`` column."""
+    """Logical, source and snapshot keys. Rows of snapshot tables are an error where there is no ``rank`` column, as
+    all holders of an announcement would share a key."""
     ranked = F.col("table_name").isin(*SNAPSHOT_TABLES)
-    rank: Column = F.col("rank").cast("bigint") if "rank" in df.columns else F.lit(None).cast("bigint")
+    rank: Column = F.col("rank").cast("bigint") if "rank" in df.columns else F.raise_error("rows of a snapshot table need a rank").cast("bigint")
     core = [F.col("stock_code"), F.col("table_name"), F.col("report_period")]
     logical = F.when(ranked, record_key(*core, rank)).otherwise(record_key(*core))
     out = df.withColumn("logical_record_key", logical)
@@ -39,12 +40,15 @@ def pit_view(financial: DataFrame, newest: Sequence[Column]) -> DataFrame:
     return latest_version(financial, ["source_record_key"], newest, F.col("announce_date").isNotNull() & F.col("available_date").isNotNull())
 
 
-def known_as_of(view: DataFrame, codes: Sequence[str] | None, as_of, tables: Sequence[str] | None = None, newest: Sequence[Column] = ()) -> DataFrame:
+def known_as_of(view: DataFrame, codes: Sequence[str] | None, as_of, tables: Sequence[str] | None = None, newest: Sequence[Column] | None = None) -> DataFrame:
     """What was known of the codes on a day, every report period.
 
     None for codes: all; no codes: nothing; no tables: all. Of snapshot tables the newest whole announcement of each code, table and
-    period; of others the newest row of each logical record.
+    period; of others the newest row of each logical record. Of rows that were available and announced on the same
+    days, ``newest`` decides; by default the later ingestion, where the view tells it.
     """
+    if newest is None:
+        newest = ingested_order() if {"_ingested_at", "source_run_id"} <= set(view.columns) else []
     among = F.lit(True) if codes is None else F.col("stock_code").isin(*codes) if codes else F.lit(False)
     eligible = view.where(among).where(F.col("available_date") <= F.lit(as_of).cast("date"))
     if tables:

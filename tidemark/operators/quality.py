@@ -49,13 +49,20 @@ def master_rules(master: DataFrame) -> DataFrame:
 
 
 def financial_rules(financial: DataFrame) -> DataFrame:
-    require(financial, "announce_date", "available_date")
+    require(financial, "stock_code", "report_period", "announce_date", "available_date")
     return _counts(financial, {
         "announce_date_present": ("WARN", F.count_if(F.col("announce_date").isNull())),
         "pit_availability": ("ERROR", F.count_if(F.col("available_date") <= F.col("announce_date"))),
     })
 
 
+def inventory(df: DataFrame) -> DataFrame:
+    """(field, kind, filled, empty): each column's type and how many of its values aren't null, in one aggregation."""
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(df.columns)])
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.lit(k).alias("kind"), F.col(f"_c{i}").alias("filled"), (F.col("_n") - F.col(f"_c{i}")).alias("empty")) for i, (c, k) in enumerate(df.dtypes)])
+    return one.select(F.explode(fields).alias("x")).select("x.*")
+
+
 def enforce(report: DataFrame) -> None:
     """Raise if a rule of severity ERROR is broken; a report has a row for each rule."""
     broken = [f"{r['rule']}={r['count']}" for r in report.where("severity = 'ERROR' and count > 0").collect()]

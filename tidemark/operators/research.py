@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAPPING_TYPES = ("EOD", "NEXT_TRADE_DAY")
+from .futures import EOD, NEXT_DAY
+
+MAPPING_TYPES = (EOD, NEXT_DAY)
 
 
 def dated(df: DataFrame, start=None, end=None, day: str = "trade_date", **filters) -> DataFrame:
@@ -30,6 +32,24 @@ def daily_bars(bars: DataFrame, codes: Sequence[str], start=None, end=None) -> D
     return dated(bars, start, end, stock_code=list(codes))
 
 
+def index_bars(index: DataFrame, codes: Sequence[str], start=None, end=None) -> DataFrame:
+    return dated(index, start, end, index_code=list(codes))
+
+
+def future_bars(futures: DataFrame, codes: Sequence[str], start=None, end=None) -> DataFrame:
+    return dated(futures, start, end, contract_code=list(codes))
+
+
+def basis_of(basis: DataFrame, products: Sequence[str], start=None, end=None) -> DataFrame:
+    return dated(basis, start, end, product=list(products))
+
+
+def eligible_bars(bars: DataFrame, universe: DataFrame, name: str) -> DataFrame:
+    """Bars of the stocks that were in a universe on their day."""
+    members = dated(universe, universe_name=name).where("eligible_flag").select("trade_date", "stock_code").distinct()
+    return bars.join(members, ["trade_date", "stock_code"], "left_semi")
+
+
 def universe_on(universe: DataFrame, name: str, day) -> DataFrame:
     return dated(universe, day, day, universe_name=name).where("eligible_flag")
 

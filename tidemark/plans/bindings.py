@@ -62,6 +62,25 @@ SECURITIES = """securities AS (
   FROM supplier)"""
 
 
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sectors: each stock is in its region's until a day, then in the next one's."""
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("r"))
+    k = F.col("s_suppkey").cast("int")
+    moved, never = F.date_add(F.lit("1994-01-01").cast("date"), k * 23 % 1500), F.lit(None).cast("date")
+    rows = table(spark, sf_dir, "supplier").join(nations, "s_nationkey")
+    code = F.col("s_suppkey").cast("string").alias("code")
+    return rows.select(F.col("r").alias("sector"), code, never.alias("in_date"), moved.alias("out_date")).unionByName(
+        rows.select(((F.col("r") + 1) % 5).alias("sector"), code, moved.alias("in_date"), never.alias("out_date"))
+    )
+
+
+MEMBERS = """members AS (
+  SELECT n_regionkey AS sector, CAST(s_suppkey AS VARCHAR) AS code, NULL::DATE AS in_date, DATE '1994-01-01' + CAST(s_suppkey * 23 % 1500 AS INT) AS out_date
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION ALL
+  SELECT (n_regionkey + 1) % 5, CAST(s_suppkey AS VARCHAR), DATE '1994-01-01' + CAST(s_suppkey * 23 % 1500 AS INT), NULL
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+
+
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey").cast("int")
     start = F.lit("1992-01-01").cast("date")

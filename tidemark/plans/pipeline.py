@@ -14,7 +14,7 @@ from ..operators import normalize, pit, quality, universe
 from ..operators.versions import ingested_order, latest_version
 from .store import Checkpoint, Manifest, Store
 
-#: Views over versions: layer, dataset and key.
+#: Views over versions, by layer, dataset and key; the last, where given, is what a row must meet.
 VIEWS = {
     "daily_bar": ("processed", "stock_daily", ["trade_date", "stock_code"]),
     "index_daily": ("processed", "index_daily", ["trade_date", "index_code"]),
@@ -22,11 +22,13 @@ VIEWS = {
     "security_master": ("processed", "security_master", ["stock_code"]),
     "future_contracts": ("processed", "future_contract_master", ["contract_code"]),
     "trade_calendar": ("processed", "trade_calendar", ["market", "trade_date"]),
+    "financial_pit": ("processed", "financial", ["source_record_key"], "announce_date is not null and available_date is not null"),
     "historical_universe": ("derived", "historical_universe", ["universe_name", "trade_date", "stock_code"]),
     "future_main_mapping": ("derived", "future_main_mapping", ["mapping_type", "effective_trade_date", "product"]),
     "future_basis_daily": ("derived", "future_basis_daily", ["trade_date", "contract_code"]),
 }
-FULL_HISTORY, SURVIVORS = "FULL_HISTORY", "CURRENT_SURVIVORS"
+# What a history covers, and what is known of corporate actions.
+FULL_HISTORY, SURVIVORS = "FULL_HISTORY", "CURRENT_UNIVERSE_ONLY"
 
 
 class Builder:
@@ -34,8 +36,8 @@ class Builder:
         self.store, self.checkpoint, self.scope = store, checkpoint, scope
 
     def latest(self, view: str) -> DataFrame:
-        layer, dataset, keys = VIEWS[view]
-        return latest_version(self.store.read(layer, dataset), keys, ingested_order())
+        layer, dataset, keys, *where = VIEWS[view]
+        return latest_version(self.store.read(layer, dataset), keys, ingested_order(), *map(F.expr, where))
 
     def _request(self, raw: DataFrame, asset: str, period: str) -> dict:
         """What a batch is made from: dataset, codes, first and last day, period, and its rows in any order."""
@@ -62,6 +64,11 @@ class Builder:
             self.checkpoint.mark(batch, what)
         return done
 
+    def corporate_actions(self, factors: DataFrame) -> Manifest | None:
+        """Dividend factors (stock_code, time, ...) as they come; codes without any have no rows. Nothing: no run."""
+        quality.require(factors, "stock_code")
+        return None if factors.isEmpty() else self.store.publish("raw", "corporate_action", factors)
+
     def calendar(self, days: DataFrame, market: str) -> Manifest:
         return self.store.publish("processed", "trade_calendar", cal.trade_calendar(days, market), date="trade_date")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import detail_date, epoch_or_text_date, event_time, record_key, streak_length
+from ..functions import detail_date, epoch_or_text_date, event_time, record_key, redact, streak_length
 from ..operators import calendar as cal
 from ..operators import futures as fut
 from ..operators import liquidity as liq
@@ -172,8 +172,8 @@ _MAIN = b.FUTURES + """, cand AS (
   SELECT f.*, expire_date, bool_or(coalesce(open_interest >= 0, false)) OVER g AS any_oi, count(*) OVER g AS n
   FROM futures f JOIN contracts c USING (contract_code) WHERE expire_date > trade_date WINDOW g AS (PARTITION BY trade_date, f.product)
 ), eod AS (
-  SELECT 'EOD' AS mapping_type, trade_date AS observation_trade_date, trade_date AS effective_trade_date, product, contract_code,
-    CASE WHEN any_oi THEN 'OPEN_INTEREST' ELSE 'VOLUME' END AS selection_method, 'v1' AS rule_version, n AS eligible_contract_count
+  SELECT 'EOD_OBSERVED' AS mapping_type, trade_date AS observation_trade_date, trade_date AS effective_trade_date, product, contract_code,
+    CASE WHEN any_oi THEN 'MAX_OPEN_INTEREST' ELSE 'MAX_VOLUME_FALLBACK' END AS selection_method, 'v1' AS rule_version, n AS eligible_contract_count
   FROM cand WHERE CASE WHEN any_oi THEN open_interest >= 0 ELSE volume >= 0 END
   QUALIFY row_number() OVER (PARTITION BY trade_date, product ORDER BY CASE WHEN any_oi THEN open_interest ELSE volume END DESC, expire_date, contract_code) = 1
 )"""
@@ -206,16 +206,16 @@ def q_main_contract_next_day_all(spark, sf_dir):
     return _mapping(spark, sf_dir).where("mapping_type = 'NEXT_TRADE_DAY'")
 
 
-@query(f"WITH {_MAIN} SELECT product, count(*) AS days FROM eod WHERE selection_method = 'VOLUME' GROUP BY product")
+@query(f"WITH {_MAIN} SELECT product, count(*) AS days FROM eod WHERE selection_method = 'MAX_VOLUME_FALLBACK' GROUP BY product")
 def q_main_fallback_volume(spark, sf_dir):
-    return _eod(spark, sf_dir).where("selection_method = 'VOLUME'").groupBy("product").agg(F.count(F.lit(1)).alias("days"))
+    return _eod(spark, sf_dir).where("selection_method = 'MAX_VOLUME_FALLBACK'").groupBy("product").agg(F.count(F.lit(1)).alias("days"))
 
 
 @query(f"""WITH {_MAIN}, {_NEXT} SELECT trade_date, contract_code, (trade_date, contract_code) IN (SELECT (effective_trade_date, contract_code) FROM eod) AS is_eod_main,
   (trade_date, contract_code) IN (SELECT (effective_trade_date, contract_code) FROM next_day) AS is_tradable_main FROM futures""")
 def q_main_flags(spark, sf_dir):
     m = _mapping(spark, sf_dir)
-    rows = fut.with_main_flag(b.futures(spark, sf_dir).select("trade_date", "contract_code"), m, "EOD", "is_eod_main")
+    rows = fut.with_main_flag(b.futures(spark, sf_dir).select("trade_date", "contract_code"), m, fut.EOD, "is_eod_main")
     return fut.with_main_flag(rows, m, "NEXT_TRADE_DAY", "is_tradable_main")
 
 
@@ -587,3 +587,238 @@ def q_event_time(spark, sf_dir):
     )
     rows = b.table(spark, sf_dir, "events").select("event_id", event_time(raw).alias("t"))
     return rows.select("event_id", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', t)").alias("at_us"))
+
+
+# --- getters, discovery and normalisation over whole tables ------------------------------------------------------
+
+@query(f"WITH {b.FUTURES}, {b.INDEX} SELECT trade_date, index_code, round(close, 8) AS close FROM idx WHERE trade_date BETWEEN DATE '1993-01-01' AND DATE '1997-12-31'")
+def q_index_range(spark, sf_dir):
+    codes = list(b.SPOTS.values()) + [f"IDX{n}" for n in range(3, 25, 4)]
+    return research.index_bars(b.index_days(spark, sf_dir), codes, "1993-01-01", "1997-12-31").select("trade_date", "index_code", *_r("close"))
+
+
+@query(f"WITH {b.FUTURES} SELECT trade_date, contract_code, round(close, 8) AS close, volume FROM futures WHERE contract_code IN ('1', '2', '4') AND trade_date >= DATE '1995-06-01'")
+def q_future_range(spark, sf_dir):
+    return research.future_bars(b.futures(spark, sf_dir), ["1", "2", "4"], "1995-06-01").select("trade_date", "contract_code", *_r("close"), "volume")
+
+
+@query(f"""WITH {b.FUTURES}, {b.INDEX} SELECT f.trade_date, contract_code, product, round(f.close - i.close, 8) AS basis_close FROM futures f
+JOIN idx i ON f.trade_date = i.trade_date AND i.index_code = 'IDX' || product WHERE product IN ('0', '1', '2') AND f.trade_date <= DATE '1996-12-31'""")
+def q_basis_range(spark, sf_dir):
+    none = b.contracts(spark, sf_dir).select(F.lit("").alias("mapping_type"), F.lit(None).cast("date").alias("effective_trade_date"), "contract_code").limit(0)
+    rows = fut.basis(b.futures(spark, sf_dir), b.index_days(spark, sf_dir), b.contracts(spark, sf_dir), none, b.SPOTS)
+    return research.basis_of(rows, ["0", "1", "2"], None, "1996-12-31").where("basis_close is not null").select("trade_date", "contract_code", "product", *_r("basis_close"))
+
+
+@query(f"""WITH {b.BARS}, {b.SECURITIES} SELECT trade_date, b.stock_code, round(close, 8) AS close FROM bars b JOIN securities s ON b.stock_code = s.stock_code
+WHERE list_date <= trade_date AND (delist_date IS NULL OR delist_date >= trade_date) AND trade_date IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""")
+def q_bars_in_universe(spark, sf_dir):
+    days = b.open_days(spark, sf_dir).withColumn("is_open", F.lit(True))
+    members = universe.historical_universe(b.securities(spark, sf_dir), days, "ALL")
+    return research.eligible_bars(b.bars(spark, sf_dir), members, "ALL").select("trade_date", "stock_code", *_r("close"))
+
+
+@query(f"WITH {b.MEMBERS} SELECT DISTINCT code FROM members WHERE sector IN (0, 2) AND (code LIKE '%1' OR code LIKE '%6')")
+def q_discover_codes(spark, sf_dir):
+    return feed.discover_codes(b.members(spark, sf_dir), [0, 2], ["1", "6"])
+
+
+@query(f"WITH {b.MEMBERS} SELECT DISTINCT sector, code FROM members WHERE sector IN (1, 3, 4) AND (in_date IS NULL OR in_date <= DATE '1996-01-01') AND (out_date IS NULL OR out_date > DATE '1996-01-01')")
+def q_sectors_as_of(spark, sf_dir):
+    return feed.members_on(b.members(spark, sf_dir), [1, 3, 4], "1996-01-01")
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS code, DATE '1992-01-01' + CAST(s_suppkey * 53 % 2600 AS INT) AS expire_date FROM supplier WHERE s_suppkey % 11 <> 0 AND s_suppkey * 53 % 2600 < 1461")
+def q_expired_candidates(spark, sf_dir):
+    contracts = b.contracts(spark, sf_dir).select(F.col("contract_code").alias("code"), F.coalesce(F.date_format("expire_date", "yyyyMMdd"), F.lit("0")).alias("ExpireDate"))
+    return feed.expired_candidates(contracts.select("code"), contracts, "1996-01-01")
+
+
+@query("""SELECT CAST(l_suppkey AS VARCHAR) AS stock_code, l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS trade_date, l_extendedprice AS close, CASE WHEN l_quantity > 1 THEN l_quantity END AS volume FROM lineitem""")
+def q_flatten_market(spark, sf_dir):
+    lines = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("code")).agg(F.collect_list(F.struct(
+        "l_orderkey", "l_linenumber", "l_partkey", F.date_format("l_shipdate", "yyyyMMdd").alias("time"), F.col("l_extendedprice").alias("close"), F.when(F.col("l_quantity") > 1, F.col("l_quantity")).alias("volume")
+    )).alias("rows"))
+    flat = normalize.flatten_codes(lines.select(F.create_map("code", "rows").alias("m")), "m", "stock_code")
+    return flat.select("stock_code", "l_orderkey", "l_linenumber", "l_partkey", epoch_or_text_date(F.col("time")).alias("trade_date"), "close", "volume")
+
+
+@query(f"WITH {b.BARS} SELECT trade_date, stock_code, round(open, 8) AS open, round(high, 8) AS high, round(low, 8) AS low, round(close, 8) AS close, round(low, 8) AS pre_close, volume, amount, 0.0::DOUBLE AS suspend_flag FROM bars")
+def q_normalize_bars(spark, sf_dir):
+    rows = b.bars(spark, sf_dir)
+    raw = rows.select(F.date_format("trade_date", "yyyy-MM-dd").alias("stime"), "stock_code", "open", "high", "low", "close", F.col("low").alias("preClose"), F.col("volume").cast("decimal(18,2)").alias("volume"), "amount", F.lit("0").alias("suspendFlag"))
+    odd = raw.where("stock_code = '1'").withColumn("stime", F.lit("20261399"))  # no date: these rows go
+    prices = ("open", "high", "low", "close", "pre_close")
+    out = normalize.normalize_bars(raw.unionByName(odd), "stock")
+    return out.select(*[F.round(c, 8).alias(c) if c in prices else F.col(c) for c in out.columns])
+
+
+@query("""SELECT CAST(o_custkey % 200 AS VARCHAR) AS stock_code, CASE WHEN o_orderstatus = 'F' THEN 'UNKNOWN' ELSE o_orderstatus END AS table_name, o_orderkey, o_totalprice,
+  sha256(concat_ws(chr(31), CAST(o_custkey % 200 AS VARCHAR), CASE WHEN o_orderstatus = 'F' THEN 'UNKNOWN' ELSE o_orderstatus END)) AS source_record_key FROM orders""")
+def q_flatten_financial(spark, sf_dir):
+    per = b.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 200).cast("string").alias("code"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).otherwise("UNKNOWN").alias("t"), F.struct("o_orderkey", "o_totalprice").alias("r"))
+    tables = per.groupBy("code", "t").agg(F.collect_list("r").alias("rows")).groupBy("code").agg(F.map_from_entries(F.collect_list(F.struct("t", "rows"))).alias("tables"))
+    flat = normalize.flatten_financial(tables.select(F.create_map("code", "tables").alias("m")), "m")
+    return normalize.provisional_key(flat)
+
+
+@query(f"""WITH {b.FINANCIALS} SELECT stock_code, table_name, report_period, announce_date, available_date, order_key, source_record_key FROM fin_keyed
+WHERE announce_date IS NOT NULL AND available_date IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_record_key ORDER BY order_key DESC) = 1""")
+def q_financial_pit_view(spark, sf_dir):
+    dated = pit.assign_availability(b.financials(spark, sf_dir), b.open_days(spark, sf_dir))
+    return pit.pit_view(dated, [F.col("order_key")]).select("stock_code", "table_name", "report_period", "announce_date", "available_date", "order_key", "source_record_key")
+
+
+@query(f"WITH {b.BARS} SELECT trade_date, stock_code, volume FROM bars WHERE day(trade_date) % 4 <> 0")
+def q_real_bars(spark, sf_dir):
+    padded = b.bars(spark, sf_dir)
+    gone = F.dayofmonth("trade_date") % 4 == 0
+    padded = padded.select("trade_date", "stock_code", "volume", *[F.when(gone, F.lit(0.0) if c != "low" else None).otherwise(F.col(c)).alias(c) for c in ("open", "high", "low", "close")])
+    return feed.real_bars(padded).select("trade_date", "stock_code", "volume")
+
+
+@query("""SELECT 'o_orderkey' AS field, 'bigint' AS kind, count(o_orderkey) AS filled, count(*) - count(o_orderkey) AS empty FROM orders UNION ALL
+SELECT 'urgent', 'string', count(*) FILTER (WHERE o_orderpriority LIKE '1%'), count(*) FILTER (WHERE o_orderpriority NOT LIKE '1%') FROM orders UNION ALL
+SELECT 'o_totalprice', 'double', count(o_totalprice), count(*) - count(o_totalprice) FROM orders""")
+def q_field_inventory(spark, sf_dir):
+    orders = b.table(spark, sf_dir, "orders")
+    return quality.inventory(orders.select("o_orderkey", F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderpriority")).alias("urgent"), "o_totalprice"))
+
+
+@query("""SELECT event_id, '{"a": {"token": "***", "n": 1}, "account": "***", "b": ["***", ' || event_id || ']}' AS shown FROM events""")
+def q_redact(spark, sf_dir):
+    e = b.table(spark, sf_dir, "events").select("event_id", F.col("event_id").cast("string").alias("i"))
+    text = F.concat(F.lit('{"a": {"token": "x,}\\"y'), F.col("i"), F.lit('", "n": 1}, "account": '), F.col("i"), F.lit('.5, "b": ["***", '), F.col("i"), F.lit("]}"))
+    return e.select("event_id", redact(text, ["token", "account"]).alias("shown"))
+
+
+@query("""SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS n, round(max(value), 8) AS high, round(min(value), 8) AS low FROM events GROUP BY ALL""")
+def q_event_windows(spark, sf_dir):
+    per = b.table(spark, sf_dir, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 8).alias("high"), F.round(F.min("value"), 8).alias("low"))
+    return per.select("event_type", F.col("w.start").alias("hour"), "n", "high", "low")
+
+
+# --- breadths, sectors as they were, composites ------------------------------------------------------------------
+
+_IMPROVING = f"i AS (SELECT *, quantile_cont(amihud, 0.5) OVER {_W20} AS med FROM a), d AS (SELECT *, med - lag(med, 20) OVER (PARTITION BY stock_code ORDER BY trade_date) AS delta FROM i)"
+_SHARE = "round(avg(CASE WHEN {} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 8) AS breadth, count(*) AS stocks"
+
+
+@query(f"WITH {_RET}, o AS (SELECT *, quantile_cont(amihud, 0.5) OVER {_W60} AS own FROM a) SELECT trade_date, {_SHARE.format('amihud < own')} FROM o WHERE amihud IS NOT NULL AND own IS NOT NULL GROUP BY trade_date")
+def q_breadth_illiquidity(spark, sf_dir):
+    return liq.breadth(_base(spark, sf_dir), "amihud", above=False).select("trade_date", *_r("breadth"), "stocks")
+
+
+@query(f"WITH {_RET}, {_IMPROVING} SELECT trade_date, {_SHARE.format('delta < 0')} FROM d WHERE delta IS NOT NULL GROUP BY trade_date")
+def q_breadth_improving(spark, sf_dir):
+    return liq.share_of(liq.improving(_base(spark, sf_dir)), F.col("improving")).select("trade_date", *_r("breadth"), "stocks")
+
+
+@query(f"""WITH {_RET} SELECT trade_date, {_SHARE.format('amount > 0 AND NOT coalesce(high = low AND abs(ret) >= 0.098, false)')} FROM a GROUP BY trade_date""")
+def q_breadth_tradable(spark, sf_dir):
+    return liq.share_of(liq.tradability(liq.trade_flags(b.bars(spark, sf_dir))), F.col("tradability") >= 1).select("trade_date", *_r("breadth"), "stocks")
+
+
+@query(f"WITH {_RET} SELECT trade_date, {_SHARE.format('ret <= -0.098')} FROM a WHERE ret IS NOT NULL GROUP BY trade_date")
+def q_breadth_limit_down(spark, sf_dir):
+    return liq.share_of(_base(spark, sf_dir), F.col("ret") <= -0.098).select("trade_date", *_r("breadth"), "stocks")
+
+
+@query(f"""WITH {b.BARS}, c AS (SELECT trade_date, amount / sum(amount) OVER (PARTITION BY trade_date) AS s, count(*) OVER (PARTITION BY trade_date) AS n,
+  row_number() OVER (PARTITION BY trade_date ORDER BY amount DESC, stock_code) AS rk FROM bars WHERE amount > 0)
+SELECT trade_date, round(sum(CASE WHEN rk <= 100 THEN s ELSE 0 END), 8) AS top100_share, round(sum(CASE WHEN rk <= ceil(n * 0.01) THEN s ELSE 0 END), 8) AS top1pct_share FROM c GROUP BY trade_date""")
+def q_top100_top1pct(spark, sf_dir):
+    return liq.concentration(b.bars(spark, sf_dir), ["trade_date"], (100,), (0.01,)).select("trade_date", *_r("top100_share", "top1pct_share"))
+
+
+def _sectors(spark, sf_dir) -> DataFrame:
+    return liq.with_sector(_base(spark, sf_dir), b.members(spark, sf_dir))
+
+
+_SECT = b.MEMBERS + ", s AS (SELECT {0}.*, sector FROM {0} JOIN members ON {0}.stock_code = code AND (in_date IS NULL OR in_date <= {0}.trade_date) AND (out_date IS NULL OR out_date > {0}.trade_date))"
+
+
+@query(f"""WITH {_RET}, {_SECT.format('a')}, p AS (SELECT trade_date, sector, sum(amount) AS amount, sum(ff_cap) AS cap, median(amihud) AS ma, median(CASE WHEN ret < 0 THEN amihud END) AS md, count(*) AS stocks FROM s GROUP BY ALL),
+q AS (SELECT *, amount / sum(amount) OVER (PARTITION BY trade_date) AS amount_share, cap / sum(cap) OVER (PARTITION BY trade_date) AS cap_share FROM p)
+SELECT trade_date, sector, round(amount, 2) AS amount, round(amount / nullif(cap, 0), 8) AS turnover, round(ma * 1e9::DOUBLE, 6) AS median_amihud, round(md * 1e9::DOUBLE, 6) AS median_downside, stocks,
+  round(amount_share, 8) AS amount_share, round(cap_share, 8) AS cap_share, round(amount_share / nullif(cap_share, 0), 8) AS rta FROM q""")
+def q_sector_pit(spark, sf_dir):
+    out = liq.sector_day(_sectors(spark, sf_dir))
+    return out.select("trade_date", "sector", F.round("amount", 2).alias("amount"), *_r("turnover"), *_tiny("median_amihud", "median_downside"), "stocks", *_r("amount_share", "cap_share", "rta"))
+
+
+@query(f"WITH {_RET}, {_IMPROVING}, {_SECT.format('d')} SELECT trade_date, sector, {_SHARE.format('delta < 0')} FROM s WHERE delta IS NOT NULL GROUP BY ALL")
+def q_sector_breadth(spark, sf_dir):
+    rows = liq.with_sector(liq.improving(_base(spark, sf_dir)), b.members(spark, sf_dir))
+    return liq.share_of(rows, F.col("improving"), ("trade_date", "sector")).select("trade_date", "sector", *_r("breadth"), "stocks")
+
+
+@query(f"""WITH {_RET}, {_SECT.format('a')}, c AS (SELECT trade_date, sector, amount / sum(amount) OVER g AS x, count(*) OVER g AS n, row_number() OVER (PARTITION BY trade_date, sector ORDER BY amount DESC, stock_code) AS rk
+  FROM s WHERE amount > 0 WINDOW g AS (PARTITION BY trade_date, sector))
+SELECT trade_date, sector, round(sum(x * x), 8) AS hhi, round(sum(CASE WHEN rk <= 3 THEN x ELSE 0 END), 8) AS top3_share FROM c GROUP BY ALL""")
+def q_sector_concentration(spark, sf_dir):
+    return liq.concentration(_sectors(spark, sf_dir), ["trade_date", "sector"], (3,), ()).select("trade_date", "sector", *_r("hhi", "top3_share"))
+
+
+@query(f"""WITH {_RET}, t AS (SELECT *, CASE WHEN turnover > 0 THEN ln(turnover) END AS x FROM a), z AS (SELECT *, (x - avg(x) OVER {_W60}) / nullif(stddev_samp(x) OVER {_W60}, 0) AS z FROM t), {_SECT.format('z')}
+SELECT trade_date, sector, round(sum(CASE WHEN z > 1.5 THEN amount ELSE 0 END) / nullif(sum(amount), 0), 8) AS hot_share FROM s GROUP BY ALL""")
+def q_sector_hot_share(spark, sf_dir):
+    z = liq.turnover_z(b.capped(spark, sf_dir)).select("trade_date", "stock_code", "turnover_z")
+    rows = liq.with_sector(b.capped(spark, sf_dir).join(z, ["trade_date", "stock_code"]), b.members(spark, sf_dir))
+    return liq.hot_share(rows, by=("trade_date", "sector")).select("trade_date", "sector", *_r("hot_share"))
+
+
+@query(f"""WITH {_RET}, {_SECT.format('a')}, p AS (SELECT trade_date, sector, median(amihud) AS ma, round(sum(amount) / nullif(sum(ff_cap), 0), 8) AS tu, round(sum(amount), 2) AS am FROM s GROUP BY ALL),
+ranks AS (SELECT *, percent_rank() OVER (PARTITION BY trade_date ORDER BY ma) AS r1, percent_rank() OVER (PARTITION BY trade_date ORDER BY tu) AS r2, percent_rank() OVER (PARTITION BY trade_date ORDER BY am) AS r3 FROM p WHERE ma IS NOT NULL)
+SELECT trade_date, sector, round((1 - r1 + r2) / 2, 8) AS health, round((r2 + r3) / 2, 8) AS crowding FROM ranks""")
+def q_sector_health_crowding(spark, sf_dir):
+    per = liq.sector_day(_sectors(spark, sf_dir)).where("median_amihud is not null").select("trade_date", "sector", "median_amihud", F.round("turnover", 8).alias("turnover"), F.round("amount", 2).alias("amount"))
+    for c in ("median_amihud", "turnover", "amount"):
+        per = liq.cross_section_rank(per, c, f"r_{c}")
+    return per.select("trade_date", "sector", F.round((1 - F.col("r_median_amihud") + F.col("r_turnover")) / 2, 8).alias("health"), F.round((F.col("r_turnover") + F.col("r_amount")) / 2, 8).alias("crowding"))
+
+
+@query(f"""WITH {_RET}, {_SECT.format('a')}, i AS (SELECT *, ret - avg(ret) OVER (PARTITION BY trade_date, sector) AS idio FROM s)
+SELECT trade_date, stock_code, round(idio, 8) AS idio, round(abs(idio) / nullif(amount, 0) * 1e9::DOUBLE, 4) AS idio_amihud FROM i""")
+def q_idiosyncratic_amihud_sector(spark, sf_dir):
+    return liq.idiosyncratic_amihud(_sectors(spark, sf_dir), ("sector",)).select("trade_date", "stock_code", *_r("idio"), F.round(F.col("idio_amihud") * _TINY, 4).alias("idio_amihud"))
+
+
+@query(f"""WITH {b.BARS}, w AS (SELECT *, quantile_cont(volume, 0.01) OVER g AS lo, quantile_cont(volume, 0.99) OVER g AS hi FROM bars WINDOW g AS (PARTITION BY trade_date)),
+l AS (SELECT trade_date, stock_code, ln(greatest(least(volume, hi), lo)) AS x FROM w), z AS (SELECT *, round((x - avg(x) OVER g) / nullif(stddev_samp(x) OVER g, 0), 6) AS z FROM l WINDOW g AS (PARTITION BY trade_date))
+SELECT trade_date, stock_code, z AS feature, round(CASE WHEN z IS NOT NULL THEN percent_rank() OVER (PARTITION BY trade_date, z IS NULL ORDER BY z) END, 8) AS percentile FROM z""")
+def q_feature_chain(spark, sf_dir):
+    rows = liq.winsorise(b.bars(spark, sf_dir).select("trade_date", "stock_code", "volume"), "volume", ["trade_date"]).withColumn("volume", F.ln("volume"))
+    rows = liq.standardise(rows, "volume", ["trade_date"]).select("trade_date", "stock_code", (F.round("volume", 6) + 0.0).alias("feature"))
+    return liq.cross_section_rank(rows, "feature", "percentile").select("trade_date", "stock_code", "feature", *_r("percentile"))
+
+
+def _history(n: int) -> str:
+    def rank(x: str) -> str:
+        h = f"list({x}) OVER (ORDER BY trade_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        return f"CASE WHEN {x} IS NOT NULL THEN len(list_filter({h}, lambda v: v <= {x}))::DOUBLE / len(list_filter({h}, lambda v: v IS NOT NULL)) END"
+
+    return f"""WITH {_RET}, {_MARKET}, c AS (SELECT trade_date, amount / sum(amount) OVER (PARTITION BY trade_date) AS s FROM a WHERE amount > 0), hhi AS (SELECT trade_date, round(sum(s * s), 10) AS hhi FROM c GROUP BY trade_date),
+x AS (SELECT m.trade_date, round(market_turnover, 10) AS tu, median_amihud AS ma, median_downside AS md, hhi, round(total_amount, 2) AS am FROM m JOIN hhi USING (trade_date)),
+ranks AS (SELECT trade_date, {rank("tu")} AS r1, 1 - {rank("ma")} AS r2, 1 - {rank("md")} AS r3, {rank("hhi")} AS r4, {rank("am")} AS r5 FROM x),
+h AS (SELECT trade_date, list_avg([r1, r2, r3]) AS health, list_avg([r4, r5]) AS crowding FROM ranks)
+SELECT trade_date, round(health, 8) AS health, round(crowding, 8) AS crowding, CASE WHEN health >= 0.5 AND crowding < 0.5 THEN 'HEALTHY' WHEN health >= 0.5 THEN 'HEALTHY_CROWDED' WHEN crowding >= 0.5 THEN 'FRAGILE_CROWDED' ELSE 'WEAK' END AS regime FROM h"""
+
+
+def _composites(spark, sf_dir, n: int) -> DataFrame:
+    base = _base(spark, sf_dir)
+    market = liq.market_day(base).select("trade_date", F.round("market_turnover", 10).alias("market_turnover"), "median_amihud", "median_downside", F.round("total_amount", 2).alias("total_amount"))
+    rows = market.join(liq.concentration(base, ["trade_date"], (), ()).select("trade_date", F.round("hhi", 10).alias("hhi")), "trade_date")
+    rows = liq.composite(rows, {"market_turnover": True, "median_amihud": False, "median_downside": False}, n, "health")
+    rows = liq.composite(rows, {"hhi": True, "total_amount": True}, n, "crowding")
+    return liq.regime(rows, "health", "crowding").select("trade_date", *_r("health", "crowding"), "regime")
+
+
+@query(_history(252))
+def q_composite_rank252(spark, sf_dir):
+    return _composites(spark, sf_dir, 252)
+
+
+@query(_history(756))
+def q_composite_rank756(spark, sf_dir):
+    return _composites(spark, sf_dir, 756)

@@ -1,24 +1,23 @@
 """Datasets published as immutable runs that a manifest lists.
 
 A run is written to a folder of its own; readers see it when the manifest names it. The manifest is a small JSON
-file on the driver, replaced in one step.
+file that is replaced in one step. The root may lie on any file system that Spark can write to.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
 import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.versions import ingested_order, latest_version
 from ..schemas import schema
+from ..sources.files import Files
 from ..sources.parquet import read_by_name
 
 
@@ -35,27 +34,37 @@ class Manifest:
     inputs: list[str] = field(default_factory=list)
     rows: int = 0
     bytes: int = 0
+    own_bytes: int = 0  # of this run alone
     min_date: str | None = None
     max_date: str | None = None
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str, limit_bytes: int | None = None, safety: float = 1.2):
-        self.spark, self.root, self.limit, self.safety = spark, Path(root), limit_bytes, safety
+        self.spark, self.root, self.limit, self.safety = spark, root.rstrip("/"), limit_bytes, safety
+        self.files_ = Files(spark, self.root)
 
-    def _active(self, layer: str, dataset: str) -> Path:
-        return self.root / "metadata" / layer / dataset / "active.json"
+    def _active(self, layer: str, dataset: str) -> str:
+        return f"{self.root}/metadata/{layer}/{dataset}/active.json"
 
     def load(self, layer: str, dataset: str) -> Manifest | None:
-        p = self._active(layer, dataset)
-        return Manifest(**json.loads(p.read_text())) if p.exists() else None
+        text = self.files_.read(self._active(layer, dataset))
+        return Manifest(**json.loads(text)) if text else None
 
     def used(self) -> int:
-        return sum(f.stat().st_size for f in self.root.rglob("*") if f.is_file()) if self.root.exists() else 0
+        """Bytes of all runs that were published, as their manifests tell; no data folder is listed."""
+        return sum(json.loads(self.files_.read(p))["own_bytes"] for p in self.files_.matching(f"{self.root}/metadata/*/*/run-*.json"))
+
+    def level(self, target: float = 0.6, warn: float = 0.75) -> str:
+        """How full the store is: OK, above the target, above the warning level, or at its limit."""
+        if self.limit is None:
+            return "OK"
+        share = self.used() / self.limit
+        return "HARD_LIMIT" if share >= 1 else "WARNING" if share >= warn else "ABOVE_TARGET" if share >= target else "OK"
 
     def _gate(self, more: int) -> None:
-        if self.limit is not None and self.used() + more * self.safety > self.limit:
-            raise StorageLimitError(f"{self.used()} bytes and {more} more exceed {self.limit}")
+        if self.limit is not None and (used := self.used()) + more * self.safety > self.limit:
+            raise StorageLimitError(f"{used} bytes and {more} more exceed {self.limit}")
 
     def publish(self, layer: str, dataset: str, df: DataFrame, *, mode: str = "append", date: str | None = None, inputs: list[str] | None = None, estimate: int = 64 << 10, partition_by: list[str] | None = None) -> Manifest:
         """Write a run and make it active; an empty one is refused. What fails leaves the active manifest as it is.
@@ -64,41 +73,34 @@ class Store:
         """
         self._gate(estimate)
         run = f"{datetime.now().astimezone():%Y%m%dT%H%M%S%z}-{uuid.uuid4().hex[:12]}"
-        folder = self.root / layer / dataset / run
+        folder = f"{self.root}/{layer}/{dataset}/{run}"
         stamped = df
         for name, value in (("source_run_id", F.lit(run)), ("_ingested_at", F.lit(datetime.now().astimezone().isoformat(timespec="microseconds")))):
             if name not in df.columns:
                 stamped = stamped.withColumn(name, value)
         try:
             writer = stamped.write.mode("errorifexists")
-            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(str(folder))
-            back = self.spark.read.parquet(str(folder))
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+            back = self.spark.read.parquet(folder)
             stats = back.agg(F.count(F.lit(1)).alias("n"), *([F.min(date).cast("string").alias("lo"), F.max(date).cast("string").alias("hi")] if date else [])).first()
             if not stats["n"]:
                 raise ValueError(f"{dataset}: nothing to publish")
-            size = sum(f.stat().st_size for f in folder.rglob("*.parquet"))
-            if self.limit is not None and self.used() > self.limit:
-                raise StorageLimitError(f"{self.used()} bytes exceed {self.limit}")
+            size = self.files_.size(folder)
+            if self.limit is not None and (used := self.used() + size) > self.limit:
+                raise StorageLimitError(f"{used} bytes exceed {self.limit}")
         except Exception:
-            for f in sorted(folder.rglob("*"), reverse=True):
-                f.unlink() if f.is_file() else f.rmdir()
-            if folder.exists():
-                folder.rmdir()
+            self.files_.delete(folder)
             raise
         before = self.load(layer, dataset) if mode == "append" else None
-        m = Manifest(dataset, layer, run, [str(folder)], list(inputs or []), stats["n"], size, stats["lo"] if date else None, stats["hi"] if date else None)
+        m = Manifest(dataset, layer, run, [folder], list(inputs or []), stats["n"], size, size, stats["lo"] if date else None, stats["hi"] if date else None)
         if before:
             m.folders = before.folders + m.folders
             m.inputs = list(dict.fromkeys([*before.inputs, *m.inputs, before.run_id]))
             m.rows, m.bytes = m.rows + before.rows, m.bytes + before.bytes
             m.min_date = min(filter(None, (m.min_date, before.min_date)), default=None)
             m.max_date = max(filter(None, (m.max_date, before.max_date)), default=None)
-        path = self._active(layer, dataset)
-        path.parent.mkdir(parents=True, exist_ok=True)
-        for target in (path.parent / f"{run}.json", path):
-            tmp = target.with_suffix(".tmp")
-            tmp.write_text(json.dumps(asdict(m), indent=1))
-            os.replace(tmp, target)
+        for target in (f"{self.root}/metadata/{layer}/{dataset}/run-{run}.json", self._active(layer, dataset)):
+            self.files_.write(target, json.dumps(asdict(m), indent=1))
         return m
 
     def read(self, layer: str, dataset: str) -> DataFrame:
@@ -128,21 +130,36 @@ class Store:
         return both.select("path", problem.alias("problem")).where("problem is not null")
 
     def refresh(self, views: dict[str, tuple[str, str, list[str]]]) -> list[str]:
-        """Latest-version views: name to (layer, dataset, keys). All plans are built before the first is registered."""
-        plans = {name: latest_version(self.read(layer, ds), keys, ingested_order()) for name, (layer, ds, keys) in views.items() if self.load(layer, ds)}
+        """Latest-version views: name to (layer, dataset, keys) or (layer, dataset, keys, where).
+
+        All plans are built before the first is registered. Each refresh leaves a file that names the views and the
+        runs they show.
+        """
+        plans, shown = {}, {}
+        for name, (layer, ds, keys, *where) in views.items():
+            if m := self.load(layer, ds):
+                plans[name] = latest_version(self.read(layer, ds), keys, ingested_order(), *map(F.expr, where))
+                shown[name] = m.run_id
         for name, df in plans.items():
             df.createOrReplaceTempView(name)
+        if shown:
+            now = datetime.now().astimezone()
+            self.files_.write(f"{self.root}/metadata/refresh/{now:%Y%m%dT%H%M%S%z}-{uuid.uuid4().hex[:12]}.json", json.dumps({"at": now.isoformat(), "views": shown}))
         return list(plans)
 
 
 class Checkpoint:
     """Batches that are done, by name and fingerprint of what they were made from."""
 
-    def __init__(self, path: str):
-        self.path = Path(path)
+    def __init__(self, path: str, spark: SparkSession | None = None):
+        self.path, self.files = path, Files(spark or SparkSession.active(), path)
 
     def _load(self) -> dict[str, str]:
-        return json.loads(self.path.read_text()) if self.path.exists() else {}
+        return json.loads(self.files.read(self.path) or "{}")
+
+    def reset(self, *batches: str) -> None:
+        """Forget the batches, all if none is named."""
+        self._save({k: v for k, v in self._load().items() if batches and k not in batches})
 
     @staticmethod
     def fingerprint(what) -> str:
@@ -152,8 +169,7 @@ class Checkpoint:
         return self._load().get(batch) == self.fingerprint(what)
 
     def mark(self, batch: str, what) -> None:
-        state = self._load() | {batch: self.fingerprint(what)}
-        self.path.parent.mkdir(parents=True, exist_ok=True)
-        tmp = self.path.with_suffix(".tmp")
-        tmp.write_text(json.dumps(state))
-        os.replace(tmp, self.path)
+        self._save(self._load() | {batch: self.fingerprint(what)})
+
+    def _save(self, state: dict[str, str]) -> None:
+        self.files.write(self.path, json.dumps(state))

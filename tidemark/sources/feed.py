@@ -9,6 +9,8 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import detail_date
+
 #: Forms of codes.
 STOCK_CODE = r"^\d{6}\.(SH|SZ|BJ)$"
 CONTRACT_SUFFIX = ".IF"
@@ -21,6 +23,8 @@ class MarketDataSource(Protocol):
     def members(self) -> DataFrame: ...  # sector, code, in_date, out_date  # pragma: no cover
     def details(self) -> DataFrame: ...  # code, InstrumentName, OpenDate, ...  # pragma: no cover
     def financials(self, codes: Sequence[str], tables: Sequence[str]) -> DataFrame: ...  # pragma: no cover
+    def trading_days(self, market: str, start: date | None, end: date | None) -> DataFrame: ...  # trade_date  # pragma: no cover
+    def dividend_factors(self, codes: Sequence[str], start: date | None, end: date | None) -> DataFrame: ...  # stock_code, time, ...  # pragma: no cover
 
 
 def discover_codes(members: DataFrame, sectors: Sequence[str], suffixes: Sequence[str]) -> DataFrame:
@@ -31,6 +35,29 @@ def discover_codes(members: DataFrame, sectors: Sequence[str], suffixes: Sequenc
     return members.where(F.col("sector").isin(*sectors)).where(ends).select("code").distinct().orderBy("code")
 
 
+def members_on(members: DataFrame, sectors: Sequence[str] | None = None, day=None) -> DataFrame:
+    """(sector, code) of a day: from in_date on, until before out_date, null ends open; without a day today's, whose out_date is null."""
+    if sectors is not None:
+        members = members.where(F.col("sector").isin(*sectors))
+    if day is None:
+        return members.where("out_date is null").select("sector", "code").distinct()
+    on = F.lit(day).cast("date")
+    since, until = F.col("in_date").isNull() | (F.col("in_date") <= on), F.col("out_date").isNull() | (F.col("out_date") > on)
+    return members.where(since & until).select("sector", "code").distinct()
+
+
+def expired_candidates(contracts: DataFrame, details: DataFrame, today) -> DataFrame:
+    """Contracts whose expiry, as described, lies before a day; without a description or an expiry they are none."""
+    ends = details.select("code", detail_date(F.col("ExpireDate")).alias("expire_date"))
+    return contracts.join(ends, "code").where(F.col("expire_date") < F.lit(today).cast("date")).select("code", "expire_date").distinct()
+
+
+def real_bars(bars: DataFrame) -> DataFrame:
+    """Bars of a padded feed without its placeholders: rows with no price at all, or none and nothing traded."""
+    prices = [F.coalesce(F.col(c), F.lit(0.0)) for c in ("open", "high", "low", "close")]
+    return bars.where(F.greatest(*prices) > 0)
+
+
 def delisted_candidates(historical: DataFrame, current: DataFrame, details: DataFrame) -> DataFrame:
     """Stocks that were, are no more, and are still described."""
     described = details.where(F.coalesce(F.col("InstrumentName"), F.lit("")) != "").select("code").distinct()
