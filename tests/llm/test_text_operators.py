@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import queries
-from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.line_dedup import LineRuns, line_dedup
 from tidemark.llm.minhash import near_duplicates, sketch
 from tidemark.llm.mixing import mix, poisson
 from tidemark.llm.packing import best_fit, encode, pack, solve_configs
@@ -56,6 +56,37 @@ def test_lines_messy(messy, empty):
     assert line_dedup(empty).count() == 0
 
 
+def test_runs_last(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [(i, "\n".join(rng.choices([f"a line with number {j}" for j in range(40)] + ["short", ""], k=6))) for i in range(90)]
+    schema = "doc_id long, text string"
+    got = Counter()
+    for lo in (0, 30, 60):  # each batch by a store of its own, as in a new session
+        runs = LineRuns(spark, f"{tmp_path}/runs", buckets=3)
+        out = runs.add_batch(spark.createDataFrame(rows[lo : lo + 30], schema))
+        got.update((r.row.doc_id, r.kept_text, r.n_lines, r.n_dropped) for r in out.collect())
+        runs.close()
+    assert got == plain_lines(rows)
+    assert sorted(level for level, _ in LineRuns(spark, f"{tmp_path}/runs").runs) == [0, 1]
+    assert len(list((tmp_path / "runs").glob("run-*"))) == 2  # merged runs are gone
+    late = LineRuns(spark, f"{tmp_path}/runs")
+    (r,) = late.add_batch(spark.createDataFrame([(-5, rows[0][1])], schema)).collect()
+    assert [x for x in r.kept_text.split("\n") if len(x) >= 10] == []  # an earlier batch has them, whatever the ids
+    late.close()
+
+
+def test_runs_are_not_shuffled(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        runs = LineRuns(spark, f"{tmp_path}/runs", buckets=4)
+        keys = spark.range(1000).selectExpr("id as doc", "id % 70 as k1", "id % 7 as k2")
+        runs.add(keys.where("doc < 500"))
+        plan = runs.new_keys(keys.where("doc >= 500"))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "LeftAnti" in plan and "Bucketed: true" in plan, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # --- near duplicates -------------------------------------------------------------------------------------------
 
 
@@ -103,6 +134,34 @@ def test_near_duplicates_against_plain(spark, size, percent):
     assert 20 < sum(r.kept for r in got) < 390
 
 
+def test_links_stay_linear_in_a_large_family(spark, monkeypatch):
+    """Near copies of one text: the edges that are kept grow with the documents, not with their pairs."""
+    from tidemark.llm import minhash
+
+    kept, real = [], minhash.components
+    monkeypatch.setattr(minhash, "components", lambda scratch, edges: kept.append(edges.count()) or real(scratch, edges))
+    base = [f"w{i}" for i in range(200)]
+
+    def run(n, edits):
+        rng = random.Random(n)
+        rows = []
+        for i in range(n):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(200)] = f"e{rng.randrange(10**9)}"
+            rows.append((i, " ".join(w)))
+        kept.clear()
+        got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words_per_shingle=3, percent=85).collect()}
+        return rows, got, sum(kept)
+
+    rows, got, one = run(400, 3)
+    assert got == plain_components(rows, 3, 85)[0]
+    two = run(800, 3)[2]
+    assert two < 2.2 * one and two < 3 * 800
+    rows, got, _ = run(300, 5)  # around the threshold
+    assert got == plain_components(rows, 3, 85)[0]
+
+
 def test_near_duplicates_messy(messy, empty):
     rows = [(r.doc_id, r.text) for r in messy.collect()]
     comp, n = plain_components(rows, 5, 80)

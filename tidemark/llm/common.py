@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,19 +24,28 @@ _bases: dict[str, list[str]] = {}
 def work_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where the setting is missing (local tests) a temporary folder is made.
+    Where the setting is missing, a local session gets a temporary folder; a cluster has none that is shared.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if base:
         return base
-    app = spark.sparkContext.applicationId
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
     if app not in _own_dir:
-        _own_dir[app] = tempfile.mkdtemp(prefix="tidemark-")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        _own_dir[app] = _temporary()
     return _own_dir[app]
 
 
+def _temporary() -> str:
+    """A folder of the driver that goes when the program ends."""
+    path = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 class Scratch:
     """Tables written to the shared folder, to cut lineage so that lost executors cost no recomputation."""
 
@@ -105,16 +118,48 @@ def with_row(docs: DataFrame, keep: list[str] | None = None, **columns: str) ->
     return out
 
 
-def batch_rows(spark: SparkSession, rows: int) -> None:
-    """Ready for Python in tasks: the package on the workers' path, and so many rows in an Arrow batch, so that
-    batches of long texts stay small."""
+def ready(spark: SparkSession) -> None:
+    """Ready for Python in tasks: the package on the workers' path. Settings stay as they are."""
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
-        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
-        context.addPyFile(archive)
+        context.addPyFile(shutil.make_archive(f"{_temporary()}/{package.name}", "zip", package.parent, package.name))
         _shipped.add(context.applicationId)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def small(batches: Iterator[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``most`` bytes of text, whatever the session's bounds are; a longer text is a batch of its own."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(text(b)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
+def spanning(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Of the edges of a task, those that a forest needs; what it has seen is forgotten after ``most`` kept edges."""
+    up: dict[int, int] = {}
+    kept: list[tuple[int, int]] = []
+
+    def root(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y] if y in up else y
+        return x
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([e[j] for e in kept], pa.int64()) for j in (0, 1)], ["a", "b"])
+
+    for b in batches:
+        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if (p := root(x)) != (q := root(y)):
+                up[max(p, q)] = min(p, q)
+                kept.append((x, y))
+        if len(kept) >= most:
+            yield out()
+            up, kept = {}, []
+    yield out()
 
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows
+from .common import Scratch, ready, small
 
 class _Words:
     """A tokenizer and the ids of words it has seen: a table in use, and the one before, whose words may come back."""
@@ -88,7 +88,7 @@ def _tokenise(path: str, end: int, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stop = np.array([end], "<u4").tobytes()
-        for b in batches:
+        for b in small(batches, lambda b: b.column(1)):
             row, piece, cut, crcs = [], [], [], []
             for i, ids in enumerate(encode([t or "" for t in b.column(1).to_pylist()], path)):
                 ids += stop
@@ -271,7 +271,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     share isn't ranked in one task; the driver gets the histogram alone.
     """
     spark = docs.sparkSession
-    batch_rows(spark, 500)
+    ready(spark)
     scratch = Scratch(spark, "pack")
     pieces = scratch.save(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

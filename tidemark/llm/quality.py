@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, carried, carried_text, first_by_hash, with_row
+from .common import ready, carried, carried_text, first_by_hash, with_row
 from .textbytes import BLANK, LOWER, Words, shingles, text_bytes, words
 
 _CLASS = np.zeros((256, 12), bool)
@@ -168,13 +168,15 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 20_000, **boosting) -> Trees:
     """Fit on the statistics of at most ``sample`` labelled documents, the first by a hash of their id.
 
-    Null ids or labels teach nothing; without labels every score is 0.5.
+    Null ids or labels teach nothing; without labels every score is 0.5. An id with several labels has the largest;
+    of rows that share an id, the first by a hash of its text teaches.
     """
-    batch_rows(docs.sparkSession, 1000)
+    ready(docs.sparkSession)
     marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null")
-    picked = first_by_hash(marked, "id", sample, "quality")
+    picked = first_by_hash(marked.groupBy("id").agg(F.max("y").alias("y")), "id", sample, "quality")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    got = rows.join(F.broadcast(picked), "id").select("text", "y").mapInArrow(_statistics, "y int, x array<double>").toPandas()  # at most `sample` ids
+    some = rows.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    got = some.select("text", "y").mapInArrow(_statistics, "y int, x array<double>").toPandas()  # at most `sample` ids
     order = np.lexsort([got.y, *np.stack(got.x).T]) if len(got) else []  # the trees don't depend on the rows' order
     x = np.stack(got.x)[order] if len(got) else np.zeros((0, len(NAMES)))
     return boost(x, got.y.to_numpy(float)[order], **boosting)
@@ -190,6 +192,10 @@ def _score(trees: Trees, text_col: str):
 
 
 def score(docs: DataFrame, trees: Trees, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``(row, score)``: the columns to keep (None: all) as a struct and the chance of label 1; null text as empty."""
-    batch_rows(docs.sparkSession, 1000)
+    """``(row, score)``: the columns to keep (None: all) as a struct and the chance of label 1; null text as empty.
+
+    Each row is scored by its text alone, so null, repeated or tied ids change nothing and equal texts have equal
+    scores. Empty input: empty output.
+    """
+    ready(docs.sparkSession)
     return carried(docs, text_col, keep).mapInArrow(_score(trees, text_col), with_row(docs, keep, score="double"))
