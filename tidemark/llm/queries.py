@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import hmm, quality, toxicity
 from .fingerprint import fingerprints
 from .lattice import near_vectors
-from .licenses import TEMPLATES, scan, template_words
+from .licenses import TELLING, TEMPLATES, scan, template_words
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .mixing import mix
@@ -77,7 +77,7 @@ def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(read(spark, sf_dir, "documents"))
+    return scan(read(spark, sf_dir, "documents")).drop("matches")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -154,9 +154,13 @@ WITH d AS (
   SELECT *, list_filter(range(1, len(ws) + 1), lambda i: (ws[i] = 'cc' AND ws[i + 1] = 'by') IS TRUE) AS c,
     list_filter(range(1, len(ws) + 1), lambda i: (ws[i] = 'general' AND ws[i + 1] = 'public' AND ws[i + 2] = 'license') IS TRUE) AS g,
     list_filter(range(1, len(ws) + 1), lambda i: (ws[i] = 'all' AND ws[i + 1] = 'rights' AND ws[i + 2] = 'reserved') IS TRUE) AS r FROM d
-), t(label, words) AS (VALUES {", ".join(f"('{k}', string_split('{' '.join(ws)}', ' '))" for k, ws in template_words(TEMPLATES).items())}),
-b AS (SELECT k, ws, label, words, unnest(range(0, greatest(len(ws) - 1, 0) // len(words) + 1)) AS i FROM d, t WHERE list_has_any(ws, words)),
-s AS (SELECT k, label, max(len(list_distinct(list_intersect(words, ws[i * len(words) + 1 : (i + 2) * len(words)])))::DOUBLE / len(list_distinct(words))) AS share FROM b GROUP BY k, label),
+), t(label, words, telling) AS (VALUES {", ".join(f"('{k}', string_split('{' '.join(ws)}', ' '), {[f' {x} ' for x in TELLING.get(k, [])]}::VARCHAR[])" for k, ws in template_words(TEMPLATES).items())}),
+b AS (SELECT k, ws, label, words, telling, unnest(range(0, greatest(len(ws) - 1, 0) // len(words) + 1)) AS i FROM d, t WHERE list_has_any(ws, words)),
+c AS (SELECT *, ws[i * len(words) + 1 : (i + 2) * len(words)] AS block FROM b),
+s AS (
+  SELECT k, label, max(len(list_distinct(list_intersect(words, block)))::DOUBLE / len(list_distinct(words))) AS share FROM c
+  WHERE len(list_filter(telling, lambda x: NOT contains(' ' || array_to_string(block, ' ') || ' ', x))) = 0 GROUP BY k, label
+),
 f AS (SELECT k, list(label) AS labels, max(share) AS share FROM s WHERE share >= 0.8 GROUP BY k)
 SELECT doc_id, len(ws) AS n_words, len(c) + len(g) + len(r) AS n_base, list_min(c || g || r) - 1 AS first_word, list_max(c || g || r) - 1 AS last_word,
   concat_ws(',', CASE WHEN len(c) > 0 THEN 'cc-by' END, CASE WHEN len(g) > 0 THEN 'gpl' END, CASE WHEN len(r) > 0 THEN 'reserved' END) AS base_labels,
