@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows, with_row
+from ..sources.files import Files
+from .common import Scratch, ready, small, with_row
 
 #: What is stripped from both ends of a line before it is compared.
 STRIP = b" \t\n\x0b\x0c\r"
@@ -32,7 +35,7 @@ def _digest(key: bytes) -> tuple[int, int]:
 
 def _keys(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, lambda b: b.column(1)):
             docs, k1, k2 = [], [], []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 got = {line_key(x) for x in (text or "").encode().split(b"\n")}
@@ -47,14 +50,14 @@ def _keys(least: int):
 
 def _rewrite(text_col: str, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, lambda b: b.column(0).field(text_col)):
             kept, n, gone = [], [], []
             for text, drop in zip(b.column(0).field(text_col).to_pylist(), b.column(1).to_pylist(), strict=True):
                 lines = (text or "").encode().split(b"\n")
                 stay = lines
                 if drop:
-                    drop = set(drop)
-                    stay = [x for x in lines if not (_long_enough(k := line_key(x), least) and _digest(k)[0] in drop)]
+                    drop = {(d["k1"], d["k2"]) for d in drop}
+                    stay = [x for x in lines if not (_long_enough(k := line_key(x), least) and _digest(k) in drop)]
                 kept.append(b"\n".join(stay).decode())
                 n.append(len(lines))
                 gone.append(len(lines) - len(stay))
@@ -63,6 +66,108 @@ def _rewrite(text_col: str, least: int):
     return run
 
 
+class LineRuns:
+    """Levelled runs of line keys with the document that owns each, in a folder that outlives the session.
+
+    A run is a table bucketed and sorted by key, so that what is added finds its keys in older runs without shuffling
+    these. Runs hold different keys; ``fan_in`` runs of a level are merged into one of the next. A manifest beside
+    them, replaced in one step, names the runs that count; what a lost job leaves behind isn't among them.
+    """
+
+    SCHEMA = "k1 BIGINT, k2 BIGINT, owner BIGINT"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, fan_in: int = 2):
+        self.spark, self.path, self.fan_in, self.files = spark, path, fan_in, Files(spark, path)
+        known = json.loads(self.files.read(f"{path}/manifest.json") or "{}")
+        self.buckets = known.get("buckets") or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.runs: list[tuple[int, str]] = [tuple(r) for r in known.get("runs", [])]  # level and folder
+        self._names: dict[str, str] = {}
+
+    def _table(self, folder: str) -> DataFrame:
+        if folder not in self._names:
+            name = f"line_run_{uuid.uuid4().hex}"
+            self.spark.sql(f"CREATE TABLE {name} ({self.SCHEMA}) USING parquet CLUSTERED BY (k1, k2) SORTED BY (k1, k2) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{folder}'")
+            self._names[folder] = name
+        return self.spark.table(self._names[folder])
+
+    def _write(self, df: DataFrame) -> str:
+        folder = f"run-{uuid.uuid4().hex}"
+        name = f"line_run_{uuid.uuid4().hex}"
+        df.write.format("parquet").option("compression", "zstd").bucketBy(self.buckets, "k1", "k2").sortBy("k1", "k2").option("path", f"{self.path}/{folder}").saveAsTable(name)
+        self._names[folder] = name
+        return folder
+
+    def _forget(self, folder: str) -> None:
+        if name := self._names.pop(folder, None):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def dealt(self, keys: DataFrame) -> DataFrame:
+        """Rows (doc, k1, k2) dealt out as the runs are."""
+        return keys.repartition(self.buckets, "k1", "k2")
+
+    def new_keys(self, keys: DataFrame) -> DataFrame:
+        """Of rows (doc, k1, k2), the keys that no run has, with the smallest document that has them."""
+        new = self.dealt(keys).groupBy("k1", "k2").agg(F.min("doc").alias("owner"))
+        for _, folder in self.runs:
+            new = new.join(self._table(folder).select("k1", "k2"), ["k1", "k2"], "left_anti")
+        return new
+
+    def add(self, keys: DataFrame) -> None:
+        """Add a batch's keys as a run, then merge runs where a level is full."""
+        self.runs.append((0, self._write(self.new_keys(keys))))
+        gone = []
+        while len(same := [r for r in self.runs if r[0] == self.runs[-1][0]]) >= self.fan_in:
+            merged = self._table(same[0][1])
+            for _, folder in same[1:]:
+                merged = merged.unionByName(self._table(folder))
+            gone += same
+            self.runs = [r for r in self.runs if r not in same] + [(same[0][0] + 1, self._write(self.dealt(merged)))]
+        self.files.write(f"{self.path}/manifest.json", json.dumps({"buckets": self.buckets, "runs": self.runs}))
+        for _, folder in gone:
+            self._forget(folder)
+            self.files.delete(f"{self.path}/{folder}")
+
+    def drops(self, keys: DataFrame) -> DataFrame:
+        """(doc, drop): the keys of each document that another one owns."""
+        found = None
+        for _, folder in self.runs:
+            part = self.dealt(keys).join(self._table(folder), ["k1", "k2"]).where("owner <> doc").select("doc", "k1", "k2")
+            found = part if found is None else found.unionByName(part)
+        return found.groupBy("doc").agg(F.collect_list(F.struct("k1", "k2")).alias("drop"))
+
+    def add_batch(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
+        """Deduplicate a batch against all before it, and remember its lines; the result of ``line_dedup``.
+
+        Lines that an earlier batch holds go, whatever the ids are; within the batch the smallest id keeps them.
+        """
+        ready(self.spark)
+        scratch = Scratch(self.spark, "line-batch")
+        keys = scratch.save(_slim(docs, id_col, text_col).mapInArrow(_keys(min_chars), "doc long, k1 long, k2 long"))
+        self.add(keys)
+        drops = scratch.save(self.drops(keys))
+        scratch.drop(keys)
+        return _rewritten(docs, drops, id_col, text_col, min_chars)
+
+    def close(self) -> None:
+        """Take the runs' names out of the catalog; their files stay."""
+        for folder in list(self._names):
+            self._forget(folder)
+
+
+def _order(id_col: str):
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
+
+
+def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(_order(id_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+
+
+def _rewritten(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), _order(id_col).alias("doc"))
+    joined = rows.join(drops, "doc", "left").select("row", "drop")
+    return joined.mapInArrow(_rewrite(text_col, min_chars), with_row(docs, kept_text="string", n_lines="long", n_dropped="long"))
+
+
 def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int = 4, fan_in: int = 2) -> DataFrame:
     """Drop lines that an earlier document holds; returns ``(row, kept_text, n_lines, n_dropped)``.
 
@@ -72,39 +177,24 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
     Ids come in ``batches`` ascending ranges. Each batch is merge-anti-joined with the runs of the batches
     before it, and what is new becomes a run of its own, sorted by key; ``fan_in`` runs of a level are merged
-    into one of the next. A run holds each key once with its owner, so hot lines don't grow.
+    into one of the next. A run holds each key once with its owner, so hot lines don't grow. Runs that are to
+    outlive the call are kept with ``LineRuns``.
 
     Null text: one empty line. Null ids: together they count as one document that comes last. Rows that share an
     id count as one document and all keep what it owns. Empty input: empty output.
     """
     spark = docs.sparkSession
-    batch_rows(spark, 1000)
+    ready(spark)
     scratch = Scratch(spark, "line-dedup")
-    order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    slim = docs.select(order.alias("doc"), F.col(text_col).alias("text"))
+    slim = _slim(docs, id_col, text_col)
     cuts = sorted(set(slim.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
     part = sum((F.when(F.col("doc") > int(c), 1).otherwise(0) for c in cuts), F.lit(0))
-    pairs = scratch.save(slim.mapInArrow(_keys(min_chars), "doc long, k1 long, k2 long").withColumn("batch", part), "batch")
-
-    runs: list[tuple[int, DataFrame]] = []
+    keys = scratch.save(slim.mapInArrow(_keys(min_chars), "doc long, k1 long, k2 long").withColumn("batch", part), "batch")
+    runs = LineRuns(spark, f"{scratch.base}/runs", fan_in=fan_in)
     for i in range(len(cuts) + 1):
-        new = pairs.where(F.col("batch") == i).groupBy("k1", "k2").agg(F.min("doc").alias("owner"))
-        for _, run in runs:
-            new = new.join(run.select("k1", "k2"), ["k1", "k2"], "left_anti")
-        runs.append((0, scratch.save(new.sortWithinPartitions("k1", "k2"))))
-        while len(same := [r for r in runs if r[0] == runs[-1][0]]) >= fan_in:
-            merged = same[0][1]
-            for _, r in same[1:]:
-                merged = merged.unionByName(r)
-            merged = scratch.save(merged.repartition("k1", "k2").sortWithinPartitions("k1", "k2"))
-            scratch.drop(*(r for _, r in same))
-            runs = [r for r in runs if r not in same] + [(same[0][0] + 1, merged)]
-    owners = runs[0][1]
-    for _, r in runs[1:]:
-        owners = owners.unionByName(r)
-    drops = (
-        pairs.join(owners, ["k1", "k2"]).where("owner < doc").groupBy("doc").agg(F.collect_list("k1").alias("drop"))
-    )
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), order.alias("doc"))
-    joined = rows.join(drops, "doc", "left").select("row", "drop")
-    return joined.mapInArrow(_rewrite(text_col, min_chars), with_row(docs, kept_text="string", n_lines="long", n_dropped="long"))
+        runs.add(keys.where(F.col("batch") == i).select("doc", "k1", "k2"))
+    drops = scratch.save(runs.drops(keys.select("doc", "k1", "k2")))
+    scratch.drop(keys)
+    runs.close()
+    runs.files.delete(runs.path)
+    return _rewritten(docs, drops, id_col, text_col, min_chars)
