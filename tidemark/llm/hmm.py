@@ -2,7 +2,8 @@
 
 A word w belongs to one class, by its spelling alone; a state s emits a class, and a class emits its words:
 P(w | s) = P(class | s) P(w | class). The first factor and the transitions are trained by Baum-Welch, with counts
-that are added up over all training documents; the second is counted over all words. Every chunk of documents
+that are added up over all training documents; the second is counted over all words. Baum-Welch starts from a model
+of neighbouring classes, whose counts also cover all training documents. Every chunk of documents
 keeps its tokens as indices into its own distinct words, so that the passes move class counts and the join moves
 distinct words, never tokens.
 """
@@ -15,10 +16,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows
+from .common import Scratch, ready
 from .textbytes import Words, mix, words
 
 _U = np.uint64
@@ -241,20 +242,67 @@ def _learning(obs: np.ndarray, lens: np.ndarray, held: np.ndarray) -> tuple[np.n
 def _expectations(m: Hmm):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, k = len(m.start), len(m.emit)
-        table = np.zeros((k + s + 1, s))
+        table = np.zeros((k + s + 2, s))  # classes, states, starts, and the log likelihood
         for b in batches:
             for i in range(b.num_rows):
                 obs, lens, held, _ = _sequences(b, i)
-                starts, moves, emits, _ = expect(m, *_learning(obs, lens, held))
+                starts, moves, emits, ll = expect(m, *_learning(obs, lens, held))
                 table[:k] += emits
                 table[k : k + s] += moves
-                table[-1] += starts
+                table[-2] += starts
+                table[-1, 0] += ll
         at = np.flatnonzero(table.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(table[at, j]) for j in range(s))], ["row", *(f"s{j}" for j in range(s))])
 
     return run
 
 
+def _neighbours(coarse: np.ndarray):
+    """How often a coarse class stands before another in a training document: (pair, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = int(coarse.max()) + 1
+        n = np.zeros(k * k, np.int64)
+        for b in batches:
+            for i in range(b.num_rows):
+                obs, lens, held, _ = _sequences(b, i)
+                obs, lens = _learning(obs, lens, held)
+                c = coarse[obs]
+                inside = np.ones(max(len(c) - 1, 0), bool)
+                inside[np.cumsum(lens)[:-1] - 1] = False  # not from one document to the next
+                n += np.bincount((c[:-1] * k + c[1:])[inside], minlength=k * k)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["pair", "n"])
+
+    return run
+
+
+def pair_model(n: np.ndarray, states: int, steps: int = 150, tries: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Joint weights of neighbouring states, and each state's classes, that make the pair counts ``n`` likeliest.
+
+    Expectation maximisation from fixed starting points, of which the best result counts.
+    """
+    best = None
+    share = (n.sum(0) + n.sum(1) + 1.0) / (2 * n.sum() + len(n))
+    for seed in range(tries):
+        rng = np.random.default_rng(seed)
+        e = share[:, None] * rng.gamma(0.5, size=(len(n), states)) + 1e-12
+        e /= e.sum(0)
+        j = rng.random((states, states)) + 0.5
+        j /= j.sum()
+        for _ in range(steps):
+            p = e @ j @ e.T + 1e-300
+            r = n / p
+            e_new = e * (r @ e @ j.T + r.T @ e @ j) + 1e-9 * share[:, None]
+            j = j * (e.T @ r @ e) + 1e-9
+            j /= j.sum()
+            e = e_new / e_new.sum(0)
+        fit = float((n * np.log(e @ j @ e.T + 1e-300)).sum())
+        if best is None or fit > best[0]:
+            best = fit, j, e
+    return best[1], best[2]
+
+
 class Language(NamedTuple):
     hmm: Hmm
     tokens: int  # in training
@@ -289,58 +337,73 @@ def _score(lang: Language):
     return run
 
 
-def score_texts(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str = "text", states: int = 6, classes: int = 4096, rounds: int = 3, warm_tokens: int = 200_000, chunk_bytes: int = 4 << 20) -> DataFrame:
+def _start(chunks: DataFrame, tokens: np.ndarray, states: int, coarse_classes: int) -> Hmm:
+    """Parameters to start from: those of the likeliest model of pairs of neighbours, over all training documents.
+
+    The most frequent classes count for themselves, the others in groups, so at most ``coarse_classes`` ** 2 counts
+    come to the driver. They are whole numbers, so nothing depends on how the rows are dealt out.
+    """
+    k = min(coarse_classes, len(tokens))
+    order = np.lexsort([np.arange(len(tokens)), -tokens])
+    coarse = np.empty(len(tokens), np.int64)
+    own = k * 3 // 4
+    coarse[order[:own]] = np.arange(own)
+    coarse[order[own:]] = own + np.arange(len(tokens) - own) % (k - own)
+    got = chunks.select("idx", "classes", "lens", "held").mapInArrow(_neighbours(coarse), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(k * k)
+    n[got.pair.to_numpy(np.int64)] = got.n.to_numpy(float)
+    joint, e = pair_model(n.reshape(k, k), states)
+    group = np.bincount(coarse, tokens + 1.0, k)
+    emit = e[coarse] * ((tokens + 1.0) / group[coarse])[:, None]
+    per = joint.sum(1)
+    return improve(per * 1e3, joint * n.sum(), emit * per * (n.sum() + 1))
+
+
+def train(chunks: DataFrame, tokens: np.ndarray, states: int, rounds: int, tolerance: float, coarse_classes: int = 512) -> Hmm:
+    """Baum-Welch over all training documents, until a pass gains less than ``tolerance`` a token, or ``rounds`` passes."""
+    classes, before = len(tokens), -np.inf
+    model = _start(chunks, tokens, states, coarse_classes)
+    for _ in range(rounds):
+        sums = chunks.select("idx", "classes", "lens", "held").mapInArrow(_expectations(model), "row long, " + ", ".join(f"s{j} double" for j in range(states)))
+        got = sums.groupBy("row").agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(states)]).toPandas()
+        table = np.zeros((classes + states + 2, states))
+        table[got.row.to_numpy(np.int64)] = got[[f"s{j}" for j in range(states)]].to_numpy()
+        model = improve(table[-2], table[classes : classes + states], table[:classes])
+        per_token = table[-1, 0] / max(int(tokens.sum()), 1)
+        if per_token - before < tolerance:
+            break
+        before = per_token
+    return model
+
+
+def score_texts(
+    docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str = "text", states: int = 6, classes: int = 4096, rounds: int = 4,
+    tolerance: float = 0.002, chunk_bytes: int = 4 << 20,
+) -> DataFrame:
     """Log10 probability of each whole text under a model of the rows for which the column ``held_out`` is false.
 
-    Returns ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``. The model starts from a run
-    on about ``warm_tokens`` tokens of chunks taken by hash, which only breaks the states' symmetry; then each of
-    ``rounds`` Baum-Welch passes adds up counts over all training documents. ``classes`` x ``states`` numbers come
-    to the driver. A word that training lacks has, in its class, the share of a word seen zero times plus one.
+    Returns ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``. The model starts from counts
+    of neighbouring classes; then each Baum-Welch pass adds up counts over all training documents. ``classes`` x
+    ``states`` numbers come to the driver. A word that training lacks has, in its class, the share of a word seen zero
+    times plus one. Scores don't depend on the rows' order or partitions, but for rounding.
 
     Null or empty text: the end alone. Null and repeated ids: each row is a text of its own. A null ``held_out``
     counts as false. No training rows: scores are those of the smoothing alone. Empty input: empty output.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "hmm")
-    batch_rows(spark, 500)
+    ready(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     chunks = scratch.save(rows.mapInArrow(_chunks(classes, chunk_bytes), CHUNK_SCHEMA))
-    batch_rows(spark, 2)
     each = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts", "classes")).alias("pos", "w")).select("chunk", "pos", F.col("w.words").alias("h"), F.col("w.counts").alias("n"), F.col("w.classes").alias("cls"))
-    # A word has a row for each chunk that holds it; they meet once, for the word's count and its number of chunks.
-    word = Window.partitionBy("h")
-    met = each.select(
-        "chunk", "pos", "cls", F.sum(F.col("n").cast("long")).over(word).alias("c"), F.count(F.lit(1)).over(word).alias("m"), F.row_number().over(word.orderBy("chunk")).alias("k")
-    )
-    met = scratch.save(met.select("chunk", "pos", "cls", "c", (F.col("m") > 1).alias("shared"), (F.col("k") == 1).alias("first")))
-    per = met.where("first and c > 0").groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toPandas()  # at most `classes` rows
+    # A word has a row for each chunk that holds it. Its counts are added up on the way; a chunk knows by itself the
+    # counts of words that no other has, so only the others are joined back.
+    word = scratch.save(each.groupBy("h").agg(F.sum(F.col("n").cast("long")).alias("c"), F.count(F.lit(1)).alias("m"), F.min("cls").alias("cls")))
+    per = word.where("c > 0").groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toPandas()  # at most `classes` rows
     tokens, distinct = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
     tokens[per.cls], distinct[per.cls] = per.c, per.v
-
-    rng = np.random.default_rng(7)
-    freq = (tokens + 1.0) / (tokens + 1.0).sum()
-    model = improve(np.ones(states), np.eye(states) * 8 + 1, freq[:, None] * 1e6 * rng.uniform(0.5, 1.5, (classes, states)))
-    warm_obs, warm_lens = [], []
-    some = [r["chunk"] for r in chunks.select("chunk").orderBy(F.xxhash64("chunk")).limit(8).collect()]
-    for r in chunks.where(F.col("chunk").isin(*some)).orderBy("chunk").select("idx", "classes", "lens", "held").collect() if some else ():
-        idx = unpack_indices(bytes(r["idx"]), sum(r["lens"]))
-        obs, lens = _learning(np.array(r["classes"])[idx], np.array(r["lens"], np.int64), np.array(r["held"], bool))
-        take = int(np.searchsorted(np.cumsum(lens), warm_tokens // 8)) + 1
-        warm_lens.append(lens[:take])
-        warm_obs.append(obs[: lens[:take].sum()])
-    if warm_lens and sum(map(len, warm_lens)):
-        obs, lens = np.concatenate(warm_obs), np.concatenate(warm_lens)
-        for _ in range(15):
-            model = improve(*expect(model, obs, lens)[:3])
-    for _ in range(rounds):
-        sums = chunks.select("idx", "classes", "lens", "held").mapInArrow(_expectations(model), "row long, " + ", ".join(f"s{j} double" for j in range(states)))
-        got = sums.groupBy("row").agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(states)]).toPandas()
-        table = np.zeros((classes + states + 1, states))
-        table[got.row.to_numpy(np.int64)] = got[[f"s{j}" for j in range(states)]].to_numpy()
-        model = improve(table[-1], table[classes : classes + states], table[:classes])
-    lang = Language(model, int(tokens.sum()), int(distinct.sum()), tokens, distinct)
-
-    # A chunk knows by itself the counts of words that no other has.
-    known = met.where("shared").groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("known"))
-    full = chunks.select("chunk", "ids", "held", "lens", "idx", "counts", "classes").join(known, "chunk", "left").drop("chunk")
+    known = scratch.save(each.select("chunk", "pos", "h").join(word.where("m > 1").select("h", "c"), "h").select("chunk", "pos", "c"))
+    lang = Language(train(chunks, tokens, states, rounds, tolerance), int(tokens.sum()), int(distinct.sum()), tokens, distinct)
+    own = known.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("known"))
+    full = chunks.select("chunk", "ids", "held", "lens", "idx", "counts", "classes").join(own, "chunk", "left").drop("chunk")
     return full.mapInArrow(_score(lang), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
