@@ -113,13 +113,17 @@ def test_hidden_toxic_documents_are_found(spark, toxic_model):
     assert np.mean([r.score >= 0.7 for r in got]) > 0.85
 
 
+def suspect(text):
+    return bool(toxicity.SPACED.search(text) or toxicity.MIXED.search(text))
+
+
 def test_suspects_miss_nothing(toxic_model):
     import pyarrow as pa
 
     texts = ["plain words only.", "1d10t", "a b c d", "sooo", "x\ny $ z", "i.d.i.o.t", "", "no!", "café öööl", "q-w-e-r", "A1", "tra$h"]
     raw, offs = toxicity.text_bytes(pa.array(texts))
     flags = toxicity.suspects(raw, offs)
-    assert all(f or not toxicity.SUSPECT.search(t.lower()) for t, f in zip(texts, flags, strict=True))
+    assert all(f or not suspect(t.lower()) for t, f in zip(texts, flags, strict=True))
     assert not flags[0] and flags[1] and flags[5]
 
 
@@ -128,16 +132,60 @@ def test_suspects_hold_all_that_the_pattern_finds():
 
     texts = ["i. d. i. o. t", "i  d  i  o  t", "i d. i  o.t", "x a. b c  d", "и д и о т", "é t é s", "“i d i o”", "ÄÄä", "ддд", "kk\u212a", "ii\u0130", "ςςΣ", "\u0130b c d e", "1a", "中中中", "😀a b c d", "𐐀𐐀𐐨"]
     rng = random.Random(9)
-    parts = ["a", "b", "ab", "é", "É", "д", "中", "𐐀", "\u0130", "\u212a", "²", "“", "—", " ", ". ", "- ", "  ", ".", "_", "1", "@", "|", "\n", "\u0307", "\u00a0"]
+    parts = ["a", "b", "ab", "€", "¡", "é", "É", "д", "中", "𐐀", "\u0130", "\u212a", "²", "“", "—", " ", ". ", "- ", "  ", ".", "_", "1", "@", "|", "\n", "\u0307", "\u00a0"]
     texts += ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(30_000)]
-    want = [bool(toxicity.SUSPECT.search(t.lower())) for t in texts]
+    want = [suspect(t.lower()) for t in texts]
     for some in (texts, *([t] for t in texts[:17])):
         flags = toxicity.suspects(*toxicity.text_bytes(pa.array(some)))
-        assert [t for t, w, f in zip(some, want if some is texts else [toxicity.SUSPECT.search(some[0].lower())], flags, strict=True) if w and not f] == []
+        assert [t for t, w, f in zip(some, want if some is texts else [suspect(some[0].lower())], flags, strict=True) if w and not f] == []
     plain = ["plain words only.", "a café, öööl", "Das ist — gut", "то и другое"]
     assert toxicity.suspects(*toxicity.text_bytes(pa.array(plain))).tolist() == [False, True, False, False]
 
 
+def every_reading(span, model):
+    """The best score and the readings of a span, by trying every way to read every character."""
+    best = {}
+
+    def go(i, before, state, score, read):
+        if i == len(span) + 1:
+            best.setdefault(round(score, 9), set()).add(read.strip())
+            return
+        c = (span + " ")[i]
+        for x, channel in toxicity.arcs(c, before):
+            k = toxicity.letter_code(x) if x else 0
+            if not x or (k == 0 and state % toxicity.SYMBOLS == 0):
+                go(i + 1, c, state, score + channel, read)
+            else:
+                go(i + 1, c, (state * toxicity.SYMBOLS + k) % toxicity.SYMBOLS**3, score + channel + model.logp[state, k], read + x)
+
+    go(0, "", 0, 0.0, "")
+    top = max(best)
+    return top, best[top]
+
+
+def test_readings_against_enumeration(toxic_model):
+    rng = random.Random(5)
+    spans = ["".join(rng.choices("abdiot10345@$*. -!|é", k=rng.randrange(1, 8))) for _ in range(400)] + ["****", "1d10t", "a  b  c", "$$$", "üü1"]
+    models = [toxic_model.chars, toxicity.CharModel(np.log(np.random.default_rng(0).dirichlet(np.ones(28) * 0.3, 28**3) + 1e-12))]
+    for model in models:
+        for span in spans:
+            assert toxicity.viterbi(span, model) in every_reading(span, model)[1], span
+
+
+def test_long_texts_without_white_space(spark, toxic_model):
+    import time
+
+    run = "".join(chr(0x4E00 + (i * 7919) % 20000) for i in range(500_000))
+    restore = toxicity.Restorer(toxic_model.chars)
+    t0 = time.time()
+    for text in (run + "1d10t" + run, "a" * 1_000_000, "ab0cd1" * 30_000, "x!" * 100_000):
+        restore(text)
+    assert time.time() - t0 < 120
+    assert "idiot" in restore("中文 1d10t " + run)
+    rows = spark.createDataFrame([(1, run + " 1d10t"), (2, run)], "doc_id long, text string")
+    assert all(0 <= r.score <= 1 for r in toxicity.score(rows, toxic_model).collect())
+
+
 def test_toxicity_odd_rows(spark, messy, empty, no_labels):
     model = toxicity.fit(messy, no_labels)
     out = toxicity.score(messy, model)
@@ -224,6 +272,51 @@ def test_language_model_query(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_language_model_does_not_depend_on_partitions(spark, monkeypatch):
+    docs = queries.read(spark, "/root/testdata/sf0.01", "documents").where("n_chars < 3000").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    made = []
+    real = hmm._score
+    monkeypatch.setattr(hmm, "_score", lambda lang: made.append(lang) or real(lang))
+    runs = [{r.doc_id: r for r in hmm.score_texts(docs.repartition(n, "text"), held, rounds=2, chunk_bytes=1 << 18).collect()} for n in (2, 7)]
+    assert all(math.isclose(runs[0][i].score, runs[1][i].score, rel_tol=1e-6) for i in runs[0]) and runs[0].keys() == runs[1].keys()
+
+    # The score once more, word by word: the forward recursion over classes, and each word's share of its class.
+    lang, count = made[1], {}
+    rows = docs.withColumn("held", held).collect()
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = {r.doc_id: [w for w in re.split(r"[\x20\x09-\x0D]+", (r.text or "").translate(low)) if w] for r in rows}
+    for r in rows:
+        if not r.held:
+            for w in [*words[r.doc_id], None]:
+                count[w] = count.get(w, 0) + 1
+    import pyarrow as pa
+
+    distinct = sorted({w for ws in words.values() for w in ws})
+    (found,) = hmm.words(pa.array([" ".join(distinct)]), 1 << 30)
+    cls = dict(zip(distinct, hmm.word_classes(found, 4096).tolist(), strict=True)) | {None: 0}
+    tokens, kinds = np.zeros(4096), np.zeros(4096)
+    for w, c in count.items():
+        tokens[cls[w]] += c
+        kinds[cls[w]] += 1
+    for i in sorted(words)[:60]:
+        ws, score, a = [*words[i], None], 0.0, None
+        for w in ws:
+            a = (lang.hmm.start if a is None else a @ lang.hmm.move) * lang.hmm.emit[cls[w]]
+            score += math.log10(a.sum()) + math.log10((count.get(w, 0) + 1) / (tokens[cls[w]] + kinds[cls[w]] + 1))
+            a = a / a.sum()
+        assert math.isclose(score, runs[1][i].score, rel_tol=1e-6)
+
+
+def test_pairs_of_neighbours_are_modelled():
+    rng = np.random.default_rng(3)
+    n = np.zeros((8, 8))
+    n[:4, 4:], n[4:, :4] = rng.integers(50, 100, (4, 4)), rng.integers(50, 100, (4, 4))  # two kinds that take turns
+    joint, e = hmm.pair_model(n, 2)
+    p = e @ joint @ e.T
+    assert np.isclose(p.sum(), 1) and p[:4, :4].sum() + p[4:, 4:].sum() < 0.01
+
+
 def test_language_model_odd_rows(messy, empty):
     out = hmm.score_texts(messy, F.col("doc_id") == 7, rounds=1).collect()
     assert len(out) == messy.count() and all(math.isfinite(r.score) and r.score < 0 for r in out)
@@ -265,6 +358,30 @@ def test_near_vectors_against_plain(spark):
     assert got[None].component_id is None and got[None].n_links == 0
 
 
+@pytest.mark.parametrize("most_met", [20_000, 1])  # the second asks for narrower cells
+def test_planted_links_are_found_at_the_defaults(spark, most_met):
+    rng = np.random.default_rng(9)
+    a = rng.normal(size=(1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    b = 0.901 * a + np.sqrt(1 - 0.901**2) * side
+    rows = [(2 * i, a[i].tolist()) for i in range(1500)] + [(2 * i + 1, b[i].tolist()) for i in range(1500)]
+    out = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), most_met=most_met).collect()
+    assert sum(r.n_links for r in out) >= 0.99 * 3000
+    assert all(r.component_id in (r.vec_id, r.vec_id - 1) and r.n_links <= 1 for r in out)
+
+
+def test_vectors_odd_rows(spark):
+    """Repeated ids, ties, and columns whose names are those used inside."""
+    v, w = [1.0] * 12, [1.0] * 6 + [-1.0] * 6
+    rows = [(1, v, 5, "x"), (1, v, 6, "y"), (2, v, 5, None), (3, w, 5, "z"), (None, v, 1, "q"), (4, None, 2, "r"), (2, v, 5, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id long, item string").withColumn("cell", F.lit(1)).withColumn("v", F.lit(0.5))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(df).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (0, 4, True), None: (0, None, True)}
+
+
 def test_vectors_empty(spark):
     assert lattice.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
@@ -287,6 +404,62 @@ def test_fingerprints(spark):
     assert 0.5 < like[8, 9] and like[1, 6] == 0.0
 
 
+def plain_signature(text):
+    """The same in plain Python: tokens, numbered k-mers, the smallest of each bin in text order."""
+    import xxhash
+
+    sign = lambda h: h - (1 << 64) if h >> 63 else h
+
+    def h(*parts):
+        seed = 42
+        for x in parts:
+            if x is not None:
+                data = x.encode() if isinstance(x, str) else int(x).to_bytes(4, "little") if isinstance(x, np.int32) else (x & (2**64 - 1)).to_bytes(8, "little")
+                seed = xxhash.xxh64_intdigest(data, seed=seed)
+        return sign(seed)
+
+    tokens = []
+    long = re.search(r"[^ \t\n\x0b\f\r]{17}", text)
+    for t in re.findall(r"[ \t\n\x0b\f\r]*[^ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", text):
+        if not (long and re.search(r"[^ \t\n\x0b\f\r]{17}", t)):
+            tokens.append(h(t))
+            continue
+        marks = [h(*t[i : i + 2]) for i in range(len(t))]
+        at = [i for i in range(len(t)) if i == 0 or marks[i] == min(marks[max(0, i - 4) : i + 5])]
+        tokens += [h(*t[a:b]) for a, b in zip(at, [*at[1:], len(t)], strict=True)]
+    kmers, seen, bins = [h(*tokens[i : i + 3]) for i in range(len(tokens))], {}, {}
+    for i, k in enumerate(kmers):
+        n = seen.get(k, 0)
+        seen[k] = n + 1
+        g = h(k, np.int32(n))
+        bins.setdefault(g >> 58, []).append((g, i))
+    out = []
+    for b, items in sorted(bins.items()):
+        two = sorted(sorted(items)[:2], key=lambda x: x[1])
+        out.append((b + 32) * 65536 + h(*(g for g, _ in two)) % 65536)
+    return out
+
+
+def test_signature_against_plain(spark):
+    rng = random.Random(8)
+    run = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    texts = ["", " ", "one", "a b c  d\n", "word " * 40, run(300), "x" * 60, "ab" * 40, "mixed " + run(50) + " text\t\tand " + run(16), "é" * 17 + " a a a a", " ".join(rng.choices(["to", "be", "or"], k=80))]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fp.signature(F.col("t")).alias("s")).collect()
+    for r in got:
+        assert r.s == plain_signature(texts[r.i]), texts[r.i]
+
+
+def test_edits_in_unspaced_and_spaced_text_stay_near(spark):
+    rng = random.Random(4)
+    run = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(3000))
+    spaced = " ".join(f"t{rng.randrange(900)}" for _ in range(600))
+    rows = [(0, run), (1, "中" + run), (2, run[:1500] + "文" + run[1500:]), (3, run[:700] + run[701:]), (4, spaced), (5, "new " + spaced), (6, spaced.replace(" ", "  ", 3)), (7, run[::-1])]
+    df = spark.createDataFrame(rows, "i int, t string").select("i", fp.signature(F.col("t")).alias("s"))
+    like = {(r.i, r.j): r.x for r in df.alias("a").crossJoin(df.alias("b")).select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), fp.likeness(F.col("a.s"), F.col("b.s")).alias("x")).collect()}
+    assert all(like[0, j] > 0.8 for j in (1, 2, 3)) and like[4, 5] > 0.8 and like[0, 7] < 0.1
+    assert 0.7 < like[4, 6] < 1.0  # white space counts
+
+
 def test_repeats_are_numbered(spark):
     """Every numbered k-mer is counted once, so repeats fill bins of their own."""
     df = spark.createDataFrame([(i, "word " * i) for i in (3, 30, 300)], "i int, t string")
@@ -333,6 +506,61 @@ def test_licenses(spark, messy, empty):
     assert scan(messy).count() == messy.count() and scan(empty).count() == 0
 
 
+def plain_scan(text, freq):
+    from tidemark.llm import licenses as lic
+
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    ws = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(low))
+    out = set()
+    for label, t in lic.template_words(lic.TEMPLATES).items():
+        for b in range(0, max(len(ws), 1), len(t)):
+            block = ws[b : b + 2 * len(t)]
+            share = len(set(block) & set(t)) / len(set(t))
+            if share >= 0.8 - 1e-12 and all(f" {x} " in f" {' '.join(block)} " for x in lic.TELLING.get(label, [])):
+                out.add((label, b, min(b + 2 * len(t), len(ws)), round(share, 9)))
+    return out
+
+
+def test_license_blocks_against_plain(spark):
+    from tidemark.llm import licenses as lic
+
+    rng = random.Random(2)
+    texts = list(lic.TEMPLATES.values())
+    vocabulary = sorted({w for t in texts for w in t.split()}) + [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        parts = []
+        for _ in range(rng.randrange(4)):
+            w = rng.choice(texts).split()
+            for _ in range(rng.randrange(5)):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            parts += rng.choices(vocabulary, k=rng.randrange(30)) + w
+        rows.append((i if i % 50 else 7, " ".join(parts).title() if i % 3 else ", ".join(parts)))
+    rows += [(7, rows[1][1]), (None, rows[2][1]), (None, None)]
+    from collections import Counter
+
+    got = Counter((r.doc_id, frozenset((m.label, m.start, m.end, round(m.share, 9)) for m in r.matches)) for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter((i, frozenset(plain_scan(t, None))) for i, t in rows)
+    assert sum(len(k[1]) for k in got) > 200
+
+
+def test_licenses_are_told_apart(spark):
+    rows = {
+        "Released under the Apache License": "", "The software was released by the team under a license": "", "Licensed under CC BY 4.0": "cc-by",
+        "You can redistribute it under the terms of the GNU General Public License, version 2, as published by the Free Software Foundation.": "gpl",
+        "This work is licensed under the GNU General Public License, version 2.": "gpl", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+    }
+    got = {r.text: r for r in scan(spark.createDataFrame([(t,) for t in rows], "text string"), id_col="text").withColumnRenamed("doc_id", "text").collect()}
+    assert {t: r.labels for t, r in got.items()} == rows
+
+
+def test_scan_without_templates_or_phrases(spark):
+    df = spark.createDataFrame([(1, "cc by and released under the mit license")], "doc_id long, text string")
+    assert [r.labels for r in scan(df, templates={}).collect()] == ["cc-by"]
+    assert [(r.labels, r.n_base) for r in scan(df, phrases={}).collect()] == [("mit", 0)]
+
+
 def test_samples_are_the_smallest_hashes(spark):
     from tidemark.llm.common import first_by_hash
 

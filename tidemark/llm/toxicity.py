@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_rows, carried, carried_text, first_by_hash, with_row
+from .common import Scratch, carried, carried_text, first_by_hash, ready, small, with_row
 from .textbytes import LOWER, slices, text_bytes
 
 #: Symbols of the character model: 0 what is no letter, 1 to 26 a to z, 27 any other letter.
@@ -33,13 +33,18 @@ LEET = {
 }
 #: What may stand between the letters of a word that is spaced out.
 GAPS = " .-_*"
+#: Signs that, beside a letter, make a word suspect; some only before one.
+_BEFORE, _AFTER = "0123456789@$!|+*(€¡", "0123456789@$€¡"
 _LETTER = r"[^\W\d_]"
-#: Letters mixed with signs; single letters spaced out; a letter three times or more.
-SUSPECT = re.compile(
-    rf"(?<!\S)(?=\S*(?:[0-9@$!|+*(]{_LETTER}|{_LETTER}[0-9@$]))\S*{_LETTER}\S*"
-    rf"|(?<![^\W_])(?:{_LETTER}[ .\-_*]{{1,2}}){{3,}}{_LETTER}(?![^\W_])"
-    rf"|\S*({_LETTER})\1\1\S*"
-)
+#: Single letters spaced out.
+SPACED = re.compile(rf"(?<![^\W_])(?:{_LETTER}[ .\-_*]{{1,2}}){{3,}}{_LETTER}(?![^\W_])")
+#: Words with letters beside signs, or with a letter three times or more. Only tried where a word starts, so a long
+#: word is looked at twice, not once for each of its letters.
+MIXED = re.compile(rf"(?<!\S)(?:(?=\S*(?:[{re.escape(_BEFORE)}]{_LETTER}|{_LETTER}[{re.escape(_AFTER)}]))|(?=\S*?({_LETTER})\1\1))\S+")
+#: Runs of a sign or letter are read as so many of it; where so many characters in a row are no letters, no word is hidden.
+RUN, NO_WORD = 4, 9
+_LONG_RUN = re.compile(rf"(.)\1{{{RUN},}}", re.S)
+_NO_LETTERS = re.compile(rf"(?:(?!{_LETTER}).){{{NO_WORD},}}", re.S)
 _WORD = re.compile(rf"{_LETTER}+")
 
 _CODE = np.zeros(256, np.int64)
@@ -48,7 +53,8 @@ _CODE[128:] = 27
 _GAP = np.zeros(256, bool)
 _GAP[[ord(c) for c in GAPS]] = True
 _HINT = np.zeros(256, bool)
-_HINT[[ord(c) for c in "0123456789@$!|+*("]] = True
+_HINT[[ord(c) for c in _BEFORE if ord(c) < 128]] = True
+_FAR_HINT = [ord(c) for c in _BEFORE if ord(c) >= 128]
 
 
 def letter_code(c: str) -> int:
@@ -102,39 +108,52 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
 
-def viterbi(span: str, model: CharModel, beam: int = 64) -> str:
-    """The likeliest reading of a span; states are the last three symbols read, at most ``beam`` of them."""
-    logp, states = model.logp, {0: (0.0, "")}
-    base, top = SYMBOLS, SYMBOLS ** (ORDER - 1)
+def arcs(c: str, before: str) -> list[tuple[str, float]]:
+    """What a character may stand for after another ("" for nothing), with the channel's log likelihood."""
+    if c.isalpha():
+        return [(c, 0.0), ("", -0.5)] if c == before else [(c, 0.0)]
+    out = [(x, -1.0) for x in LEET.get(c, "")]
+    if c in GAPS or c == before:
+        out.append(("", -0.7 if c in GAPS else -4.0))
+    return [*out, (" ", -2.0 if c not in GAPS else 0.0)]
+
+
+def viterbi(span: str, model: CharModel) -> str:
+    """The likeliest reading of a span, exactly: states are the last three symbols read, all of them are followed.
+
+    Where all readings agree on the last three symbols, what was read is settled, so that long spans stay cheap.
+    """
+    logp, top, settled = model.logp, SYMBOLS ** (ORDER - 1), []
+    # A state's score and reading; a reading is a pair of the one before it and the character added.
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     before = ""
     for c in span + " ":
-        arcs: list[tuple[str, float]] = []  # what it stands for, "" for nothing, with the channel's log likelihood
-        if c.isalpha():
-            arcs.append((c, 0.0))
-            if c == before:
-                arcs.append(("", -0.5))
-        else:
-            arcs += [(x, -1.0) for x in LEET.get(c, "")]
-            if c in GAPS or c == before:
-                arcs.append(("", -0.7 if c in GAPS else -4.0))
-            arcs.append((" ", -2.0 if c not in GAPS else 0.0))
-        best: dict[int, tuple[float, str]] = {}
+        best: dict[int, tuple[float, tuple | None]] = {}
+        stands = [(x, letter_code(x) if x else 0, channel) for x, channel in arcs(c, before)]
         for state, (score, read) in states.items():
-            for x, channel in arcs:
-                if not x:
+            for x, k, channel in stands:
+                # A space after a space adds nothing.
+                if not x or (k == 0 and state % SYMBOLS == 0):
                     nxt, s, r = state, score + channel, read
                 else:
-                    k = letter_code(x)
-                    if k == 0 and state % base == 0:
-                        nxt, s, r = state, score + channel, read
-                    else:
-                        nxt, s, r = (state * base + k) % top, score + channel + logp[state, k], read + x
+                    nxt, s, r = (state * SYMBOLS + k) % top, score + channel + logp[state, k], (read, x)
                 if nxt not in best or s > best[nxt][0]:
                     best[nxt] = (s, r)
-        if len(best) > beam:
-            best = dict(sorted(best.items(), key=lambda p: -p[1][0])[:beam])
+        if len(best) == 1:
+            ((state, (_, read)),) = best.items()
+            settled.append(_spelled(read))
+            best = {state: (0.0, None)}
         states, before = best, c
-    return max(states.values())[1].strip()
+    settled.append(_spelled(max(states.values(), key=lambda v: v[0])[1]))
+    return "".join(settled).strip()
+
+
+def _spelled(read: tuple | None) -> str:
+    out = []
+    while read:
+        read, x = read
+        out.append(x)
+    return "".join(reversed(out))
 
 
 def _lowered() -> np.ndarray:
@@ -164,7 +183,7 @@ def _code_points(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suspects(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Which texts may hold a suspect span: all that SUSPECT finds one in, and few others.
+    """Which texts may hold a suspect span: all that SPACED or MIXED finds one in, and few others.
 
     Works on code points; one beyond ASCII may be a letter or not.
     """
@@ -182,6 +201,8 @@ def suspects(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
             c = b = d
         letter, hint, gap = _CODE[b] > 0, _HINT[b], _GAP[b]
         hit = np.zeros(len(b), bool)
+        if at is not None:
+            hint = hint | np.isin(c, _FAR_HINT)
         hit[1:] = (hint[:-1] & letter[1:]) | (letter[:-1] & hint[1:])
         hit |= c == _DOTTED
         hit[2:] |= letter[2:] & (c[2:] == c[1:-1]) & (c[1:-1] == c[:-2])
@@ -205,21 +226,29 @@ def suspects(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
 class Restorer:
     """Restores suspect spans; remembers short ones it has read."""
 
-    def __init__(self, model: CharModel, remember: int = 50_000):
-        self.model, self.known, self.remember = model, {}, remember
+    def __init__(self, model: CharModel, remember: int = 50_000, short: int = 40):
+        self.model, self.known, self.remember, self.short = model, {}, remember, short
 
-    def span(self, m: re.Match) -> str:
-        s = m[0]
-        # Signs at the ends are punctuation, except one sign that opens or closes a word in a letter's place.
-        core = s.rstrip(".,!?;:)\"'*|+-_")
+    def read(self, core: str) -> str:
+        if len(core) > self.short:
+            return viterbi(core, self.model)
         if core not in self.known:
             if len(self.known) >= self.remember:
                 self.known.clear()
             self.known[core] = viterbi(core, self.model)
-        return f" {self.known[core]} "
+        return self.known[core]
+
+    def span(self, m: re.Match) -> str:
+        # Signs at the ends are punctuation, except one sign that opens or closes a word in a letter's place.
+        core = _LONG_RUN.sub(lambda r: r[1] * RUN, m[0].rstrip(".,!?;:)\"'*|+-_"))
+        return f" {' '.join(self.read(part) for part in _NO_LETTERS.split(core))} "
 
     def __call__(self, text: str) -> str:
-        return SUSPECT.sub(self.span, text)
+        out, at = [], 0
+        for m in SPACED.finditer(text):
+            out += [MIXED.sub(self.span, text[at : m.start()]), self.span(m)]
+            at = m.end()
+        return "".join([*out, MIXED.sub(self.span, text[at:])])
 
 
 def tokens(text: str) -> set[str]:
@@ -259,7 +288,7 @@ def _feature_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     toxic_at: dict[tuple[str, int], int] = {}
     clean: dict[str, list[int]] = {}
-    for b in batches:
+    for b in small(batches, lambda b: b.column(0)):
         for t, toxic, fold in zip(_texts(b.column(0), None), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             found = _WORD.findall(t)
             if toxic:
@@ -292,7 +321,7 @@ def measure(text: str, lexicon: dict[str, float]) -> list[float]:
 
 def _measures(lexicons: list[dict[str, float]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, lambda b: b.column(0)):
             x = [measure(t, lexicons[fold]) for t, fold in zip(_texts(b.column(0), None), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
 
@@ -323,57 +352,82 @@ def _weights(c: np.ndarray, t: np.ndarray, clean: int, toxic: int, surely: float
     return np.where((ratio >= surely) & (odds > 1.5), odds, 0.0)
 
 
+def _restored(chars: CharModel):
+    """Columns text, toxic, fold, with the text restored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restore = Restorer(chars)
+        for b in small(batches, lambda b: b.column(0)):
+            yield pa.RecordBatch.from_arrays([pa.array(list(_texts(b.column(0), restore)), pa.string()), *b.columns[1:]], b.schema.names)
+
+    return run
+
+
+def _lexicons(some: DataFrame, most: int, scratch: Scratch) -> list[dict[str, float]]:
+    """Weights of words and beginnings learned from fold 0's rows, fold 1's and all, for fold 1, fold 0 and new texts."""
+    kinds = ("c0", "c1", "t0", "t1")
+    places = some.mapInArrow(_feature_places, "feature string, before long, c0 long, c1 long, t0 long, t1 long")
+    sums = places.groupBy("feature", "before").agg(*[(F.sum if c[0] == "c" else F.max)(c).alias(c) for c in kinds]).groupBy("feature").agg(*[F.sum(c).alias(c) for c in kinds])
+    sums = scratch.save(sums)
+    c0, c1, t0, t1 = sums.agg(*[F.sum(c) for c in kinds]).first()
+    share = (c0 + c1 + 1) / (t0 + t1 + 1)
+    top = (
+        sums.withColumn("t", F.col("t0") + F.col("t1")).where("t >= 3")
+        .where((F.col("t") * share) > 4 * (F.col("c0") + F.col("c1")))
+        .orderBy(F.desc("t"), "feature").limit(most).toPandas()
+    )
+    scratch.drop(sums)
+    out = []
+    for c, t, clean, toxic in ((top.c1, top.t1, c1, t1), (top.c0, top.t0, c0, t0), (top.c0 + top.c1, top.t0 + top.t1, c0 + c1, t0 + t1)):
+        w = _weights(c.to_numpy(float), t.to_numpy(float), clean, toxic)
+        out.append(dict(zip(top.feature[w > 0], w[w > 0].tolist(), strict=True)))
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 20_000, lexicon_size: int = 20_000) -> ToxicModel:
     """Learn from labelled rows.
 
-    The classifier is fitted on at most ``sample`` toxic and ``sample`` other labelled rows, the first by a hash of
-    their id; of these it keeps at most ``lexicon_size`` words and beginnings. The character counts cover all of
-    ``docs``; there are at most SYMBOLS ** ORDER of them. Rows with a null id or label teach nothing. Without
-    labels of both kinds the model's scores are 0.
+    The classifier is fitted on at most ``sample`` toxic and ``sample`` other labelled ids, the first by a hash of
+    their id; of these it keeps at most ``lexicon_size`` words and beginnings. A first lexicon, of the texts as they
+    are, lets the character model read hidden words; what is scored with is learned from the texts that it restores,
+    as all texts are restored before their score. The character counts cover all of ``docs``; there are at most
+    SYMBOLS ** ORDER of them.
+
+    Rows with a null id or label teach nothing. An id that has both labels teaches both; of rows that share an id
+    and a text, one teaches. Without labels of both kinds, or without rows, the model's scores are 0.
     """
-    batch_rows(docs.sparkSession, 1000)
+    ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("id is not null")
     turn = F.xxhash64("id", F.lit("toxicity"))
     picked = None
     for y in (0, 1):
-        part = first_by_hash(marked.where(F.col("toxic") == y), "id", sample, "toxicity")
+        part = first_by_hash(marked.where(F.col("toxic") == y).distinct(), "id", sample, "toxicity")
         picked = part if picked is None else picked.unionByName(part)
     scratch = Scratch(docs.sparkSession, "toxicity")
     picked = scratch.save(picked)
     some = scratch.save(rows.join(F.broadcast(picked), "id").select("text", "toxic", F.pmod(turn, F.lit(2)).cast("int").alias("fold")).dropDuplicates(["text", "toxic"]))  # at most 2 x sample ids
     n = {(r["toxic"], r["fold"]): r["count"] for r in some.groupBy("toxic", "fold").count().collect()}
-    lex: list[dict[str, float]] = [{}, {}, {}]
-    coef = np.array([-30.0, 0, 0, 0])
-    if all(n.get((y, f), 0) for y in (0, 1) for f in (0, 1)):
-        kinds = ("c0", "c1", "t0", "t1")
-        places = some.mapInArrow(_feature_places, "feature string, before long, c0 long, c1 long, t0 long, t1 long")
-        sums = places.groupBy("feature", "before").agg(*[(F.sum if c[0] == "c" else F.max)(c).alias(c) for c in kinds]).groupBy("feature").agg(*[F.sum(c).alias(c) for c in kinds])
-        sums = scratch.save(sums)
-        c0, c1, t0, t1 = sums.agg(*[F.sum(c) for c in kinds]).first()
-        share = (c0 + c1 + 1) / (t0 + t1 + 1)
-        top = (
-            sums.withColumn("t", F.col("t0") + F.col("t1")).where("t >= 3")
-            .where((F.col("t") * share) > 4 * (F.col("c0") + F.col("c1")))
-            .orderBy(F.desc("t"), "feature").limit(lexicon_size).toPandas()
-        )
-        for i, (c, t, clean, toxic) in enumerate(((top.c1, top.t1, c1, t1), (top.c0, top.t0, c0, t0), (top.c0 + top.c1, top.t0 + top.t1, c0 + c1, t0 + t1))):
-            w = _weights(c.to_numpy(float), t.to_numpy(float), clean, toxic)
-            lex[i] = dict(zip(top.feature[w > 0], w[w > 0].tolist(), strict=True))
-        # Each fold is measured with the other fold's lexicon, as unseen documents will be.
-        got = some.mapInArrow(_measures(lex[:2]), "toxic int, x array<double>").toPandas()
-        coef = _logistic(np.stack(got.x), got.toxic.to_numpy(float))
     grams = rows.select("text").mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(SYMBOLS**ORDER)
     counts[grams.gram.to_numpy(np.int64)] = grams.n.to_numpy()
-    scratch.drop(some, picked)
-    return ToxicModel(CharModel.from_counts(counts, [w for w in lex[2] if w[0] != "^"]), lex[2], coef)
+    if not all(n.get((y, f), 0) for y in (0, 1) for f in (0, 1)):
+        scratch.drop(some, picked)
+        return ToxicModel(CharModel.from_counts(counts, []), {}, np.array([-30.0, 0, 0, 0]))
+    first = _lexicons(some, lexicon_size, scratch)[2]
+    chars = CharModel.from_counts(counts, [w for w in first if w[0] != "^"])
+    read = scratch.save(some.mapInArrow(_restored(chars), some.schema))
+    lex = _lexicons(read, lexicon_size, scratch)
+    # Each fold is measured with the other fold's lexicon, as unseen documents will be.
+    got = read.mapInArrow(_measures(lex[:2]), "toxic int, x array<double>").toPandas()
+    scratch.drop(some, picked, read)
+    return ToxicModel(chars, lex[2], _logistic(np.stack(got.x), got.toxic.to_numpy(float)))
 
 
 def _score(model: ToxicModel, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model.chars)
-        for b in batches:
+        for b in small(batches, lambda b: carried_text(b, text_col)):
             x = np.array([measure(t, model.lexicon) for t in _texts(carried_text(b, text_col), restore)]).reshape(-1, 3)
             z = model.coef[0] + x @ model.coef[1:]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["row", "score"])
@@ -382,6 +436,10 @@ def _score(model: ToxicModel, text_col: str):
 
 
 def score(docs: DataFrame, model: ToxicModel, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``(row, score)``: the columns to keep (None: all) as a struct and the chance that its text is toxic; null text as empty."""
-    batch_rows(docs.sparkSession, 1000)
+    """``(row, score)``: the columns to keep (None: all) as a struct and the chance that its text is toxic; null text as empty.
+
+    Each row is scored by its text alone, so null, repeated or tied ids change nothing and equal texts have equal
+    scores. Empty input: empty output.
+    """
+    ready(docs.sparkSession)
     return carried(docs, text_col, keep).mapInArrow(_score(model, text_col), with_row(docs, keep, score="double"))
