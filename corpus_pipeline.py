@@ -17,13 +17,20 @@ TOXIC_FROM = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are likely toxic go; null and empty texts stay."""
+    """Documents that are likely toxic go; null and empty texts stay.
+
+    Each row is judged by its text, so rows that share an id or a text are judged alike, and a null id changes
+    nothing. Without labels of both kinds all stay. Empty table: empty.
+    """
     model = toxicity.fit(docs, queries.read(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(F.col("score") < TOXIC_FROM).select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go; every document stays, a null text as an empty one, and n_chars counts what is left."""
+    """Repeated lines go; every document stays, a null text as an empty one, and n_chars counts what is left.
+
+    Rows that share an id count as one document; null ids together as one that comes last. Empty table: empty.
+    """
     out = line_dedup(docs)
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
     return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
@@ -36,12 +43,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All sources alike in their numbers of documents; a document has a row for each of its copies."""
+    """All sources alike in their numbers of documents; a document has a row for each of its copies, maybe none.
+
+    A null source is a source of its own, named by the empty text. Rows that share an id are copied alike, as the
+    number comes from a hash of the id; so are rows with a null id. Empty table: empty.
+    """
     return mix(docs).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each piece, with its place in a sequence; each copy of a document is packed."""
+    """A row for each piece, with its place in a sequence; each copy of a document is packed.
+
+    Null and empty texts are the end id alone. Rows that share an id, or have none, are packed each for itself; which
+    of equally long pieces goes where follows ids and contents. Empty table: empty.
+    """
     return pack(docs, queries.tokenizer_path())
 
 
