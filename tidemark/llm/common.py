@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -52,7 +53,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
         self.base = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-        _bases.setdefault(spark.sparkContext.applicationId, []).append(self.base)
+        bases = _bases.setdefault(spark.sparkContext.applicationId, [])
+        if not bases:
+            atexit.register(_clear_at_exit, bases, _file_system(spark, self.base), spark.sparkContext._jvm)
+        bases.append(self.base)
         self._n = 0
         self._paths: dict[int, tuple[str, DataFrame]] = {}
 
@@ -75,15 +79,37 @@ class Scratch:
                 _delete(self.spark, path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _delete(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _file_system(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
+
 
+def _clear_at_exit(bases: list[str], fs, jvm) -> None:
+    """What a program leaves goes with it, as far as its file system still answers."""
+    for base in bases:
+        try:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(base), True)
+        except Exception:  # noqa: BLE001  the JVM may be gone before
+            return
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete every table that this session's operators have written, once their results are written or no more wanted."""
-    for base in _bases.pop(spark.sparkContext.applicationId, []):
+
+def clear_scratch(spark: SparkSession, keep: set[str] = frozenset()) -> None:
+    """Delete the tables that this session's operators have written, once their results are written or no more wanted."""
+    bases = _bases.get(spark.sparkContext.applicationId, [])
+    for base in [b for b in bases if b not in keep]:
         _delete(spark, base)
+        bases.remove(base)
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete what operators write inside, for results that are saved inside too."""
+    before = set(_bases.get(spark.sparkContext.applicationId, []))
+    yield
+    clear_scratch(spark, keep=before)
 
 
 def first_by_hash(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
