@@ -96,6 +96,37 @@ def test_scratch_tables_can_be_cleared(spark):
     assert not folder.exists()
 
 
+def test_run_leaves_settings_and_folders_as_they_were(spark, tmp_path):
+    from pathlib import Path
+
+    from tidemark.llm import queries
+    from tidemark.llm.common import clear_scratch, work_dir
+
+    clear_scratch(spark)
+    settings = lambda: {r.key: r.value for r in spark.sql("SET").collect()}
+    before, there = settings(), set(Path(work_dir(spark)).iterdir())
+    corpus_pipeline.run(spark, SF).write.parquet(f"{tmp_path}/out")
+    clear_scratch(spark)
+    assert set(Path(work_dir(spark)).iterdir()) <= there and not list(Path(work_dir(spark)).rglob("*.parquet"))
+    for name in ("op2_lattice", "op4_quality", "op7_hmm", "op10_line_dedup"):
+        queries.QUERIES[name](spark, SF)
+    assert settings() == before
+    clear_scratch(spark)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark.llm import common
+
+    class Conf(dict):
+        pass
+
+    context = SimpleNamespace(getConf=lambda: Conf(), applicationId="app-x", master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.work_dir(SimpleNamespace(sparkContext=context, conf=Conf()))
+
+
 def test_stages_take_odd_rows(spark, messy, empty):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0, name
@@ -105,3 +136,13 @@ def test_stages_take_odd_rows(spark, messy, empty):
             assert out.columns == messy.columns, name
         if name in ("toxicity", "line_dedup"):
             assert rows == messy.count(), name
+        if name == "minhash":
+            comp, _ = plain_components([(r.doc_id, r.text) for r in messy.collect()], 5, 80)
+            want = Counter(r.doc_id for r in messy.collect() if r.doc_id is None or comp[r.doc_id] == r.doc_id)
+            assert Counter(r.doc_id for r in out.collect()) == want
+        if name == "packing":
+            check_packed(out.collect(), [(r.doc_id, r.text) for r in messy.collect()])
+        if name == "mixing":
+            per = Counter((r.doc_id, r.text) for r in out.collect())
+            assert set(per) <= {(r.doc_id, r.text) for r in messy.collect()}
+            assert per[5, "one two three four five six"] == 2 * per[5, "another text under the same id as before"]  # two rows and one, copied alike

@@ -419,9 +419,10 @@ def plain_signature(text):
         return sign(seed)
 
     tokens = []
-    long = re.search(r"[^ \t\n\x0b\f\r]{17}", text)
+    run = rf"[^ \t\n\x0b\f\r]{{{fp.LONG + 1}}}"
+    long = re.search(run, text)
     for t in re.findall(r"[ \t\n\x0b\f\r]*[^ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", text):
-        if not (long and re.search(r"[^ \t\n\x0b\f\r]{17}", t)):
+        if not (long and re.search(run, t)):
             tokens.append(h(t))
             continue
         marks = [h(*t[i : i + 2]) for i in range(len(t))]
@@ -443,7 +444,7 @@ def plain_signature(text):
 def test_signature_against_plain(spark):
     rng = random.Random(8)
     run = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
-    texts = ["", " ", "one", "a b c  d\n", "word " * 40, run(300), "x" * 60, "ab" * 40, "mixed " + run(50) + " text\t\tand " + run(16), "é" * 17 + " a a a a", " ".join(rng.choices(["to", "be", "or"], k=80))]
+    texts = ["", " ", "one", "a b c  d\n", "word " * 40, run(300), "x" * 60, "ab" * 40, "mixed " + run(50) + " text\t\tand " + run(32), "é" * 33 + " a a a a", " ".join(rng.choices(["to", "be", "or"], k=80))]
     got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fp.signature(F.col("t")).alias("s")).collect()
     for r in got:
         assert r.s == plain_signature(texts[r.i]), texts[r.i]
@@ -544,6 +545,15 @@ def test_license_blocks_against_plain(spark):
     assert sum(len(k[1]) for k in got) > 200
 
 
+def test_license_blocks_of_odd_rows(spark, messy):
+    from collections import Counter
+
+    clash = messy.withColumn("k", F.lit(1)).withColumn("h", F.lit("h")).withColumn("words", F.lit("w")).withColumn("matches", F.lit(0))
+    got = Counter((r.doc_id, r.n_words, frozenset((m.label, m.start, m.end, round(m.share, 9)) for m in r.matches)) for r in scan(clash).collect())
+    words = lambda t: len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t or ""))
+    assert got == Counter((r.doc_id, words(r.text), frozenset(plain_scan(r.text, None))) for r in messy.collect())
+
+
 def test_licenses_are_told_apart(spark):
     rows = {
         "Released under the Apache License": "", "The software was released by the team under a license": "", "Licensed under CC BY 4.0": "cc-by",
