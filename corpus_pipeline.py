@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import queries, toxicity
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, cleared
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix
@@ -76,7 +76,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.read(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
     for _, stage in STAGES[:-1]:
-        after = scratch.save(stage(spark, docs, sf_dir))
+        with cleared(spark):
+            after = scratch.save(stage(spark, docs, sf_dir))
         scratch.drop(docs)
         docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
