@@ -101,13 +101,13 @@ class LineRuns:
         if name := self._names.pop(folder, None):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    def dealt(self, keys: DataFrame) -> DataFrame:
-        """Rows (doc, k1, k2) dealt out as the runs are."""
-        return keys.repartition(self.buckets, "k1", "k2")
-
     def new_keys(self, keys: DataFrame) -> DataFrame:
-        """Of rows (doc, k1, k2), the keys that no run has, with the smallest document that has them."""
-        new = self.dealt(keys).groupBy("k1", "k2").agg(F.min("doc").alias("owner"))
+        """Of rows (doc, k1, k2), the keys that no run has, with the smallest document that has them.
+
+        They are reduced before they are shuffled, and dealt out as runs are where the session has as many shuffle
+        partitions as the runs have buckets.
+        """
+        new = keys.groupBy("k1", "k2").agg(F.min("doc").alias("owner"))
         for _, folder in self.runs:
             new = new.join(self._table(folder).select("k1", "k2"), ["k1", "k2"], "left_anti")
         return new
@@ -121,17 +121,21 @@ class LineRuns:
             for _, folder in same[1:]:
                 merged = merged.unionByName(self._table(folder))
             gone += same
-            self.runs = [r for r in self.runs if r not in same] + [(same[0][0] + 1, self._write(self.dealt(merged)))]
+            self.runs = [r for r in self.runs if r not in same] + [(same[0][0] + 1, self._write(merged.repartition(self.buckets, "k1", "k2")))]
         self.files.write(f"{self.path}/manifest.json", json.dumps({"buckets": self.buckets, "runs": self.runs}))
         for _, folder in gone:
             self._forget(folder)
             self.files.delete(f"{self.path}/{folder}")
 
     def drops(self, keys: DataFrame) -> DataFrame:
-        """(doc, drop): the keys of each document that another one owns."""
+        """(doc, drop): the keys of each document that another one owns.
+
+        Here runs are read as plain files, so that both sides are shuffled and Spark can split a line that most
+        documents hold.
+        """
         found = None
         for _, folder in self.runs:
-            part = self.dealt(keys).join(self._table(folder), ["k1", "k2"]).where("owner <> doc").select("doc", "k1", "k2")
+            part = keys.join(self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{folder}"), ["k1", "k2"]).where("owner <> doc").select("doc", "k1", "k2")
             found = part if found is None else found.unionByName(part)
         return found.groupBy("doc").agg(F.collect_list(F.struct("k1", "k2")).alias("drop"))
 
