@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hmm, quality, toxicity
+from .clustering import cluster
+from .exact_dedup import exact_duplicates
 from .fingerprint import fingerprints
 from .lattice import near_vectors
 from .licenses import TELLING, TEMPLATES, scan, template_words
@@ -15,6 +17,7 @@ from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
+from .whitening import whiten
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -80,6 +83,18 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents")).drop("matches")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings")).select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(read(spark, sf_dir, "documents"), keep=["doc_id"]).select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_lattice": op2_lattice,
@@ -91,11 +106,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_line_dedup": op10_line_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_clustering": op13_clustering,
 }
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+
+def _lloyd_sql(rounds: int = 5) -> str:
+    """Each round as two tables: the nearest centroid of every vector, and the centroids after it."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""x{i} AS (
+  SELECT vec_id, c.k, list_sum(list_transform(range(1, 65), lambda j: (v.p[j] - c.p[j]) * (v.p[j] - c.p[j])))::BIGINT AS d FROM v, c{i} c
+), a{i} AS (SELECT vec_id, arg_min(k, (d, k)) AS k, min(d) AS d FROM x{i} GROUP BY vec_id)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (
+  SELECT k, j, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m FROM (SELECT k, unnest(range(1, 65)) AS j, unnest(p) AS x FROM a{i} JOIN v USING (vec_id)) GROUP BY k, j
+), c{i + 1} AS (SELECT c.k, coalesce(n.p, c.p) AS p FROM c{i} c LEFT JOIN (SELECT k, list(m ORDER BY j) AS p FROM s{i} GROUP BY k) n ON c.k = n.k)""")
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS p FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS k, p FROM (SELECT sha256('2:' || vec_id) AS h, p FROM v ORDER BY h LIMIT 40)),
+{", ".join(steps)}
+SELECT vec_id, a.k::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.k)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.p, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.k = c.k"""
+
+
 ORACLES: dict[str, str] = {
     "op1_minhash": f"""
 WITH RECURSIVE w AS (
@@ -177,4 +218,8 @@ j AS (SELECT k.doc_id, i, line, owner IS NOT NULL AND owner <> k.doc_id AS gone
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id""",
+    "op12_exact_dedup": f"""
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {_LOW.format("coalesce(text, '')")} AS t FROM documents) WINDOW g AS (PARTITION BY t)""",
+    "op13_clustering": _lloyd_sql(),
 }
