@@ -128,9 +128,10 @@ def _bucket(most: int):
                     if e == len(places):
                         places.append([])
                         sizes.append(0)
-                        tops.append((False, 0, 0))
+                        tops.append((top is not None, top or 0, -local))
                     places[e].append(local)
                     sizes[e] += n
+                    # The largest id; of tables that share it, or have none, the first.
                     tops[e] = max(tops[e], (top is not None, top or 0, -local))
                 if over:
                     some = b.take(pa.array(over, pa.int64()))
