@@ -11,7 +11,6 @@ from ..functions import epoch_or_text_date
 from ..operators import calendar as cal
 from ..operators import futures as fut
 from ..operators import normalize, pit, quality, universe
-from ..operators.versions import ingested_order, latest_version
 from .store import Checkpoint, Manifest, Store
 
 #: Views over versions, by layer, dataset and key; the last, where given, is what a row must meet.
@@ -37,15 +36,20 @@ class Builder:
 
     def latest(self, view: str) -> DataFrame:
         layer, dataset, keys, *where = VIEWS[view]
-        return latest_version(self.store.read(layer, dataset), keys, ingested_order(), *map(F.expr, where))
+        return self.store.latest(layer, dataset, keys, *where)
+
+    def compact(self, view: str, **options) -> Manifest | None:
+        """Merge the runs of a view's dataset; what the view shows stays as it is. See ``Store.compact``."""
+        layer, dataset, keys, *where = VIEWS[view]
+        return self.store.compact(layer, dataset, keys, *where, **options)
 
     def _request(self, raw: DataFrame, asset: str, period: str) -> dict:
-        """What a batch is made from: dataset, codes, first and last day, period, and its rows in any order."""
-        code, names = normalize.ASSETS[asset][0], sorted(raw.columns)
+        """What a batch is made from: dataset, first and last day, period, and its rows in any order, as one sum of hashes."""
+        names = sorted(raw.columns)
         day = epoch_or_text_date(F.col("trade_date" if "trade_date" in names else "time"))
         content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])))
         got = raw.agg(
-            F.sort_array(F.collect_set(F.col(code).cast("string"))).alias("codes"), F.min(day).cast("string").alias("start"), F.max(day).cast("string").alias("end"),
+            F.min(day).cast("string").alias("start"), F.max(day).cast("string").alias("end"),
             F.count(F.lit(1)).alias("rows"), F.sum(content.cast("decimal(38,0)")).cast("string").alias("content"),
         ).first()
         return {"dataset": f"{asset}_daily", "period": period, "columns": names, **got.asDict()}
@@ -57,9 +61,8 @@ class Builder:
             return None
         code = normalize.ASSETS[asset][0]
         first = self.store.publish("raw", f"{asset}_daily", raw)
-        rows = normalize.normalize_bars(raw, asset)
-        quality.enforce(quality.bar_rules(rows, code) if asset != "index" else quality.bar_rules(rows.withColumn("volume", F.col("volume") if "volume" in rows.columns else F.lit(None).cast("double")), code))
-        done = self.store.publish("processed", f"{asset}_daily", rows, date="trade_date", inputs=[first.run_id])
+        rows, gate = quality.bar_gate(normalize.normalize_bars(raw, asset), code, () if asset == "index" else ("volume",))
+        done = self.store.publish("processed", f"{asset}_daily", rows, date="trade_date", ranges=[code], gate=gate, inputs=[first.run_id])
         if what:
             self.checkpoint.mark(batch, what)
         return done
@@ -70,18 +73,20 @@ class Builder:
         return None if factors.isEmpty() else self.store.publish("raw", "corporate_action", factors)
 
     def calendar(self, days: DataFrame, market: str) -> Manifest:
-        return self.store.publish("processed", "trade_calendar", cal.trade_calendar(days, market), date="trade_date")
+        """Open days of a market; with what is stored, the days at the seam get their new neighbours."""
+        if self.store.load("processed", "trade_calendar") is None:
+            return self.store.publish("processed", "trade_calendar", cal.trade_calendar(days, market), date="trade_date")
+        rows = cal.extend_calendar(self.latest("trade_calendar"), days, market)
+        return self.store.load("processed", "trade_calendar") if rows.isEmpty() else self.store.publish("processed", "trade_calendar", rows, date="trade_date")
 
     def masters(self, details: DataFrame, asset: str) -> Manifest:
         master = normalize.normalize_instruments(details, asset)
-        if asset == "stock":
-            quality.enforce(quality.master_rules(master))
-        return self.store.publish("processed", "future_contract_master" if asset == "future" else "security_master", master)
+        rows, gate = quality.master_gate(master) if asset == "stock" else (master, None)
+        return self.store.publish("processed", "future_contract_master" if asset == "future" else "security_master", rows, gate=gate)
 
     def financial(self, rows: DataFrame) -> Manifest:
-        dated = pit.assign_availability(rows, self.latest("trade_calendar"))
-        quality.enforce(quality.financial_rules(dated))
-        return self.store.publish("processed", "financial", dated, date="announce_date")
+        dated, gate = quality.financial_gate(pit.assign_availability(rows, self.latest("trade_calendar")))
+        return self.store.publish("processed", "financial", dated, date="announce_date", gate=gate)
 
     def universe(self, name: str) -> Manifest:
         """A universe of survivors may not be published as all stocks."""
