@@ -203,7 +203,7 @@ def test_full_tables_are_partitioned_anew(spark, monkeypatch):
     save = exact_dedup.Scratch.save
     monkeypatch.setattr(exact_dedup.Scratch, "save", lambda self, df, *a: levels.append(df.columns) or save(self, df, *a))
     rows = [(i, f"{i % 20} " * 40) for i in range(60)]
-    got = copies(spark.createDataFrame(rows, "doc_id long, text string"), bucket_bytes=2000, hashed=DULL)
+    got = copies(spark.createDataFrame(rows, "doc_id long, text string"), bucket_bytes=1000, hashed=DULL)
     assert got == plain_copies(rows) and len(levels) > 3
 
 
