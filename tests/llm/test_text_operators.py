@@ -318,6 +318,33 @@ def test_program_covers_every_length():
     assert sum(program_configs({1500: 40, 700: 3}, size)[1].values()) <= 2  # nothing that fills a sequence
 
 
+def test_odd_code_points_get_the_tokenizers_ids():
+    """Words that end in U+0130 before a sign, marks that compose once a letter is lower-cased, and others of their kind."""
+    from array import array
+
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    ranges = [(0x80, 0x250), (0x300, 0x600), (0xE00, 0xE60), (0x1100, 0x1180), (0x1E00, 0x2000), (0x2028, 0x2030), (0x3000, 0x3100)]
+    odd = [chr(c) for lo, hi in ranges for c in range(lo, hi)] + list("\u0130\u0131\u03a3\u212b\ufb01\u200d\ufeff\U0001f600\uac00")
+    rng = random.Random(1)
+    texts = ["ALK\u0130, x", "ALK\u0130. x", "IY\u030a, W\u030a.", "\u03a3, \u03a3\u03a3."]
+    for _ in range(20_000):
+        word = lambda: "".join(rng.choice(odd if rng.random() < 0.35 else "abcXYZIi") for _ in range(rng.randint(1, 5)))
+        texts.append(" ".join(word() + rng.choice(["", ".", ",", "..", ",.", "!"]) for _ in range(3)))
+    want = Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, g, w in zip(texts, encode(texts, path), want, strict=True) if g != array("I", w.ids).tobytes()] == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_more_sequences_than_the_tokens_fill(seed):
+    """Where many lengths are at hand the plan reaches the bound, through the program."""
+    rng = random.Random(seed)
+    hist = Counter(min(256, max(1, int(rng.lognormvariate(3, 1)))) for _ in range(4000))
+    plan = solve_configs(dict(hist), 256)
+    assert sum(n for _, n in plan) == -(-sum(a * n for a, n in hist.items()) // 256)
+
+
 def test_encoding_by_words():
     from tokenizers import Tokenizer
 

@@ -22,6 +22,13 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, ready, small
 
+
+def _ends_in_letter(word: str) -> bool:
+    """Whether a word of letters still ends in one when the tokenizer has lower-cased it: U+0130 gets a mark, which keeps
+    a sign that follows."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower()[-1].isalpha())
+
+
 class _Words:
     """A tokenizer and the ids of words it has seen: a table in use, and the one before, whose words may come back."""
 
@@ -42,7 +49,7 @@ class _Words:
                 known[w] = before[w]
                 continue
             parts = (w,)
-            if w[-1:] in (".", ",") and w[:-1].isalpha():
+            if w[-1:] in (".", ",") and _ends_in_letter(w[:-1]):
                 ends.append(w)
                 parts = (w[:-1], w[-1])
             for x in parts:
@@ -71,8 +78,9 @@ def encode(texts: list[str], path: str, most: int = 250_000) -> list[bytes]:
     out = []
     for text in texts:
         # Lower-casing here only lets more words share an entry; where it might differ, the text stays as it is.
-        if text.isascii() or (unicodedata.is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text):
-            text = text.lower()
+        low = text.lower()
+        if text.isascii() or (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low) and "\u03a3" not in text and "\u0130" not in text):
+            text = low
         ws = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         if new := [w for w in set(ws) if w not in table.known]:
             if len(table.known) > most:
@@ -163,14 +171,19 @@ def cover_program(hist: dict[int, int], size: int, steps: int = 4, sharp: float
     return plan
 
 
-def program_configs(hist: dict[int, int], size: int, steps: int = 4, sharp: float = 12.0) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
-    """The rounded program's configurations with how often each is used, and the pieces that rounding leaves.
+def program_rounds(hist: dict[int, int], size: int, steps: int = 4, sharp: float = 12.0) -> Iterator[tuple[list[tuple[dict[int, int], int]], dict[int, int]]]:
+    """Ever more of the rounded program: configurations with how often each is used, and the pieces that are left.
 
-    Uses are rounded down, then up while pieces last; the program is solved again over what is left until that places
-    less than a tenth of it. Those that don't fill a sequence are taken last, rounded down, so that others may top them up.
+    The first solution's uses are rounded down to fours, to twos and to ones, so that of what coarser rounding leaves
+    open the residue can make better use; then they are rounded up while pieces last. The program is solved again over
+    what is left until that places less than a tenth of it. Configurations that don't fill a sequence are taken last,
+    rounded down, so that others may top them up.
     """
     left = {a: n for a, n in hist.items() if n}
     out = [({size: 1}, left.pop(size))] if size in left else []
+    if not left:
+        yield list(out), {}
+    first = True
     while left:
         before = sum(a * n for a, n in left.items())
         plan = cover_program(left, size, steps, sharp)
@@ -184,23 +197,49 @@ def program_configs(hist: dict[int, int], size: int, steps: int = 4, sharp: floa
                     for a, k in key:
                         left[a] -= k * times
 
-        take(full, lambda p: (-p[1], p[0]), int)
+        def so_far() -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+            return out + [(dict(key), times) for key, times in taken.items()], {a: n for a, n in left.items() if n}
+
+        for unit in (4, 2, 1) if first else (1,):
+            take({key: x - taken.get(key, 0) for key, x in full.items()}, lambda p: (-p[1], p[0]), lambda x, unit=unit: int(x / unit) * unit)
+            if first:
+                yield so_far()
+        first = False
         take(full, lambda p: (-(p[1] % 1), p[0]), lambda x: 1)
         last = sum(a * n for a, n in left.items()) > 0.9 * before
         if last:
             take({key: x for key, x in plan.items() if key not in full}, lambda p: (-p[1], p[0]), int)
-        out += [(dict(key), times) for key, times in taken.items()]
-        left = {a: n for a, n in left.items() if n}
+        out, left = so_far()
+        yield list(out), dict(left)
         if last:
             break
-    return out, left
+
+
+def program_configs(hist: dict[int, int], size: int, steps: int = 4, sharp: float = 12.0) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """The last of ``program_rounds``: as much as the program places."""
+    out: tuple[list[tuple[dict[int, int], int]], dict[int, int]] = [], {}
+    for out in program_rounds(hist, size, steps, sharp):
+        pass
+    return out
 
 
 def solve_configs(hist: dict[int, int], size: int, steps: int = 4, sharp: float = 12.0) -> list[tuple[dict[int, int], int]]:
-    """Configurations (length to copies) and how often each is used; together they hold the histogram exactly."""
-    out, left = program_configs(hist, size, steps, sharp)
+    """Configurations (length to copies) and how often each is used; together they hold the histogram exactly.
+
+    After each of the program's roundings the residue is placed best-fit; the plan with the fewest sequences counts, of
+    equals the one that the program placed more of. The program isn't solved again once a plan has as few sequences as
+    all tokens fill, which nothing beats.
+    """
     fills = lambda c: sum(a * k for a, k in c.items()) == size
-    return [p for p in out if fills(p[0])] + best_fit(left, size, [p for p in out if not fills(p[0])])
+    least, best, fewest = -(-sum(a * n for a, n in hist.items()) // size), [], None
+    for out, left in program_rounds(hist, size, steps, sharp):
+        plan = [p for p in out if fills(p[0])] + best_fit(left, size, [p for p in out if not fills(p[0])])
+        many = sum(n for _, n in plan)
+        if fewest is not None and fewest == least < many:
+            break
+        if fewest is None or many <= fewest:
+            best, fewest = plan, many
+    return best
 
 
 def best_fit(hist: dict[int, int], size: int, begun: Sequence[tuple[dict[int, int], int]] = ()) -> list[tuple[dict[int, int], int]]:
@@ -290,7 +329,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     counts = pieces.groupBy("length", "shard").count()
     before = counts.select("length", "shard", (F.sum("count").over(Window.partitionBy("length").orderBy("shard")) - F.col("count")).alias("before"))
     inside = F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "ids_crc32")) - 1
-    ranked = pieces.withColumn("inside", inside).join(F.broadcast(before), ["length", "shard"]).withColumn("rank", F.col("before") + F.col("inside"))
+    ranked = pieces.withColumn("inside", inside).join(before, ["length", "shard"]).withColumn("rank", F.col("before") + F.col("inside"))
     return ranked.select(*_PIECE, "rank").mapInArrow(
         _assign(places), "doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, sequence_id long, offset long"
     )
