@@ -382,6 +382,30 @@ def test_vectors_odd_rows(spark):
     assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (0, 4, True), None: (0, None, True)}
 
 
+def test_all_vectors_of_an_id_link(spark):
+    rng = np.random.default_rng(6)
+    v, w = rng.normal(size=8), rng.normal(size=8)
+    rows = [(1, v.tolist()), (1, w.tolist()), (2, (v * 2).tolist()), (3, (w * 3).tolist()), (1, v.tolist()), (0, None), (5, (-v).tolist()), (5, [0.0] * 8)]
+    got = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [(0, 0, 0, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (5, 0, 5, True), (5, 0, 5, True)]
+
+
+def test_ids_that_repeat_against_plain(spark):
+    """A third of the ids have several vectors, some of them near each other."""
+    rng = np.random.default_rng(9)
+    middle = rng.normal(size=(12, 16))
+    rows = [(int(rng.integers(60)) if i % 3 == 0 else 100 + i, (middle[i % 12] + rng.normal(size=16) * 0.15).tolist()) for i in range(150)]
+    got = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    comp = {i: i for i, _ in rows}
+    for _ in range(len(rows)):
+        for a, b in zip(*np.nonzero(near), strict=True):
+            comp[rows[a][0]] = comp[rows[b][0]] = min(comp[rows[a][0]], comp[rows[b][0]])
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == sorted((i, int(n), comp[i]) for (i, _), n in zip(rows, near.sum(1), strict=True))
+
+
 def test_vectors_empty(spark):
     assert lattice.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 

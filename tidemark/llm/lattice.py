@@ -8,11 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, ready, components
 from .textbytes import mix
+from .vectors import whole
 
 _U = np.uint64
 
@@ -172,6 +173,19 @@ def _items(scratch: Scratch, rows: DataFrame, theta: float, tables: int, width:
     return base, member, items, own, near
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(vec, id, v): each id and vector once, under a key of its own. The first vector of an id, by its hash, has the id
+    as its key, others a hash of both; vectors that can't link have none, and are there for their rows alone."""
+    counts = whole(F.col("v")) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)) & F.col("id").isNotNull()
+    order = Window.partitionBy("id").orderBy("h")
+    good = rows.where(counts).withColumn("h", F.xxhash64("v")).withColumns({"_rank": F.row_number().over(order), "_before": F.lag("h").over(order)})
+    good = good.where(F.col("_before").isNull() | (F.col("_before") != F.col("h")))
+    good = good.select(F.col("id").alias("vec"), F.when(F.col("_rank") == 1, F.col("id")).otherwise(F.xxhash64("id", "h", F.lit("twin"))).alias("id"), "v")
+    odd = rows.where(~counts).select(F.col("id").alias("vec"), F.when(F.col("id").isNotNull(), F.xxhash64("v")).alias("h")).distinct()
+    none = F.lit(None)
+    return good.unionByName(odd.select("vec", none.cast("long").alias("id"), none.cast("array<double>").alias("v")))
+
+
 def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, tables: int = 16, width: float = 0.65, probes: int = 4, most_met: int = 20_000, block: int = 256) -> DataFrame:
     """Groups of vectors with a cosine of ``least`` or more to another: ``(vec_id, n_links, component_id, kept)``.
 
@@ -186,14 +200,16 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     out of a full cell.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of
-    different lengths. Rows that share an id are one vector, the first by a hash of its components; rows with a null
+    different lengths. Rows that share an id and a vector are one row. Different vectors under one id have a row and
+    links each, count each other where they are near, and belong to one component, as they are one id. Rows with a null
     id give one row with a null component. Empty input: empty output.
     """
     spark = vectors.sparkSession
     ready(spark)
     scratch = Scratch(spark, "lattice")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    rows = scratch.save(rows.groupBy("id").agg(F.min_by("v", F.xxhash64("v")).alias("v")))
+    rows = scratch.save(_keyed(rows))
+    listed, rows = rows.select("vec", "id"), rows.where("id is not null").select("id", "v")
     theta = float(np.arccos(least))
     found = _items(scratch, rows, theta, tables, width, probes, 2)
     load = found[3].groupBy("cell").agg(F.count(F.lit(1)).alias("m")).agg((F.sum(F.col("m") * F.col("m")) / F.sum("m")).alias("load")).first()["load"] or 0.0
@@ -239,6 +255,12 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
         .mapInArrow(_block_hits(least), "i long, j long, id long, hits long")
     )
     edges = judged.where("kind = 'all'").select(F.col("i").alias("a"), F.col("j").alias("b")).union(hits.select(F.col("i").alias("a"), F.col("j").alias("b"))).distinct()
+    # The other vectors of an id are one with the first: these ids are few, unless a table has next to no others.
+    twins = listed.where("id <> vec")
+    several = bool(twins.limit(1).count())
+    if several:
+        item = lambda c, x: member.select(F.col("id").alias(c), F.col("item").alias(x))
+        edges = edges.union(twins.join(item("id", "a"), "id").join(item("vec", "b"), "vec").select("a", "b")).distinct()
     comps = components(scratch, edges)
 
     sure = judged.where("kind = 'all'")
@@ -249,9 +271,14 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     )
     each = hits.groupBy("id").agg(F.sum("hits").alias("hits"))
     found = member.join(known, "item").select("id", "links", "comp").join(each, "id", "left")
-    out = rows.select("id").join(found, "id", "left")
-    comp = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
+    out = listed.join(found, "id", "left")
+    if several:
+        # A component's smallest key may be that of a second vector, which is no id.
+        out = scratch.save(out)
+        least = scratch.save(out.groupBy("comp").agg(F.min("vec").alias("least")))
+        out = out.join(least, "comp", "left").withColumn("comp", F.col("least")).drop("least")
+    comp = F.when(F.col("vec").isNotNull(), F.coalesce("comp", "vec"))
     return out.select(
-        F.col("id").alias("vec_id"), (F.coalesce("links", F.lit(0)) + F.coalesce("hits", F.lit(0))).cast("long").alias("n_links"),
-        comp.alias("component_id"), F.coalesce(comp == F.col("id"), F.lit(True)).alias("kept"),
+        F.col("vec").alias("vec_id"), (F.coalesce("links", F.lit(0)) + F.coalesce("hits", F.lit(0))).cast("long").alias("n_links"),
+        comp.alias("component_id"), F.coalesce(comp == F.col("vec"), F.lit(True)).alias("kept"),
     )
