@@ -91,24 +91,28 @@ def encode(texts: list[str], path: str, most: int = 250_000) -> list[bytes]:
     return out
 
 
-def _tokenise(path: str, end: int, size: int):
-    """Rows (doc_id, piece, ids, ids_crc32), a text's ids cut into pieces."""
+def _tokenise(path: str, end: int, size: int, with_ids: bool):
+    """Rows (doc_id, piece, length, ids_crc32), and the ids if they are wanted: a text's ids cut into pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stop = np.array([end], "<u4").tobytes()
         for b in small(batches, lambda b: b.column(1)):
-            row, piece, cut, crcs = [], [], [], []
+            row, piece, cut, size_of, crcs = [], [], [], [], []
             for i, ids in enumerate(encode([t or "" for t in b.column(1).to_pylist()], path)):
                 ids += stop
                 for at in range(0, len(ids), 4 * size):
-                    cut.append(ids[at : at + 4 * size])
+                    part = ids[at : at + 4 * size]
                     row.append(i)
                     piece.append(at // (4 * size))
-                    crcs.append(zlib.crc32(cut[-1]))
-            offs = np.concatenate([[0], np.cumsum([len(c) // 4 for c in cut])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(cut), "<i4")))
-            cols = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), ids, pa.array(crcs, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "ids", "ids_crc32"])
+                    size_of.append(len(part) // 4)
+                    crcs.append(zlib.crc32(part))
+                    if with_ids:
+                        cut.append(part)
+            cols = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(size_of, pa.int64()), pa.array(crcs, pa.int64())]
+            if with_ids:
+                offs = np.concatenate([[0], np.cumsum(size_of)]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(cut), "<i4"))))
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "length", "ids_crc32", "ids"][: len(cols)])
 
     return run
 
@@ -283,26 +287,23 @@ def _places(plan: list[tuple[dict[int, int], int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-_PIECE = ("doc_id", "piece", "start", "length", "ids", "ids_crc32")
-
-
-def _assign(places: np.ndarray):
+def _assign(places: np.ndarray, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = places[:, 0] * (1 << 44) + places[:, 1]
         for b in batches:
             length, rank = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
             row = places[np.searchsorted(key, length * (1 << 44) + rank, "right") - 1]
             i = rank - row[:, 1]
-            keep = [b.column(b.schema.get_field_index(c)) for c in _PIECE]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(row[:, 3] + i // row[:, 2]), pa.array(row[:, 4] + i % row[:, 2] * length)], [*_PIECE, "sequence_id", "offset"])
+            keep = [b.column(b.schema.get_field_index(c)) for c in names]
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(row[:, 3] + i // row[:, 2]), pa.array(row[:, 4] + i % row[:, 2] * length)], [*names, "sequence_id", "offset"])
 
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 0, steps: int = 4, shard_rows: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 0, steps: int = 4, shard_rows: int = 50_000, with_ids: bool = True) -> DataFrame:
     """Pack each document's ids and then ``end_id`` into sequences of at most ``size`` ids.
 
-    Returns a row for each piece: doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset. Only documents
+    Returns a row for each piece: doc_id, piece, start, length, ids (if ``with_ids``), ids_crc32, sequence_id, offset. Only documents
     longer than ``size`` are cut, into pieces of ``size``; the last may be shorter. Null or empty text: the end id
     alone. Null or repeated ids: each row is a document of its own. Empty input: empty output.
 
@@ -314,8 +315,8 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     scratch = Scratch(spark, "pack")
     pieces = scratch.save(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .mapInArrow(_tokenise(tokenizer, end_id, size), "doc_id long, piece int, ids array<int>, ids_crc32 long")
-        .select("doc_id", "piece", (F.col("piece").cast("long") * size).alias("start"), F.size("ids").cast("long").alias("length"), "ids", "ids_crc32")
+        .mapInArrow(_tokenise(tokenizer, end_id, size, with_ids), "doc_id long, piece int, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+        .select("doc_id", "piece", (F.col("piece").cast("long") * size).alias("start"), "length", *["ids"] * with_ids, "ids_crc32")
     )
     hist = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `size` rows
     if not hist:
@@ -330,6 +331,6 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     before = counts.select("length", "shard", (F.sum("count").over(Window.partitionBy("length").orderBy("shard")) - F.col("count")).alias("before"))
     inside = F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = pieces.withColumn("inside", inside).join(before, ["length", "shard"]).withColumn("rank", F.col("before") + F.col("inside"))
-    return ranked.select(*_PIECE, "rank").mapInArrow(
-        _assign(places), "doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, sequence_id long, offset long"
-    )
+    names = ["doc_id", "piece", "start", "length", *["ids"] * with_ids, "ids_crc32"]
+    kinds = {"piece": "int", "ids": "array<int>"}
+    return ranked.select(*names, "rank").mapInArrow(_assign(places, names), ", ".join(f"{c} {kinds.get(c, 'long')}" for c in [*names, "sequence_id", "offset"]))

@@ -35,7 +35,7 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+    return pack(read(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
