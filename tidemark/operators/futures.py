@@ -75,3 +75,41 @@ def active_contracts(master: DataFrame, products: list[str] | None = None, activ
         day = F.lit(active_on).cast("date")
         out = out.where((F.col("list_date").isNull() | (F.col("list_date") <= day)) & (F.col("expire_date").isNull() | (F.col("expire_date") >= day)))
     return out
+
+
+# Fixed value: what a main contract counts for beside its volume.
+MAIN_BONUS = 1e9
+
+
+def option_pairs(futures: DataFrame, options: DataFrame, as_of: str) -> DataFrame:
+    """A market's future and option that are checked together: (market, future, option).
+
+    ``futures`` (market, code, expire_date, volume, is_main) and ``options`` (market, code, underlying, expire_date,
+    volume), an underlying being a future's code. Of the futures that haven't expired the most liquid one with an option
+    that hasn't, main contracts before others, and the most liquid of its options; where no future has one, the most
+    liquid future alone. Equals go by code. Null dates never expire, null volumes are none.
+    """
+    live = lambda df: df.where(F.col("expire_date").isNull() | (F.col("expire_date") >= F.lit(as_of).cast("date")))
+    volume = F.coalesce(F.col("volume"), F.lit(0.0))
+    best = live(options).groupBy("market", "underlying").agg(F.min_by("code", F.struct(-volume, "code")).alias("option"))
+    weight = volume + F.when(F.col("is_main"), MAIN_BONUS).otherwise(0.0)
+    rows = live(futures).select("market", F.col("code").alias("future"), weight.alias("weight")).join(best.withColumnRenamed("underlying", "future"), ["market", "future"], "left")
+    first = F.min_by(F.struct("future", "option"), F.struct(F.col("option").isNull(), -F.col("weight"), F.col("future")))
+    return rows.groupBy("market").agg(first.alias("p")).select("market", "p.future", "p.option")
+
+
+def nearest_strikes(bars: DataFrame, options: DataFrame) -> DataFrame:
+    """For each bar of a future, and kind of option, the option as-of that day whose strike is nearest to the close.
+
+    ``bars`` (trade_date, contract_code, close); ``options`` (code, underlying, kind, strike, list_date, expire_date).
+    Only options that are listed and not expired count; of equally near strikes the lower one, then the earlier expiry,
+    then the code. A future's options come to its bars as one list, sorted once, so that no pair of a bar and an option
+    becomes a row.
+    """
+    entry = F.struct(F.col("strike"), F.col("expire_date"), F.col("list_date"), F.col("code"))
+    chain = options.where("strike is not null").groupBy(F.col("underlying").alias("contract_code"), "kind").agg(F.sort_array(F.collect_list(entry)).alias("_chain"))
+    day = F.col("trade_date")
+    live = F.filter("_chain", lambda o: (o["list_date"].isNull() | (o["list_date"] <= day)) & (o["expire_date"].isNull() | (o["expire_date"] >= day)))
+    far = F.transform(live, lambda o: F.struct(F.abs(o["strike"] - F.col("close")).alias("gap"), o["strike"].alias("strike"), F.coalesce(o["expire_date"], F.lit("9999-12-31").cast("date")).alias("until"), o["code"].alias("code")))
+    rows = bars.where("close is not null").join(chain, "contract_code").withColumn("_near", F.array_min(far)).where("_near is not null")
+    return rows.select("trade_date", "contract_code", "kind", "close", F.col("_near.code").alias("option"), F.col("_near.strike").alias("strike"), F.col("_near.gap").alias("gap"))

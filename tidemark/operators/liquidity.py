@@ -40,6 +40,31 @@ def idiosyncratic_amihud(bars: DataFrame, within: tuple[str, ...] = ()) -> DataF
     return out.select("trade_date", "stock_code", "idio", F.try_divide(F.abs("idio"), F.nullif(F.col("amount"), F.lit(0.0))).alias("idio_amihud"))
 
 
+def market_beta(bars: DataFrame, n: int = 60, least: int = 20) -> DataFrame:
+    """Each return against the day's mean return over a stock's last ``n`` days: slope, residual, and its illiquidity.
+
+    The regression comes from windowed sums and cross products of returns less the stock's overall means, which keep
+    their digits where returns lie far from zero. Null with fewer than ``least`` pairs, and where the market's return
+    doesn't vary within the window beyond rounding.
+    """
+    out = with_returns(bars).withColumn("market", F.avg("ret").over(Window.partitionBy("trade_date")))
+    every = Window.partitionBy("stock_code")
+    pair = F.col("ret").isNotNull() & F.col("market").isNotNull()
+    out = out.withColumns({"_y": F.when(pair, F.col("ret")), "_x": F.when(pair, F.col("market"))})
+    w = over(n)
+    out = out.withColumn("_raw", F.sum(F.col("_x") * F.col("_x")).over(w))
+    out = out.withColumns({"_y": F.col("_y") - F.avg("_y").over(every), "_x": F.col("_x") - F.avg("_x").over(every)})
+    total = lambda c: F.sum(c).over(w)
+    out = out.withColumns({"_n": F.count("_x").over(w), "_sx": total(F.col("_x")), "_sy": total(F.col("_y")), "_sxx": total(F.col("_x") * F.col("_x")), "_sxy": total(F.col("_x") * F.col("_y"))})
+    spread = F.col("_n") * F.col("_sxx") - F.col("_sx") * F.col("_sx")
+    # Beyond what cancelling leaves of a window's sums, and of the returns themselves.
+    varies = (F.col("_n") >= least) & (spread > 1e-12 * F.col("_n") * F.col("_sxx")) & (spread > 1e-18 * F.col("_n") * F.col("_raw"))
+    out = out.withColumn("beta", F.when(varies, F.try_divide(F.col("_n") * F.col("_sxy") - F.col("_sx") * F.col("_sy"), spread)))
+    level = F.try_divide(F.col("_sy") - F.col("beta") * F.col("_sx"), F.nullif(F.col("_n"), F.lit(0)))
+    out = out.withColumn("residual", F.col("_y") - level - F.col("beta") * F.col("_x"))
+    return out.select("trade_date", "stock_code", "beta", "residual", F.try_divide(F.abs("residual"), F.nullif(F.col("amount"), F.lit(0.0))).alias("residual_amihud"))
+
+
 def with_turnover(bars: DataFrame) -> DataFrame:
     return bars.withColumn("turnover", F.try_divide(F.col("amount"), F.nullif(F.col("ff_cap"), F.lit(0.0))))
 

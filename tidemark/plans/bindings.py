@@ -114,6 +114,24 @@ FUTURES = BARS + ", " + CONTRACTS + """, futures AS (
   FROM bars JOIN contracts ON stock_code = contract_code)"""
 
 
+def option_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as options on the suppliers' contracts: calls and puts, struck at the retail price."""
+    k = F.col("p_partkey").cast("int")
+    count = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).scalar()
+    start = F.lit("1992-01-01").cast("date")
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("O"), F.col("p_partkey").cast("string")).alias("code"), (k % count + 1).cast("string").alias("underlying"), F.when(k % 2 == 0, "C").otherwise("P").alias("kind"), F.col("p_retailprice").alias("strike"),
+        F.when(k % 5 != 0, F.date_add(start, k * 29 % 1200)).alias("list_date"), F.when(k % 7 != 0, F.date_add(start, k * 29 % 1200 + k * 13 % 1500)).alias("expire_date"), F.col("p_size").cast("double").alias("volume"),
+    )
+
+
+OPTIONS = """options AS (
+  SELECT 'O' || p_partkey AS code, CAST(p_partkey % (SELECT max(s_suppkey) FROM supplier) + 1 AS VARCHAR) AS underlying, CASE WHEN p_partkey % 2 = 0 THEN 'C' ELSE 'P' END AS kind, p_retailprice AS strike,
+    CASE WHEN p_partkey % 5 <> 0 THEN DATE '1992-01-01' + CAST(p_partkey * 29 % 1200 AS INT) END AS list_date,
+    CASE WHEN p_partkey % 7 <> 0 THEN DATE '1992-01-01' + CAST(p_partkey * 29 % 1200 + p_partkey * 13 % 1500 AS INT) END AS expire_date, p_size::DOUBLE AS volume
+  FROM part)"""
+
+
 def index_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A spot index for each product: the day's greatest low; nothing on days that are a multiple of nine."""
     f = futures(spark, sf_dir).where(F.dayofmonth("trade_date") % 9 != 0)

@@ -11,11 +11,12 @@ from ..functions import detail_date, epoch_or_text_date, event_time, record_key,
 from ..operators import calendar as cal
 from ..operators import futures as fut
 from ..operators import liquidity as liq
-from ..operators import flows, normalize, pit, quality, research, universe
+from ..operators import flows, normalize, pit, quality, ranks, research, universe
 from ..operators.versions import duplicate_count, latest_version
 from ..sources import feed
 from ..sources.parquet import union_by_name
 from ..streaming.freshness import evidence, fresh
+from ..streaming.sessions import sessions
 from . import bindings as b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -822,3 +823,61 @@ def q_composite_rank252(spark, sf_dir):
 @query(_history(756))
 def q_composite_rank756(spark, sf_dir):
     return _composites(spark, sf_dir, 756)
+
+
+# --- sessions, regressions, long histories, options ---------------------------------------------------------------
+
+
+@query("""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS started, max(ts) AS last, count(*) AS n, count(DISTINCT event_type) AS types, round(max(value), 8) AS most FROM s GROUP BY user_id, k""")
+def q_event_sessions(spark, sf_dir):
+    out = sessions(b.table(spark, sf_dir, "events"), ["user_id"], "ts", "6 hours", types=F.size(F.collect_set("event_type")).cast("bigint"), most=F.max("value"))
+    return out.select("user_id", "started", "last", "n", "types", *_r("most"))
+
+
+@query(f"""WITH {_RET}, m AS (SELECT *, avg(ret) OVER (PARTITION BY trade_date) AS market FROM a), p AS (SELECT *, CASE WHEN ret IS NOT NULL THEN market END AS x FROM m),
+c AS (SELECT *, ret - avg(ret) OVER (PARTITION BY stock_code) AS yc, x - avg(x) OVER (PARTITION BY stock_code) AS xc FROM p),
+s AS (SELECT *, count(xc) OVER w AS n, sum(xc) OVER w AS sx, sum(yc) OVER w AS sy, sum(xc * xc) OVER w AS sxx, sum(xc * yc) OVER w AS sxy, sum(x * x) OVER w AS raw FROM c WINDOW w AS (PARTITION BY stock_code ORDER BY trade_date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)),
+k AS (SELECT *, CASE WHEN n >= 20 AND n * sxx - sx * sx > 1e-12 * n * sxx AND n * sxx - sx * sx > 1e-18 * n * raw THEN (n * sxy - sx * sy) / (n * sxx - sx * sx) END AS beta FROM s)
+SELECT trade_date, stock_code, round(beta, 6) AS beta, round(yc - (sy - beta * sx) / nullif(n, 0) - beta * xc, 6) AS residual FROM k""")
+def q_market_beta60(spark, sf_dir):
+    out = liq.market_beta(b.bars(spark, sf_dir))
+    return out.select("trade_date", "stock_code", (F.round("beta", 6) + 0.0).alias("beta"), (F.round("residual", 6) + 0.0).alias("residual"))
+
+
+def _long_rank(n: int) -> str:
+    h = f"list(amihud) OVER (PARTITION BY stock_code ORDER BY trade_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"""WITH {_RET}, h AS (SELECT trade_date, stock_code, amihud, {h} AS l FROM a)
+SELECT trade_date, stock_code, round(CASE WHEN amihud IS NOT NULL THEN len(list_filter(l, lambda v: v <= amihud))::DOUBLE / len(list_filter(l, lambda v: v IS NOT NULL)) END, 8) AS ts_percentile FROM h"""
+
+
+@query(_long_rank(252))
+def q_history_rank252(spark, sf_dir):
+    return ranks.rank_in_history(_base(spark, sf_dir).select("trade_date", "stock_code", "amihud"), "amihud", 252).select("trade_date", "stock_code", *_r("ts_percentile"))
+
+
+@query(_long_rank(756))
+def q_history_rank756(spark, sf_dir):
+    return ranks.rank_in_history(_base(spark, sf_dir).select("trade_date", "stock_code", "amihud"), "amihud", 756).select("trade_date", "stock_code", *_r("ts_percentile"))
+
+
+@query(f"""WITH {b.CONTRACTS}, {b.OPTIONS}, lots AS (SELECT CAST(l_suppkey AS VARCHAR) AS contract_code, sum(l_quantity) AS v FROM lineitem GROUP BY 1),
+f AS (SELECT product AS market, contract_code AS future, coalesce(v, 0) + CASE WHEN CAST(contract_code AS BIGINT) % 9 = 0 THEN 1e9::DOUBLE ELSE 0 END AS w FROM contracts LEFT JOIN lots USING (contract_code) WHERE expire_date IS NULL OR expire_date >= DATE '1996-01-01'),
+o AS (SELECT product AS market, underlying AS future, code FROM options JOIN contracts ON underlying = contract_code WHERE options.expire_date IS NULL OR options.expire_date >= DATE '1996-01-01'
+  QUALIFY row_number() OVER (PARTITION BY underlying ORDER BY volume DESC, code) = 1)
+SELECT market, future, code AS option FROM f LEFT JOIN o USING (market, future) QUALIFY row_number() OVER (PARTITION BY market ORDER BY code IS NULL, w DESC, future) = 1""")
+def q_option_pairs(spark, sf_dir):
+    contracts = b.contracts(spark, sf_dir)
+    lots = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("contract_code")).agg(F.sum("l_quantity").alias("volume"))
+    futures = contracts.join(lots, "contract_code", "left").select(F.col("product").alias("market"), F.col("contract_code").alias("code"), "expire_date", "volume", (F.col("contract_code").cast("bigint") % 9 == 0).alias("is_main"))
+    options = b.option_chain(spark, sf_dir).join(contracts.select(F.col("contract_code").alias("underlying"), F.col("product").alias("market")), "underlying")
+    return fut.option_pairs(futures, options, "1996-01-01")
+
+
+@query(f"""WITH {b.FUTURES}, {b.OPTIONS} SELECT trade_date, contract_code, kind, round(close, 8) AS close, code AS option, strike FROM futures JOIN options ON contract_code = underlying
+  AND (options.list_date IS NULL OR options.list_date <= trade_date) AND (options.expire_date IS NULL OR options.expire_date >= trade_date)
+QUALIFY row_number() OVER (PARTITION BY trade_date, contract_code, kind ORDER BY abs(strike - close), strike, options.expire_date NULLS LAST, code) = 1""")
+def q_option_nearest_strike(spark, sf_dir):
+    out = fut.nearest_strikes(b.futures(spark, sf_dir), b.option_chain(spark, sf_dir))
+    return out.select("trade_date", "contract_code", "kind", *_r("close"), "option", "strike")
