@@ -182,3 +182,20 @@ def test_the_nearest_strike_is_taken(spark):
     chain = [("lo", "f", "C", 9.0, None, date(2026, 2, 1)), ("hi", "f", "C", 11.0, None, None), ("soon", "f", "C", 9.0, None, date(2026, 1, 20)), ("exact", "f", "C", 10.0, date(2026, 1, 6), date(2026, 2, 1)), ("put", "f", "P", 50.0, None, date(2026, 1, 5)), ("none", "f", "C", None, None, None)]
     got = nearest_strikes(bars, spark.createDataFrame(chain, "code string, underlying string, kind string, strike double, list_date date, expire_date date"))
     assert sorted((r.trade_date.month, r.kind, r.option, r.gap) for r in got.collect()) == [(1, "C", "soon", 1.0), (1, "P", "put", 40.0), (3, "C", "hi", 1.0)]
+
+
+def test_details_are_asked_in_batches(spark, tmp_path):
+    from tidemark.sources.feed import instrument_details
+
+    def fetch(codes):
+        if len(codes) > 3:
+            raise ValueError("too many at once")
+        if "bad" in codes:
+            raise RuntimeError("no such code")
+        return {c: {"Name": c.upper(), "Volume": 3, "Expire": None} if c != "empty" else {} for c in codes if c != "unknown"}
+
+    codes = spark.createDataFrame([(c,) for c in ["a", "b", "a", None, "bad", "empty", "unknown", "c"]], "code string").coalesce(1)
+    for size in (1, 2, 100):
+        got = {r.code: (r.detail, r.error) for r in instrument_details(codes, fetch, batch=size).collect()}
+        assert got == {c: ({"Name": c.upper(), "Volume": "3", "Expire": None}, None) for c in "abc"} | {"bad": (None, "RuntimeError: no such code")}
+    assert instrument_details(codes.limit(0), fetch).count() == 0

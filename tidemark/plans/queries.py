@@ -881,3 +881,43 @@ QUALIFY row_number() OVER (PARTITION BY trade_date, contract_code, kind ORDER BY
 def q_option_nearest_strike(spark, sf_dir):
     out = fut.nearest_strikes(b.futures(spark, sf_dir), b.option_chain(spark, sf_dir))
     return out.select("trade_date", "contract_code", "kind", *_r("close"), "option", "strike")
+
+
+# --- the rest of fund, futures and option flows -------------------------------------------------------------------
+
+_KIND = "CASE CAST(stock_code AS BIGINT) % 3 WHEN 0 THEN 'broad' WHEN 1 THEN 'sector' ELSE 'theme' END"
+
+
+@query(f"""WITH {b.CAPPED}, x AS (SELECT *, sign(close - {_LAG.format("close")}) AS up, sign(volume - {_LAG.format("volume")}) AS more FROM capped)
+SELECT trade_date, stock_code AS code, round(amount / nullif(volume * low, 0), 8) AS etf_turnover, CASE WHEN up * more = 0 THEN 'FLAT' WHEN up > 0 AND more > 0 THEN 'UP_CREATION' WHEN up > 0 THEN 'UP_REDEMPTION'
+  WHEN more > 0 THEN 'DOWN_CREATION' WHEN more < 0 THEN 'DOWN_REDEMPTION' END AS price_share_state FROM x""")
+def q_etf_activity(spark, sf_dir):
+    return flows.etf_activity(_funds(spark, sf_dir)).select("trade_date", "code", *_r("etf_turnover"), "price_share_state")
+
+
+@query(f"""WITH {b.CAPPED}, x AS (SELECT *, (volume - {_LAG.format("volume")}) * low AS f, volume * low AS a, {_KIND} AS kind FROM capped)
+SELECT trade_date, {", ".join(f"round(sum(f) FILTER (WHERE kind = '{k}'), 6) + 0.0::DOUBLE AS {k}_flow, round(sum(f) FILTER (WHERE kind = '{k}') / nullif(sum(a) FILTER (WHERE kind = '{k}'), 0), 8) + 0.0::DOUBLE AS {k}_flow_share" for k in ("broad", "sector", "theme"))}
+FROM x GROUP BY trade_date""")
+def q_etf_flow_kinds(spark, sf_dir):
+    rows = _funds(spark, sf_dir).withColumn("kind", F.element_at(F.array(F.lit("broad"), F.lit("sector"), F.lit("theme")), (F.col("code").cast("bigint") % 3 + 1).cast("int")))
+    out = flows.etf_flow_by_kind(rows, ["broad", "sector", "theme"])
+    return out.select("trade_date", *[(F.round(c, 8 if c.endswith("share") else 6) + 0.0).alias(c) for c in out.columns[1:]])
+
+
+@query(f"""WITH {b.FUTURES}, {b.INDEX}, x AS (SELECT f.trade_date, contract_code, CASE WHEN i.close > 0 THEN (f.close - i.close) / i.close END AS pct, open_interest,
+    open_interest - lag(open_interest) OVER (PARTITION BY contract_code ORDER BY f.trade_date) AS more FROM futures f LEFT JOIN idx i ON f.trade_date = i.trade_date AND i.index_code = 'IDX' || product AND CAST(product AS INT) % 4 <> 3),
+z AS (SELECT *, (pct - avg(pct) OVER w) / nullif(stddev_samp(pct) OVER w, 0) AS z FROM x WINDOW w AS (PARTITION BY contract_code ORDER BY trade_date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))
+SELECT trade_date, contract_code, 0.0::DOUBLE - round(z, 6) AS stress, CASE WHEN pct IS NULL OR more IS NULL THEN NULL WHEN more = 0 THEN 'STEADY' WHEN pct >= 0 AND more > 0 THEN 'PREMIUM_BUILDING' WHEN pct >= 0 THEN 'PREMIUM_UNWINDING'
+  WHEN more > 0 THEN 'DISCOUNT_BUILDING' ELSE 'DISCOUNT_UNWINDING' END AS leverage_regime FROM z""")
+def q_basis_stress(spark, sf_dir):
+    futures = b.futures(spark, sf_dir)
+    none = b.contracts(spark, sf_dir).select(F.lit("").alias("mapping_type"), F.lit(None).cast("date").alias("effective_trade_date"), "contract_code").limit(0)
+    rows = fut.basis(futures, b.index_days(spark, sf_dir), b.contracts(spark, sf_dir), none, b.SPOTS).select("trade_date", "contract_code", "basis_pct")
+    out = flows.basis_stress(rows.join(futures.select("trade_date", "contract_code", "open_interest"), ["trade_date", "contract_code"]))
+    return out.select("trade_date", "contract_code", (F.lit(0.0) + F.round("stress", 6)).alias("stress"), "leverage_regime")
+
+
+@query(f"""WITH {b.OPTIONS} SELECT underlying, round(sum(volume) FILTER (WHERE kind = 'P') / nullif(sum(volume) FILTER (WHERE kind = 'C'), 0), 8) AS put_call,
+  round(sum(volume * volume) FILTER (WHERE kind = 'P') / nullif(sum(volume) FILTER (WHERE kind = 'P') * sum(volume) FILTER (WHERE kind = 'P'), 0), 8) AS put_concentration FROM options GROUP BY underlying""")
+def q_put_call(spark, sf_dir):
+    return flows.put_call(b.option_chain(spark, sf_dir)).select("underlying", *_r("put_call", "put_concentration"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 from typing import Protocol
 
@@ -76,3 +76,37 @@ def most_liquid_active(contracts: DataFrame, today, by: Sequence[str] = ("produc
     alive = contracts.where(F.col("expire_date") >= F.lit(today).cast("date"))
     best = F.min(F.struct((-F.coalesce("volume", F.lit(0.0))).alias("v"), "contract_code")).alias("best")
     return alive.groupBy(*by).agg(best).select(*by, F.col("best.contract_code").alias("contract_code"), (-F.col("best.v")).alias("volume"))
+
+
+def instrument_details(codes: DataFrame, fetch: Callable[[list[str]], dict[str, dict | None]], batch: int = 100, tries: int = 3, code_col: str = "code") -> DataFrame:
+    """(code, detail, error): what a feed knows of each code, asked by tasks in batches of distinct codes.
+
+    ``fetch`` runs on the executors and gives a code's fields, or nothing: codes without fields have no row. A batch that
+    fails is asked again, ``tries`` times in all, then code by code, so that one bad code costs no other; a code that still
+    fails has its error and a null detail. Values come as text, nulls as they are.
+    """
+    distinct = codes.select(F.col(f"`{code_col}`").cast("string").alias("code")).where("code is not null").distinct()
+
+    def run(batches):
+        import pyarrow as pa
+
+        def ask(some: list[str], times: int) -> tuple[dict[str, dict | None] | None, str | None]:
+            told = None
+            for _ in range(times):
+                try:
+                    return fetch(some), None
+                except Exception as e:  # noqa: BLE001  whatever a feed raises is that batch's answer
+                    told = f"{type(e).__name__}: {e}"
+            return None, told
+
+        for b in batches:
+            every = b.column(0).to_pylist()
+            for lo in range(0, len(every), batch):
+                some = every[lo : lo + batch]
+                got, _ = ask(some, tries)
+                rows = [(c, got.get(c), None) for c in some] if got is not None else [(c, (one or {}).get(c), e) for c in some for one, e in [ask([c], 1)]]
+                rows = [(c, None if e else [(str(k), None if v is None else str(v)) for k, v in d.items()], e) for c, d, e in rows if d or e]
+                cols = [[r[i] for r in rows] for i in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.map_(pa.string(), pa.string())), pa.array(cols[2], pa.string())], ["code", "detail", "error"])
+
+    return distinct.mapInArrow(run, "code string, detail map<string,string>, error string")
