@@ -56,6 +56,19 @@ def test_lines_messy(messy, empty):
     assert line_dedup(empty).count() == 0
 
 
+def test_a_failure_leaves_no_names(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a line that all hold\n" + f"a line of {i} alone") for i in range(20)], "doc_id long, text string")
+    before = {t.name for t in spark.catalog.listTables()}
+
+    def dies(self, keys):
+        raise OSError("disk")
+
+    monkeypatch.setattr(LineRuns, "drops", dies)
+    with pytest.raises(OSError):
+        line_dedup(docs)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_runs_last(spark, tmp_path):
     rng = random.Random(11)
     rows = [(i, "\n".join(rng.choices([f"a line with number {j}" for j in range(40)] + ["short", ""], k=6))) for i in range(90)]

@@ -195,10 +195,12 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     part = sum((F.when(F.col("doc") > int(c), 1).otherwise(0) for c in cuts), F.lit(0))
     keys = scratch.save(slim.mapInArrow(_keys(min_chars), "doc long, k1 long, k2 long").withColumn("batch", part), "batch")
     runs = LineRuns(spark, f"{scratch.base}/runs", fan_in=fan_in)
-    for i in range(len(cuts) + 1):
-        runs.add(keys.where(F.col("batch") == i).select("doc", "k1", "k2"))
-    drops = scratch.save(runs.drops(keys.select("doc", "k1", "k2")))
+    try:
+        for i in range(len(cuts) + 1):
+            runs.add(keys.where(F.col("batch") == i).select("doc", "k1", "k2"))
+        drops = scratch.save(runs.drops(keys.select("doc", "k1", "k2")))
+    finally:
+        runs.close()
+        runs.files.delete(runs.path)
     scratch.drop(keys)
-    runs.close()
-    runs.files.delete(runs.path)
     return _rewritten(docs, drops, id_col, text_col, min_chars)
