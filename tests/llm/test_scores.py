@@ -429,7 +429,7 @@ def test_fingerprints(spark):
 
 
 def plain_signature(text):
-    """The same in plain Python: tokens, numbered k-mers, the smallest of each bin in text order."""
+    """The same in plain Python: k-mers chosen by their hash, numbered, the smallest of each bin in text order."""
     import xxhash
 
     sign = lambda h: h - (1 << 64) if h >> 63 else h
@@ -442,33 +442,25 @@ def plain_signature(text):
                 seed = xxhash.xxh64_intdigest(data, seed=seed)
         return sign(seed)
 
-    tokens = []
-    run = rf"[^ \t\n\x0b\f\r]{{{fp.LONG + 1}}}"
-    long = re.search(run, text)
-    for t in re.findall(r"[ \t\n\x0b\f\r]*[^ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", text):
-        if not (long and re.search(run, t)):
-            tokens.append(h(t))
-            continue
-        marks = [h(*t[i : i + 2]) for i in range(len(t))]
-        at = [i for i in range(len(t)) if i == 0 or marks[i] == min(marks[max(0, i - 4) : i + 5])]
-        tokens += [h(*t[a:b]) for a, b in zip(at, [*at[1:], len(t)], strict=True)]
-    kmers, seen, bins = [h(*tokens[i : i + 3]) for i in range(len(tokens))], {}, {}
+    every = [h(text[i : i + fp.SIZE]) for i in range(max(len(text) - fp.SIZE + 1, min(len(text), 1)))]
+    kmers = [x for i, x in enumerate(every) if i == 0 or x % fp.EVERY == 0]
+    seen, bins = {}, {}
     for i, k in enumerate(kmers):
-        n = seen.get(k, 0)
-        seen[k] = n + 1
-        g = h(k, np.int32(n))
-        bins.setdefault(g >> 58, []).append((g, i))
+        n = seen.get(k >> 32, 0)
+        seen[k >> 32] = n + 1
+        g = h(k >> 32, np.int32(n)) >> 32
+        bins.setdefault(g >> 26, []).append((g, i))
     out = []
     for b, items in sorted(bins.items()):
         two = sorted(sorted(items)[:2], key=lambda x: x[1])
-        out.append((b + 32) * 65536 + h(*(g for g, _ in two)) % 65536)
+        out.append((b + 32) * 65536 + h(*(x for g, i in two for x in (kmers[i], g))) % 65536)
     return out
 
 
 def test_signature_against_plain(spark):
     rng = random.Random(8)
     run = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
-    texts = ["", " ", "one", "a b c  d\n", "word " * 40, run(300), "x" * 60, "ab" * 40, "mixed " + run(50) + " text\t\tand " + run(32), "é" * 33 + " a a a a", " ".join(rng.choices(["to", "be", "or"], k=80))]
+    texts = ["", " ", "one", "a b c  d\n", "word " * 40, run(300), "x" * 60, "ab" * 40, "abc", "😀" * 9 + "é😀x😀", "mixed " + run(50) + " text\t\tand " + run(32), "é" * 33 + " a a a a", " ".join(rng.choices(["to", "be", "or"], k=80))]
     got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fp.signature(F.col("t")).alias("s")).collect()
     for r in got:
         assert r.s == plain_signature(texts[r.i]), texts[r.i]
@@ -485,6 +477,31 @@ def test_edits_in_unspaced_and_spaced_text_stay_near(spark):
     assert 0.7 < like[4, 6] < 1.0  # white space counts
 
 
+def test_likeness_follows_edit_distance(spark):
+    """A letter changed in every third word (near 5 % of the letters), in every sixth, doubled spaces, other words."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = ["".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(3000)]
+
+    def changed(words, every):
+        out = list(words)
+        for i in range(0, len(out), every):
+            j = rng.randrange(len(out[i]))
+            out[i] = out[i][:j] + rng.choice(letters.replace(out[i][j], "")) + out[i][j + 1 :]
+        return out
+
+    rows = []
+    for i in range(30):
+        words, other = rng.choices(vocabulary, k=300), rng.choices(vocabulary, k=300)
+        rows.append((i, *(" ".join(x) for x in (words, changed(words, 3), changed(words, 6), changed(words, 24), other)), "  ".join(words)))
+    df = spark.createDataFrame(rows, "i int, a string, third string, sixth string, few string, other string, wide string")
+    sig = lambda c: fp.signature(F.col(c))
+    got = df.select(*[fp.likeness(sig("a"), sig(c)).alias(c) for c in ("third", "sixth", "few", "other", "wide")]).toPandas()
+    mean = got.mean()
+    assert 0.4 < mean.third < mean.sixth < mean.few < 1.0 and mean.sixth > 0.6 and mean.few > 0.85, mean
+    assert got.other.max() < 0.1 and mean.wide > 0.15, got.describe()
+
+
 def test_repeats_are_numbered(spark):
     """Every numbered k-mer is counted once, so repeats fill bins of their own."""
     df = spark.createDataFrame([(i, "word " * i) for i in (3, 30, 300)], "i int, t string")
