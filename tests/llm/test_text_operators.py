@@ -94,12 +94,45 @@ def test_runs_are_not_shuffled(spark, tmp_path):
         runs = LineRuns(spark, f"{tmp_path}/runs", buckets=4)
         keys = spark.range(1000).selectExpr("id as doc", "id % 70 as k1", "id % 7 as k2")
         runs.add(keys.where("doc < 500"))
-        plan = runs.new_keys(keys.where("doc >= 500"))._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange") == 1 and "LeftAnti" in plan and "Bucketed: true" in plan, plan
+        plan = runs.new_keys(runs.sort_batch(keys.where("doc >= 500")))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "LeftAnti" in plan and "Bucketed: true" in plan, plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize(("partitions", "broadcast"), [(4, "-1"), (4, "10MB"), (7, "-1"), (7, "10MB"), (3, "10MB")])
+def test_runs_are_merged_as_they_lie(spark, tmp_path, partitions, broadcast):
+    """Whatever the session's settings are, neither batch nor runs are shuffled, sorted or broadcast in the join."""
+    names = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.autoBroadcastJoinThreshold": broadcast}
+    before = {n: spark.conf.get(n) for n in names}
+    order = spark.conf.get("spark.sql.legacy.bucketedTableScan.outputOrdering")
+    runs = LineRuns(spark, f"{tmp_path}/runs", buckets=4, fan_in=3)
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        keys = spark.range(3000).selectExpr("id as doc", "id % 700 + cast(id / 1000 as int) * 400 as k1", "id % 7 as k2")
+        runs.add(keys.where("doc < 1000"))
+        runs.add(keys.where("doc between 1000 and 1999"))
+        last = keys.where("doc >= 2000")
+        with runs.as_stored():
+            new = runs.new_keys(runs.sort_batch(last))
+            plan = new._jdf.queryExecution().executedPlan().toString()
+            got = sorted((r.k1, r.k2, r.owner) for r in new.collect())
+        assert spark.conf.get("spark.sql.legacy.bucketedTableScan.outputOrdering") == order
+    finally:
+        runs.close()
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan and plan.count("Bucketed: true") == 3, plan
+    assert "Exchange" not in plan and "Sort [" not in plan, plan
+    key = lambda i: (i % 700 + i // 1000 * 400, i % 7)
+    old, want = {key(i) for i in range(2000)}, {}
+    for i in range(2000, 3000):
+        if key(i) not in old:
+            want.setdefault(key(i), i)
+    assert got == sorted((*k, i) for k, i in want.items()) and got
+
+
 # --- near duplicates -------------------------------------------------------------------------------------------
 
 

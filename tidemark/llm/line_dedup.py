@@ -6,6 +6,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ from .common import Scratch, ready, small, with_row
 #: What is stripped from both ends of a line before it is compared.
 STRIP = b" \t\n\x0b\x0c\r"
 LAST = (1 << 63) - 1
+#: Whether Spark takes the order of a bucket that is one file as it is, rather than sort it again.
+STORED_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def line_key(line: bytes) -> bytes:
@@ -69,8 +72,8 @@ def _rewrite(text_col: str, least: int):
 class LineRuns:
     """Levelled runs of line keys with the document that owns each, in a folder that outlives the session.
 
-    A run is a table bucketed and sorted by key, so that what is added finds its keys in older runs without shuffling
-    these. Runs hold different keys; ``fan_in`` runs of a level are merged into one of the next. A manifest beside
+    A run is a table bucketed and sorted by key. A batch becomes such a table too and is then merged with older runs
+    as they lie. Runs hold different keys; ``fan_in`` runs of a level are merged into one of the next. A manifest beside
     them, replaced in one step, names the runs that count; what a lost job leaves behind isn't among them.
     """
 
@@ -101,21 +104,51 @@ class LineRuns:
         if name := self._names.pop(folder, None):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    def new_keys(self, keys: DataFrame) -> DataFrame:
-        """Of rows (doc, k1, k2), the keys that no run has, with the smallest document that has them.
+    def sort_batch(self, keys: DataFrame) -> str:
+        """Write rows (doc, k1, k2) as a sorted run of their own, each key with its smallest document; its folder.
 
-        They are reduced before they are shuffled, and dealt out as runs are where the session has as many shuffle
-        partitions as the runs have buckets.
+        Keys are reduced before they are shuffled: Spark would move an anti-join below the aggregation, so the batch
+        is written before it is joined.
         """
         new = keys.groupBy("k1", "k2").agg(F.min("doc").alias("owner"))
+        if int(self.spark.conf.get("spark.sql.shuffle.partitions")) != self.buckets:
+            new = new.repartition(self.buckets, "k1", "k2")
+        return self._write(new)
+
+    def new_keys(self, batch: str) -> DataFrame:
+        """Of a sorted batch, the keys that no run has: bucket by bucket the batch is merged with each run.
+
+        Batch and runs lie in the same buckets in the same order, so nothing is shuffled, sorted or broadcast,
+        whatever the session's settings are.
+        """
+        new = self._table(batch)
         for _, folder in self.runs:
-            new = new.join(self._table(folder).select("k1", "k2"), ["k1", "k2"], "left_anti")
+            new = new.join(self._table(folder).select("k1", "k2").hint("merge"), ["k1", "k2"], "left_anti")
         return new
 
+    @contextmanager
+    def as_stored(self) -> Iterator[None]:
+        """Tables are read in the order they were written in while a batch is joined; the setting is put back after it.
+
+        Each bucket of a run is one file: a task that writes a bucket holds all of it. Where a bucket is more than one
+        file after all, Spark sorts it.
+        """
+        before = self.spark.conf.get(STORED_ORDER)
+        self.spark.conf.set(STORED_ORDER, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(STORED_ORDER, before)
+
     def add(self, keys: DataFrame) -> None:
         """Add a batch's keys as a run, then merge runs where a level is full."""
-        self.runs.append((0, self._write(self.new_keys(keys))))
         gone = []
+        with self.as_stored():
+            batch = self.sort_batch(keys)
+            if self.runs:
+                gone.append((0, batch))
+                batch = self._write(self.new_keys(batch))
+        self.runs.append((0, batch))
         while len(same := [r for r in self.runs if r[0] == self.runs[-1][0]]) >= self.fan_in:
             merged = self._table(same[0][1])
             for _, folder in same[1:]:
