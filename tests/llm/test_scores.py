@@ -466,6 +466,18 @@ def test_signature_against_plain(spark):
         assert r.s == plain_signature(texts[r.i]), texts[r.i]
 
 
+def test_every_window_counts(spark):
+    """Texts that differ in their last k-mer alone have different signatures, whatever that k-mer's hash."""
+    texts = ["abcd" + c for c in "abcdefghijklmnopqrstuvwxyz"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fp.signature(F.col("t")).alias("s")).collect()
+    assert len({tuple(r.s) for r in got}) == len(texts)
+    # Blocks and the shortened search for a bin's first two change nothing, whatever the length.
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdeé 中😀", k=n)) for n in (3, 4, 15, 16, 17, 18, 19, 20, 35, 760, 775, 3000)] + ["word " * 700, "ab" * 900]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fp.signature(F.col("t")).alias("s")).collect()
+    assert all(r.s == plain_signature(texts[r.i]) for r in got)
+
+
 def test_edits_in_unspaced_and_spaced_text_stay_near(spark):
     rng = random.Random(4)
     run = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(3000))

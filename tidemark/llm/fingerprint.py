@@ -7,28 +7,48 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: k-mers are so many code points in a row; they start where their own hash is a multiple of EVERY, and at the text's start.
-SIZE, EVERY = 4, 3
+#: k-mers are so many code points in a row. All of them count: those whose hash is a multiple of EVERY, which is one.
+SIZE, EVERY = 4, 1
+#: Code points of a text whose k-mers are cut out of one block, so that cutting costs the same anywhere in a text.
+BLOCK = 16
+#: So many numbered k-mers of the smallest hashes are looked through for each bin's two first; all, where a bin lacks two.
+FIRST = 768
 #: Bins are the first BITS bits of a hash; each keeps its two smallest k-mers; BIN_HASH bits of their tuple's hash stay.
 BITS, BIN_HASH = 6, 16
 #: Sorted longs hold a hash in their upper half and a place in their lower one.
 HALF = 32
 
 
-def _kmers(text: Column) -> Column:
-    """Hashes of the k-mers in text order; a text of fewer code points is one k-mer, an empty one has none.
+#: The upper half of a long.
+UPPER = -(1 << HALF)
 
-    Whether SIZE code points are a k-mer depends on them alone, so an edit takes away and adds only k-mers that it
-    touches, in texts without spaces too.
-    """
-    every = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{SIZE}}}))."), F.lit(1))
+
+def _blocks(text: Column) -> Column:
+    """Blocks of BLOCK code points, with those after them that their last k-mers need; a text shorter than a k-mer is one."""
     whole = F.filter(F.array(text), lambda t: t != "")
-    hashes = F.transform(F.when(F.char_length(text) < SIZE, whole).otherwise(every), lambda t: F.xxhash64(t))
-    return F.filter(hashes, lambda h, i: (h % EVERY == 0) | (i == 0))
+    every = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{SIZE},{BLOCK + SIZE - 1}}})).{{1,{BLOCK}}}"), F.lit(1))
+    return F.when(F.char_length(text) < SIZE, whole).otherwise(every)
+
+
+def _kmer(block: Column, j: Column) -> Column:
+    """The hash of the k-mer that starts at code point ``j``, from 1, of a block."""
+    return F.xxhash64(F.substring(block, j, F.lit(SIZE)))
+
+
+def _sorted_kmers(blocks: Column) -> Column:
+    """Every k-mer's hash above its place in the text, sorted.
+
+    An edit takes away and adds only k-mers that it touches, in texts without spaces too.
+    """
+    def of(b: Column, i: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.char_length(b) - (SIZE - 1), F.lit(1)))
+        return F.transform(places, lambda j: _with_place(_kmer(b, j), i * BLOCK + j - 1))
+
+    return F.sort_array(F.flatten(F.transform(blocks, of)))
 
 
 def _with_place(h: Column, i: Column) -> Column:
-    return F.shiftleft(F.shiftright(h, HALF), HALF).bitwiseOR(i.cast("long"))
+    return h.bitwiseAND(F.lit(UPPER)).bitwiseOR(i.cast("long"))
 
 
 def _place(e: Column) -> Column:
@@ -43,35 +63,39 @@ def _starts(s: Column, shift: int) -> Column:
     )
 
 
-def signature(text: Column) -> Column:
-    """Order MinHash of a text: an array of ints, bin above tuple hash, one for each bin that has k-mers.
+def _numbered(s: Column) -> Column:
+    """Of each sorted k-mer the hash with its number among its repeats, above its place, sorted by the bits below the bin's.
 
-    A k-mer is SIZE code points in a row (a shorter text is one itself), numbered among its repeats by the upper half
-    of its hash. The number's hash gives its bin; of each bin the two smallest are put back in text order, and that
-    tuple is hashed. So a bin changes when one of its k-mers goes, comes or changes places, and one changed character
-    touches SIZE k-mers. Arrays of longs, hash above place, are sorted instead of structs.
+    The bits are turned: first those that order a bin, then the bin, then the place, so that the smallest of every bin
+    come first.
     """
-    def numbered(k: Column) -> Column:
-        """Of each k-mer the hash with its number among its repeats, above its place."""
-        srt = F.sort_array(F.transform(k, _with_place))
+    def number(e: Column, n: Column) -> Column:
+        g = F.xxhash64(F.shiftright(e, HALF), n)
+        low = F.shiftrightunsigned(F.shiftleft(g, BITS), HALF + BITS)
+        return F.shiftleft(low, HALF - 1 + BITS).bitwiseOR(F.shiftleft(F.shiftrightunsigned(g, 64 - BITS), HALF - 1)).bitwiseOR(e.bitwiseAND(F.lit((1 << HALF) - 1)))
+
+    def runs(at: Column) -> Column:
+        many = lambda lo, hi: F.transform(F.slice(s, lo + 1, hi - lo), number)
+        run = lambda lo, hi: F.when(hi == lo + 1, F.array(number(F.get(s, lo), F.lit(0)))).otherwise(many(lo, hi))
+        return F.flatten(F.transform(at, lambda lo, r: run(lo, F.coalesce(F.get(at, r + 1), F.size(s)))))
 
-        def number(e: Column, n: Column) -> Column:
-            return _with_place(F.xxhash64(F.shiftright(e, HALF), n), _place(e))
+    return F.sort_array(_let(_starts(s, HALF), runs))
 
-        def runs(s: Column, at: Column) -> Column:
-            many = lambda lo, hi: F.transform(F.slice(s, lo + 1, hi - lo), number)
-            run = lambda lo, hi: F.when(hi == lo + 1, F.array(number(F.get(s, lo), F.lit(0)))).otherwise(many(lo, hi))
-            return F.flatten(F.transform(at, lambda lo, r: run(lo, F.coalesce(F.get(at, r + 1), F.size(s)))))
 
-        return _let(srt, lambda s: _let(_starts(s, HALF), lambda at: runs(s, at)))
+def _bins(blocks: Column, turned: Column) -> Column:
+    """An int for each bin that has k-mers, from all of them as ``_numbered`` sorts them."""
+    def back(v: Column) -> Column:
+        g = F.shiftleft(v, 64 - HALF + 1 - BITS).bitwiseAND(F.lit(-(1 << (64 - BITS))))
+        return g.bitwiseOR(F.shiftleft(F.shiftrightunsigned(v, HALF - 1 + BITS), HALF)).bitwiseOR(v.bitwiseAND(F.lit((1 << (HALF - 1)) - 1)))
 
-    def bins(k: Column, s: Column) -> Column:
-        def of(e: Column) -> Column:
-            return F.shiftright(e, 64 - BITS)
+    def of(e: Column) -> Column:
+        return F.shiftright(e, 64 - BITS)
 
-        def known(e: Column) -> tuple[Column, Column]:
-            return F.get(k, _place(e)), F.shiftright(e, HALF)
+    def known(e: Column) -> tuple[Column, Column]:
+        i = _place(e)
+        return _kmer(F.get(blocks, F.shiftright(i, BLOCK.bit_length() - 1)), i.bitwiseAND(F.lit(BLOCK - 1)) + 1), F.shiftright(e, HALF)
 
+    def pairs(s: Column, starts: Column) -> Column:
         def one(j: Column) -> Column:
             a, b = F.get(s, j), F.get(s, j + 1)
             pair = b.isNotNull() & (of(a) == of(b))
@@ -79,9 +103,28 @@ def signature(text: Column) -> Column:
             # What is known to be non-negative keeps the ints in order of their bins.
             return (of(a).cast("int") + (1 << (BITS - 1))) * (1 << BIN_HASH) + F.pmod(tup, F.lit(1 << BIN_HASH)).cast("int")
 
-        return F.transform(_starts(s, 64 - BITS), one)
+        return F.transform(starts, one)
+
+    def among(part: Column, then) -> Column:
+        return _let(F.sort_array(F.transform(part, back)), lambda s: _let(_starts(s, 64 - BITS), lambda at: then(s, at)))
+
+    def first(s: Column, at: Column) -> Column:
+        """Of the smallest ones; of all, where they don't hold two for each bin."""
+        two = (F.size(at) == 1 << BITS) & F.forall(at, lambda j: of(F.get(s, j)) == F.coalesce(of(F.get(s, j + 1)), F.lit(1 << 62)))
+        return F.when(two | (F.size(turned) <= FIRST), pairs(s, at)).otherwise(among(turned, pairs))
+
+    return among(F.slice(turned, 1, FIRST), first)
+
 
-    return _let(_kmers(text), lambda k: _let(F.sort_array(numbered(k)), lambda s: bins(k, s)))
+def signature(text: Column) -> Column:
+    """Order MinHash of a text: an array of ints, bin above tuple hash, one for each bin that has k-mers.
+
+    Every SIZE code points in a row are a k-mer (a shorter text is one itself), numbered among its repeats by the upper
+    half of its hash. The number's hash gives its bin; of each bin the two smallest are put back in text order, and that
+    tuple is hashed. So a bin changes when one of its k-mers goes, comes or changes places, and one changed character
+    touches SIZE k-mers. Arrays of longs, hash above place, are sorted instead of structs.
+    """
+    return _let(_blocks(text), lambda b: _let(_sorted_kmers(b), lambda s: _let(_numbered(s), lambda v: _bins(b, v))))
 
 
 def _let(value: Column, body) -> Column:
