@@ -244,3 +244,16 @@ def test_known_as_of_by_code(spark):
     known = lambda codes: sorted((r.stock_code, r.table_name) for r in pit.known_as_of(pit.financial_keys(df), codes, "2026-01-31").collect())
     assert known(None) == sorted((r[0], r[1]) for r in rows)
     assert known(["B"]) == [("B", "Income"), ("B", "Top10Holder")] and known([]) == []
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_universe_days_come_to_dealt_securities(spark):
+    """No task holds a year's members: nothing is shuffled by year, and no distinct holds members before a semi-join."""
+    from tidemark.plans import queries
+
+    plan = _plan(queries.QUERIES["q_bars_in_universe"](spark, "/root/testdata/sf0.001"))
+    assert "hashpartitioning(_year" not in plan and "LeftSemi" in plan
+    assert not [x for x in plan.splitlines() if "HashAggregate(keys=[trade_date" in x and "stock_code" in x.split("functions")[0]], plan

@@ -45,8 +45,8 @@ def basis_of(basis: DataFrame, products: Sequence[str], start=None, end=None) ->
 
 
 def eligible_bars(bars: DataFrame, universe: DataFrame, name: str) -> DataFrame:
-    """Bars of the stocks that were in a universe on their day."""
-    members = dated(universe, universe_name=name).where("eligible_flag").select("trade_date", "stock_code").distinct()
+    """Bars of the stocks that were in a universe on their day; a semi-join takes a bar once, however often it is in."""
+    members = dated(universe, universe_name=name).where("eligible_flag").select("trade_date", "stock_code")
     return bars.join(members, ["trade_date", "stock_code"], "left_semi")
 
 
