@@ -257,3 +257,19 @@ def test_universe_days_come_to_dealt_securities(spark):
     plan = _plan(queries.QUERIES["q_bars_in_universe"](spark, "/root/testdata/sf0.001"))
     assert "hashpartitioning(_year" not in plan and "LeftSemi" in plan
     assert not [x for x in plan.splitlines() if "HashAggregate(keys=[trade_date" in x and "stock_code" in x.split("functions")[0]], plan
+
+
+def test_rolling_median_against_plain(spark):
+    import statistics
+
+    from pyspark.sql import Window
+
+    from tidemark.functions import rolling_median
+
+    vals = [3.0, None, 1.0, 1.0, None, None, None, 7.5, -2.0, 4.0, 4.5, 1e300]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    w = Window.partitionBy(F.lit(1)).orderBy("i").rowsBetween(-3, 0)
+    got = [r.m for r in df.select("i", rolling_median(F.col("v"), w).alias("m")).orderBy("i").collect()]
+    for i, m in enumerate(got):
+        some = [v for v in vals[max(0, i - 3) : i + 1] if v is not None]
+        assert m == (statistics.median(some) if some else None), i

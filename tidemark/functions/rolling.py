@@ -12,7 +12,18 @@ def rolling(by: list[str] | str, order: list[str] | str, n: int) -> WindowSpec:
 
 
 def rolling_median(c: Column, w: WindowSpec, when: Column | None = None) -> Column:
-    return F.percentile(c if when is None else F.when(when, c), F.lit(0.5)).over(w)
+    """The exact median of a window's values that aren't null; of an even number the mean of the middle two.
+
+    The window's few values are sorted as an array of doubles, which takes a fraction of a percentile's counting table.
+    """
+    values = F.collect_list((c if when is None else F.when(when, c)).cast("double")).over(w)
+
+    def middle(v: Column) -> Column:
+        low, high = F.get(v, F.shiftright(F.size(v) - 1, 1)), F.get(v, F.shiftright(F.size(v), 1))
+        return F.when(low == high, low).otherwise(low * 0.5 + high * 0.5)
+
+    # The window is named once: each mention of it would be collected anew.
+    return F.get(F.transform(F.array(F.sort_array(values)), middle), 0)
 
 
 def rolling_z(c: Column, w: WindowSpec) -> Column:
