@@ -273,3 +273,15 @@ def test_rolling_median_against_plain(spark):
     for i, m in enumerate(got):
         some = [v for v in vals[max(0, i - 3) : i + 1] if v is not None]
         assert m == (statistics.median(some) if some else None), i
+
+
+def test_dates_are_parsed_by_their_signs(spark):
+    from tidemark.functions import epoch_or_text_date
+
+    rows = ["20240115", "2024-01-15", "2024/01/15", "2024-01-15.0", "1705276800000", "20240230", "2024-02-30", "1-2", "2024/01-15", "n/a", "", None, "1e13", "-20240115", "2024-1-5"]
+    got = [r.d for r in spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").select("i", epoch_or_text_date(F.col("t")).cast("string").alias("d")).orderBy("i").collect()]
+    text = F.regexp_replace(F.trim("t"), r"\.0$", "")
+    plain = F.coalesce(*[F.try_to_date(text, f) for f in ("yyyyMMdd", "yyyy-MM-dd", "yyyy/MM/dd")])
+    want = [r.d for r in spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").select("i", plain.cast("string").alias("d")).orderBy("i").collect()]
+    same = [i for i, t in enumerate(rows) if t not in ("1705276800000", "1e13")]
+    assert [got[i] for i in same] == [want[i] for i in same] and got[4] == "2024-01-15" and got[12] is not None

@@ -15,13 +15,17 @@ def number(c: Column) -> Column:
 
 
 def epoch_or_text_date(c: Column, zone: str = "Asia/Shanghai") -> Column:
-    """Epoch milliseconds as the date in ``zone``; else text such as 20260105 or 2026-01-05, with or without ``.0``."""
-    n = number(c)
+    """Epoch milliseconds as the date in ``zone``; else text such as 20260105 or 2026-01-05, with or without ``.0``.
+
+    A text is parsed only as what its signs let it be: a failed parse costs many times a good one.
+    """
     text = F.regexp_replace(F.trim(c.cast("string")), r"\.0$", "")
+    n = F.when(text.rlike(r"^\d{4}[-/]\d"), F.lit(None).cast("double")).otherwise(number(c))
     # Wall clocks without a zone, so that the session's own time zone plays no part.
     since = F.make_dt_interval(secs=(n / 1000).try_cast("decimal(18,6)"))
     millis = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.lit("1970-01-01").cast("timestamp_ntz") + since).cast("date")
-    plain = F.coalesce(*[F.try_to_date(text, f) for f in ("yyyyMMdd", "yyyy-MM-dd", "yyyy/MM/dd")])
+    dash = F.locate("-", text, 2) > 0  # a first one may be a sign
+    plain = F.when(text.contains("/"), F.try_to_date(text, "yyyy/MM/dd")).when(dash, F.try_to_date(text, "yyyy-MM-dd")).otherwise(F.try_to_date(text, "yyyyMMdd"))
     return F.when(n > EPOCH_FROM, millis).otherwise(plain)
 
 
