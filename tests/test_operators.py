@@ -285,3 +285,12 @@ def test_dates_are_parsed_by_their_signs(spark):
     want = [r.d for r in spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").select("i", plain.cast("string").alias("d")).orderBy("i").collect()]
     same = [i for i, t in enumerate(rows) if t not in ("1705276800000", "1e13")]
     assert [got[i] for i in same] == [want[i] for i in same] and got[4] == "2024-01-15" and got[12] is not None
+
+
+def test_lines_travel_once_to_their_stock(spark):
+    """Bars, and what goes on by stock, need one shuffle of lines as they are; no sliding percentile is left."""
+    from tidemark.plans import queries
+
+    for name in ("q_adv20_adv60", "q_amihud20_60"):
+        plan = _plan(queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert plan.count("Exchange") == 1 and "percentile" not in plan, plan
