@@ -294,3 +294,12 @@ def test_lines_travel_once_to_their_stock(spark):
     for name in ("q_adv20_adv60", "q_amihud20_60"):
         plan = _plan(queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
         assert plan.count("Exchange") == 1 and "percentile" not in plan, plan
+
+
+def test_contract_days_stay_with_their_contracts(spark):
+    """The index and the mapping come to the contract days, which no join by day shuffles."""
+    from tidemark.plans import queries
+
+    for name in ("q_basis", "q_basis_stress"):
+        plan = _plan(queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "SortMergeJoin [trade_date" not in plan and "ShuffledHashJoin [trade_date" not in plan, plan

@@ -37,20 +37,27 @@ def next_day_mapping(eod: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def with_main_flag(df: DataFrame, mapping: DataFrame, mapping_type: str, name: str) -> DataFrame:
-    """Whether a day's contract is its product's main one; no row is added or lost."""
+    """Whether a day's contract is its product's main one; no row is added or lost.
+
+    A mapping has at most a row for each day and product, however many contracts trade, so it comes to the rows.
+    """
     keys = mapping.where(F.col("mapping_type") == mapping_type).select(F.col("effective_trade_date").alias("trade_date"), "contract_code").distinct().withColumn("_main", F.lit(True))
-    return df.join(keys, ["trade_date", "contract_code"], "left").withColumn(name, F.coalesce("_main", F.lit(False))).drop("_main")
+    return df.join(F.broadcast(keys), ["trade_date", "contract_code"], "left").withColumn(name, F.coalesce("_main", F.lit(False))).drop("_main")
 
 
 def spot_code(product: Column, spots: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in spots.items() for x in kv]), product)
 
 
-def basis(futures: DataFrame, index: DataFrame, master: DataFrame, mapping: DataFrame, spots: dict[str, str], rule: str = "v1") -> DataFrame:
-    """Basis of every contract day; null without a positive spot, annualised only before expiry."""
+def basis(futures: DataFrame, index: DataFrame, master: DataFrame, mapping: DataFrame, spots: dict[str, str], rule: str = "v1", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Basis of every contract day; null without a positive spot, annualised only before expiry. ``keep``: columns of futures to go along.
+
+    An index has a row for each day and product, however many contracts trade, so it comes to the contract days, which
+    stay where their contracts are.
+    """
     spot = index.select("trade_date", F.col("index_code").alias("spot_code"), F.col("close").alias("spot_close"))
     rows = futures.join(master.select("contract_code", "expire_date"), "contract_code", "left").withColumn("spot_code", spot_code(F.col("product"), spots))
-    rows = rows.join(spot, ["trade_date", "spot_code"], "left")
+    rows = rows.join(F.broadcast(spot), ["trade_date", "spot_code"], "left")
     good = F.col("spot_close") > 0
     rows = (
         rows.withColumn("future_close", F.col("close"))
@@ -64,7 +71,7 @@ def basis(futures: DataFrame, index: DataFrame, master: DataFrame, mapping: Data
     rows = with_main_flag(with_main_flag(rows, mapping, EOD, "is_eod_main"), mapping, NEXT_DAY, "is_tradable_main")
     return rows.select(
         "trade_date", "product", "contract_code", "spot_code", "future_close", "settlement", "spot_close", "basis_close", "basis_settlement",
-        "basis_pct", "days_to_expiry", "annualized_basis", "is_eod_main", "is_tradable_main", "rule_version",
+        "basis_pct", "days_to_expiry", "annualized_basis", "is_eod_main", "is_tradable_main", "rule_version", *keep,
     )
 
 

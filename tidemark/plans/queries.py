@@ -910,10 +910,9 @@ z AS (SELECT *, (pct - avg(pct) OVER w) / nullif(stddev_samp(pct) OVER w, 0) AS
 SELECT trade_date, contract_code, 0.0::DOUBLE - round(z, 6) AS stress, CASE WHEN pct IS NULL OR more IS NULL THEN NULL WHEN more = 0 THEN 'STEADY' WHEN pct >= 0 AND more > 0 THEN 'PREMIUM_BUILDING' WHEN pct >= 0 THEN 'PREMIUM_UNWINDING'
   WHEN more > 0 THEN 'DISCOUNT_BUILDING' ELSE 'DISCOUNT_UNWINDING' END AS leverage_regime FROM z""")
 def q_basis_stress(spark, sf_dir):
-    futures = b.futures(spark, sf_dir)
     none = b.contracts(spark, sf_dir).select(F.lit("").alias("mapping_type"), F.lit(None).cast("date").alias("effective_trade_date"), "contract_code").limit(0)
-    rows = fut.basis(futures, b.index_days(spark, sf_dir), b.contracts(spark, sf_dir), none, b.SPOTS).select("trade_date", "contract_code", "basis_pct")
-    out = flows.basis_stress(rows.join(futures.select("trade_date", "contract_code", "open_interest"), ["trade_date", "contract_code"]))
+    rows = fut.basis(b.futures(spark, sf_dir), b.index_days(spark, sf_dir), b.contracts(spark, sf_dir), none, b.SPOTS, keep=("open_interest",))
+    out = flows.basis_stress(rows.select("trade_date", "contract_code", "basis_pct", "open_interest"))
     return out.select("trade_date", "contract_code", (F.lit(0.0) + F.round("stress", 6)).alias("stress"), "leverage_regime")
 
 
