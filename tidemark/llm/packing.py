@@ -10,6 +10,7 @@ runs of equal sequences, so that the work doesn't grow with the input.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from array import array
@@ -22,6 +23,16 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, ready, small
 
+#: Printable ASCII without capitals, and Latin-1's small letters: the tokenizer's normaliser leaves words of these as they are.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f"[!-@\\[-`{{-~{_LETTERS}]+").fullmatch
+#: What the tokenizer's own splitting makes of such a word, each of which it encodes by itself.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+").findall
+#: Bytes as the characters that a byte-level vocabulary writes for them.
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
+#: Marks of the tokenizer's special tokens begin so; they are told by case and found before anything else.
+_SPECIAL = "<|"
+
 
 def _ends_in_letter(word: str) -> bool:
     """Whether a word of letters still ends in one when the tokenizer has lower-cased it: U+0130 gets a mark, which keeps
@@ -29,40 +40,41 @@ def _ends_in_letter(word: str) -> bool:
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower()[-1].isalpha())
 
 
-class _Words:
-    """A tokenizer and the ids of words it has seen: a table in use, and the one before, whose words may come back."""
+class _Words(dict):
+    """The ids of words that a tokenizer has seen: a table in use, and the one before, whose words may come back.
+
+    Plain words are cut as the tokenizer cuts them, and only its model is asked for the parts; all others go through
+    the whole tokenizer, without the full stop or comma that ends a word of letters, which is a token of its own.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.before: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> None:
-        """Put words into the table. A full stop or comma that ends a word of letters is a token of its own."""
-        known, before = self.known, self.before
-        new, ends = set(), []
-        for w in words:
-            if w in before:
-                known[w] = before[w]
-                continue
-            parts = (w,)
-            if w[-1:] in (".", ",") and _ends_in_letter(w[:-1]):
-                ends.append(w)
-                parts = (w[:-1], w[-1])
-            for x in parts:
-                if x not in known:
-                    if x in before:
-                        known[x] = before[x]
-                    else:
-                        new.add(x)
-        todo = list(new)
-        for w, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-            known[w] = array("I", e.ids).tobytes()
-        for w in ends:
-            known[w] = known[w[:-1]] + known[w[-1]]
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            if not _PLAIN(word) or _SPECIAL in word:
+                if word[-1:] in (".", ",") and _ends_in_letter(word[:-1]):
+                    ids = self[word[:-1]] + self[word[-1]]
+                else:
+                    ids = array("I", self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids).tobytes()
+            elif len(parts := _PARTS(word)) > 1:
+                ids = b"".join([self[x] for x in parts])
+            else:
+                shown = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+                ids = array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
+        self[word] = ids
+        return ids
+
+    def turn(self) -> None:
+        """Begin a new table."""
+        self.before = dict(self)
+        self.clear()
 
 
 _words: dict[str, _Words] = {}
@@ -79,15 +91,11 @@ def encode(texts: list[str], path: str, most: int = 250_000) -> list[bytes]:
     for text in texts:
         # Lower-casing here only lets more words share an entry; where it might differ, the text stays as it is.
         low = text.lower()
-        if text.isascii() or (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low) and "\u03a3" not in text and "\u0130" not in text):
+        if _SPECIAL not in text and (text.isascii() or (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low) and "\u03a3" not in text and "\u0130" not in text)):
             text = low
-        ws = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if new := [w for w in set(ws) if w not in table.known]:
-            if len(table.known) > most:
-                table.known, table.before = {}, table.known
-                new = list(set(ws))
-            table.learn(new)
-        out.append(b"".join(map(table.known.__getitem__, ws)))
+        if len(table) > most:
+            table.turn()
+        out.append(b"".join(map(table.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))))
     return out
 
 
