@@ -478,6 +478,22 @@ def test_every_window_counts(spark):
     assert all(r.s == plain_signature(texts[r.i]) for r in got)
 
 
+def test_signatures_of_both_texts(spark):
+    """Steps in projections of their own, and k-mers shared by both texts, give what plain Python gives."""
+    rng = random.Random(5)
+    texts = ["", "a", "abc", "abcd", "abcdefg", "abcdefgh", "😀" * 9 + "é😀x", "word " * 300, "ab" * 400, "\n" * 5, "".join(rng.choices("abé 中😀", k=2500)), " ".join(rng.choices(["to", "be", "or"], k=500))]
+    rows = [(i, t, t[: len(t) - len(t) // 2] + u[: len(t) // 2], len(t) - len(t) // 2) for i, (t, u) in enumerate(itertools.product(texts, texts))]
+    df = spark.createDataFrame(rows, "i int, t string, e string, kept int")
+    out = fp.signatures(df, "t", "e", F.col("kept"), "a", "b")
+    for r in out.collect():
+        assert r.a == plain_signature(rows[r.i][1]) and r.b == plain_signature(rows[r.i][2]), rows[r.i]
+    # Arrays that can't hold nulls are sorted as plain longs, in compiled projections that Spark hasn't merged.
+    steps = df.select(fp._placed(fp._kmers(F.col("t"))).alias("s")).select("s", fp._numbered(F.col("s")).alias("w"))
+    assert all(not x.dataType.containsNull for x in steps.schema)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 4
+
+
 def test_edits_in_unspaced_and_spaced_text_stay_near(spark):
     rng = random.Random(4)
     run = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(3000))

@@ -9,111 +9,92 @@ from .common import Scratch
 
 #: k-mers are so many code points in a row. All of them count: those whose hash is a multiple of EVERY, which is one.
 SIZE, EVERY = 4, 1
-#: Code points of a text whose k-mers are cut out of one block, so that cutting costs the same anywhere in a text.
-BLOCK = 16
-#: So many numbered k-mers of the smallest hashes are looked through for each bin's two first; all, where a bin lacks two.
-FIRST = 768
 #: Bins are the first BITS bits of a hash; each keeps its two smallest k-mers; BIN_HASH bits of their tuple's hash stay.
 BITS, BIN_HASH = 6, 16
 #: Sorted longs hold a hash in their upper half and a place in their lower one.
 HALF = 32
 
 
-#: The upper half of a long.
-UPPER = -(1 << HALF)
+#: The halves of a long.
+UPPER, LOWER = -(1 << HALF), (1 << HALF) - 1
 
 
-def _blocks(text: Column) -> Column:
-    """Blocks of BLOCK code points, with those after them that their last k-mers need; a text shorter than a k-mer is one."""
-    whole = F.filter(F.array(text), lambda t: t != "")
-    every = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{SIZE},{BLOCK + SIZE - 1}}})).{{1,{BLOCK}}}"), F.lit(1))
-    return F.when(F.char_length(text) < SIZE, whole).otherwise(every)
+def _windows(text: Column) -> Column:
+    """Every SIZE code points in a row, in order."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * SIZE}))."), F.lit(1))
 
 
-def _kmer(block: Column, j: Column) -> Column:
-    """The hash of the k-mer that starts at code point ``j``, from 1, of a block."""
-    return F.xxhash64(F.substring(block, j, F.lit(SIZE)))
+def _hashed(kmers: Column) -> Column:
+    return F.transform(kmers, lambda x: F.xxhash64(x))
 
 
-def _sorted_kmers(blocks: Column) -> Column:
-    """Every k-mer's hash above its place in the text, sorted.
+def _kmers(text: Column) -> Column:
+    """Every k-mer's hash, in text order; a text shorter than a k-mer is one.
 
     An edit takes away and adds only k-mers that it touches, in texts without spaces too.
     """
-    def of(b: Column, i: Column) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.char_length(b) - (SIZE - 1), F.lit(1)))
-        return F.transform(places, lambda j: _with_place(_kmer(b, j), i * BLOCK + j - 1))
+    return _hashed(F.when(F.char_length(text) < SIZE, F.filter(F.array(text), lambda t: t != "")).otherwise(_windows(text)))
 
-    return F.sort_array(F.flatten(F.transform(blocks, of)))
 
+def _edited_kmers(kmers: Column, edited: Column, kept: Column) -> Column:
+    """The same of a text whose first ``kept`` code points are those of the text of ``kmers``."""
+    shared = kept - (SIZE - 1)
+    after = _windows(edited.substr(shared + 1, F.char_length(edited)))
+    return F.when(shared > 0, F.concat(F.slice(kmers, 1, shared), _hashed(after))).otherwise(_kmers(edited))
 
-def _with_place(h: Column, i: Column) -> Column:
-    return h.bitwiseAND(F.lit(UPPER)).bitwiseOR(i.cast("long"))
 
-
-def _place(e: Column) -> Column:
-    return e.bitwiseAND(F.lit((1 << HALF) - 1)).cast("int")
-
-
-def _starts(s: Column, shift: int) -> Column:
-    """Places in a sorted array where the bits above ``shift`` change."""
-    return F.filter(
-        F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(F.array().cast("array<int>")),
-        lambda j: (j == 0) | (F.shiftright(F.get(s, j - 1), shift) != F.shiftright(F.get(s, j), shift)),
-    )
+def _placed(kmers: Column) -> Column:
+    """Each k-mer's hash above its place, sorted."""
+    return F.sort_array(F.transform(kmers, lambda h, i: h.bitwiseAND(F.lit(UPPER)).bitwiseOR(i.cast("long"))))
 
 
 def _numbered(s: Column) -> Column:
-    """Of each sorted k-mer the hash with its number among its repeats, above its place, sorted by the bits below the bin's.
+    """Of each sorted k-mer the hash with its number among its repeats, above its index in ``s``; not sorted."""
+    def starts(x: Column) -> Column:
+        inner = lambda before: F.filter(F.sequence(F.lit(1), F.size(x) - 1), lambda j: F.get(before, j) < F.get(x, j).bitwiseAND(F.lit(UPPER)))
+        return F.when(F.size(x) > 1, _let(F.concat(F.array(F.lit(None).cast("long")), x), inner)).otherwise(F.array().cast("array<int>")).cast("array<long>")
 
-    The bits are turned: first those that order a bin, then the bin, then the place, so that the smallest of every bin
-    come first.
-    """
-    def number(e: Column, n: Column) -> Column:
-        g = F.xxhash64(F.shiftright(e, HALF), n)
-        low = F.shiftrightunsigned(F.shiftleft(g, BITS), HALF + BITS)
-        return F.shiftleft(low, HALF - 1 + BITS).bitwiseOR(F.shiftleft(F.shiftrightunsigned(g, 64 - BITS), HALF - 1)).bitwiseOR(e.bitwiseAND(F.lit((1 << HALF) - 1)))
-
-    def runs(at: Column) -> Column:
-        many = lambda lo, hi: F.transform(F.slice(s, lo + 1, hi - lo), number)
-        run = lambda lo, hi: F.when(hi == lo + 1, F.array(number(F.get(s, lo), F.lit(0)))).otherwise(many(lo, hi))
-        return F.flatten(F.transform(at, lambda lo, r: run(lo, F.coalesce(F.get(at, r + 1), F.size(s)))))
+    def run(x: Column, lo: Column, hi: Column) -> Column:
+        # What doesn't change within a run is computed once for it.
+        number = lambda h: F.transform(F.sequence(lo, hi - 1), lambda j, n: F.xxhash64(h, n).bitwiseAND(F.lit(UPPER)).bitwiseOR(j))
+        return _let(F.shiftright(F.get(x, lo.cast("int")), HALF), number)
 
-    return F.sort_array(_let(_starts(s, HALF), runs))
+    def runs(x: Column) -> Column:
+        zero, end = F.array(F.lit(0).cast("long")), F.array(F.size(x).cast("long"))
+        return F.when(F.size(x) > 0, _let(starts(x), lambda at: F.zip_with(F.concat(zero, at), F.concat(at, end), lambda lo, hi: run(x, lo, hi))))
 
+    # A cast empty array could hold nulls by its type, and only arrays that can't are sorted as plain longs.
+    return F.coalesce(F.flatten(_let(s, runs)), F.slice(s, 1, 0))
 
-def _bins(blocks: Column, turned: Column) -> Column:
-    """An int for each bin that has k-mers, from all of them as ``_numbered`` sorts them."""
-    def back(v: Column) -> Column:
-        g = F.shiftleft(v, 64 - HALF + 1 - BITS).bitwiseAND(F.lit(-(1 << (64 - BITS))))
-        return g.bitwiseOR(F.shiftleft(F.shiftrightunsigned(v, HALF - 1 + BITS), HALF)).bitwiseOR(v.bitwiseAND(F.lit((1 << (HALF - 1)) - 1)))
 
+def _bins(kmers: Column, s: Column, w: Column) -> Column:
+    """An int for each bin that has k-mers, from those in text order, ``_placed`` and the sorted ``_numbered``."""
     def of(e: Column) -> Column:
         return F.shiftright(e, 64 - BITS)
 
-    def known(e: Column) -> tuple[Column, Column]:
-        i = _place(e)
-        return _kmer(F.get(blocks, F.shiftright(i, BLOCK.bit_length() - 1)), i.bitwiseAND(F.lit(BLOCK - 1)) + 1), F.shiftright(e, HALF)
-
-    def pairs(s: Column, starts: Column) -> Column:
-        def one(j: Column) -> Column:
-            a, b = F.get(s, j), F.get(s, j + 1)
-            pair = b.isNotNull() & (of(a) == of(b))
-            tup = F.when(pair & (_place(a) < _place(b)), F.xxhash64(*known(a), *known(b))).when(pair, F.xxhash64(*known(b), *known(a))).otherwise(F.xxhash64(*known(a)))
-            # What is known to be non-negative keeps the ints in order of their bins.
-            return (of(a).cast("int") + (1 << (BITS - 1))) * (1 << BIN_HASH) + F.pmod(tup, F.lit(1 << BIN_HASH)).cast("int")
+    def low(e: Column) -> Column:
+        return e.bitwiseAND(F.lit(LOWER)).cast("int")
 
-        return F.transform(starts, one)
+    def tuple_hash(kmers: Column, two: Column) -> Column:
+        known = lambda e: (F.get(kmers, low(e)), F.shiftright(e, HALF))
+        a, b = F.get(two, 0), F.get(two, 1)
+        return F.when(b.isNull(), F.xxhash64(*known(a))).when(low(a) < low(b), F.xxhash64(*known(a), *known(b))).otherwise(F.xxhash64(*known(b), *known(a)))
 
-    def among(part: Column, then) -> Column:
-        return _let(F.sort_array(F.transform(part, back)), lambda s: _let(_starts(s, 64 - BITS), lambda at: then(s, at)))
+    def one(kmers: Column, s: Column, w: Column, powers: Column, b: Column) -> Column:
+        # A bin's first index is searched for in the sorted array.
+        step = lambda m: F.aggregate(powers, F.lit(0), lambda at, p: F.when(F.get(w, at + p - 1) < m, at + p).otherwise(at))
+        first = _let(F.shiftleft(b.cast("long"), 64 - BITS), step)
+        # Equal hashes are told apart by place, which a third beside the two smallest settles.
+        three = lambda i: F.filter(F.array(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), lambda e: of(e) == b)
+        place = lambda e: e.bitwiseAND(F.lit(UPPER)).bitwiseOR(F.get(s, low(e)).bitwiseAND(F.lit(LOWER)))
+        found = _let(first, lambda i: F.sort_array(F.transform(three(i), place)))
+        # What is known to be non-negative keeps the ints in order of their bins.
+        return _let(found, lambda two: F.when(F.size(two) > 0, (b + (1 << (BITS - 1))) * (1 << BIN_HASH) + F.pmod(tuple_hash(kmers, two), F.lit(1 << BIN_HASH)).cast("int")))
 
-    def first(s: Column, at: Column) -> Column:
-        """Of the smallest ones; of all, where they don't hold two for each bin."""
-        two = (F.size(at) == 1 << BITS) & F.forall(at, lambda j: of(F.get(s, j)) == F.coalesce(of(F.get(s, j + 1)), F.lit(1 << 62)))
-        return F.when(two | (F.size(turned) <= FIRST), pairs(s, at)).otherwise(among(turned, pairs))
-
-    return among(F.slice(turned, 1, FIRST), first)
+    half = 1 << (BITS - 1)
+    powers = F.transform(F.sequence(F.length(F.bin(F.size(w))) - 1, F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+    each = lambda k, s, w, p: F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), lambda b: one(k, s, w, p, b))
+    return F.filter(_let(kmers, lambda k: _let(s, lambda s: _let(w, lambda w: _let(powers, lambda p: each(k, s, w, p))))), lambda x: x.isNotNull())
 
 
 def signature(text: Column) -> Column:
@@ -124,12 +105,35 @@ def signature(text: Column) -> Column:
     tuple is hashed. So a bin changes when one of its k-mers goes, comes or changes places, and one changed character
     touches SIZE k-mers. Arrays of longs, hash above place, are sorted instead of structs.
     """
-    return _let(_blocks(text), lambda b: _let(_sorted_kmers(b), lambda s: _let(_numbered(s), lambda v: _bins(b, v))))
+    return _let(_kmers(text), lambda k: _let(_placed(k), lambda s: _let(F.sort_array(_numbered(s)), lambda w: _bins(k, s, w))))
+
+
+def signatures(rows: DataFrame, text: str, edited: str, kept: Column, sig: str, edited_sig: str) -> DataFrame:
+    """``rows`` with the ``signature`` of a text and of an edited one, whose first ``kept`` code points are the text's, in their place.
+
+    Names that begin with ``sig_`` are taken. The steps are those of ``signature``, but each is a projection of its own, whose sorts are compiled; and the k-mers
+    that both texts begin with are hashed once.
+    """
+    keep = [c for c in rows.columns if c not in (text, edited)]
+
+    def step(df: DataFrame, **columns: Column) -> DataFrame:
+        # An inline of one row keeps Spark from merging projections, which would compute what they share again and again.
+        df = df.select("*", *[c.alias(f"{n} now") for n, c in columns.items()])
+        now = F.inline(F.array(F.struct(*[F.col(f"`{n} now`").alias(n) for n in columns])))
+        return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns and not c.endswith(" now")], now)
+
+    df = step(rows, sig_k=_kmers(F.col(text)), sig_kept=kept)
+    df = step(df, sig_k=F.col("sig_k"), sig_l=_edited_kmers(F.col("sig_k"), F.col(edited), F.col("sig_kept")))
+    df = df.drop(text, edited)
+    df = step(df, sig_s=_placed(F.col("sig_k")), sig_t=_placed(F.col("sig_l")))
+    df = step(df, sig_v=F.sort_array(_numbered(F.col("sig_s"))), sig_w=F.sort_array(_numbered(F.col("sig_t"))))
+    return df.select(*keep, _bins(F.col("sig_k"), F.col("sig_s"), F.col("sig_v")).alias(sig), _bins(F.col("sig_l"), F.col("sig_t"), F.col("sig_w")).alias(edited_sig))
 
 
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once for each row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    # What finishes an aggregation isn't copied, as a transformed element would be.
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
 
 def printed(sig: Column) -> Column:
@@ -180,9 +184,10 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     both = rows.join(heads.select("d", "head"), F.col("k") == F.col("d"))
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.substring(F.col("head"), F.lit(1), F.floor(n / 2).cast("int")))
-    out = both.select("k", "text", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("turn"), edited.alias("edited"))
+    out = both.select("k", "text", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("turn"), F.sha2(edited, 256).alias("edited_sha256"), edited.alias("edited"))
     # Signatures are made once, and only they travel from then on.
-    signed = scratch.save(out.select("k", "turn", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signature(F.col("text")).alias("sig"), signature(F.col("edited")).alias("edited_sig")))
+    signed = signatures(out, "text", "edited", n - F.floor(n / 2).cast("int"), "sig", "edited_sig")
+    signed = scratch.save(signed)
     nexts = signed.groupBy("k").agg(F.min_by("sig", "turn").alias("next_sig")) if repeated else signed.select("k", F.col("sig").alias("next_sig"))
     after = order.select("d", "next").join(nexts, F.col("next") == F.col("k")).select("d", "next_sig")
     return signed.join(after, F.col("k") == F.col("d")).select(
