@@ -494,6 +494,23 @@ def test_signatures_of_both_texts(spark):
     assert plan.count("Generate inline") == 4
 
 
+@pytest.mark.parametrize("many, longest", [(12, 21), (2, 21), (12, 4)])
+def test_signatures_number_repeats_in_rows(spark, monkeypatch, many, longest):
+    """Repeats are numbered in compiled rows; bins that a low bound empties, and long texts, get their signatures all the same."""
+    monkeypatch.setattr(fp, "MANY", many)
+    monkeypatch.setattr(fp, "LONGEST", longest)
+    rng = random.Random(9)
+    texts = ["", "abc", "x" * 4000, "word " * 700, " ".join(rng.choices(["to", "be", "or"], k=900)), "".join(rng.choices("abé 中😀", k=3000))]
+    rows = [(t, u, min(len(t), len(u), 3), None) for t, u in itertools.product(texts, texts)]
+    rows = [(t, t[:kept] + u[kept:], kept, x) for t, u, kept, x in rows]
+    df = spark.createDataFrame([(r[0], r[1], r[2], "same") for r in rows for _ in range(2)], "t string, e string, kept int, other string")
+    out = fp.signatures(df, "t", "e", F.col("kept"), "a", "b").collect()
+    want = sorted(("same", tuple(plain_signature(t)), tuple(plain_signature(e))) for t, e, *_ in rows for _ in range(2))
+    assert sorted((r.other, tuple(r.a), tuple(r.b)) for r in out) == want
+    plan = fp.signatures(df, "t", "e", F.col("kept"), "a", "b")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
+
+
 def test_edits_in_unspaced_and_spaced_text_stay_near(spark):
     rng = random.Random(4)
     run = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(3000))

@@ -11,6 +11,12 @@ from .common import Scratch
 SIZE, EVERY = 4, 1
 #: Bins are the first BITS bits of a hash; each keeps its two smallest k-mers; BIN_HASH bits of their tuple's hash stay.
 BITS, BIN_HASH = 6, 16
+#: So many k-mers of a bin are kept, as far as chance has it, before its two smallest are sought.
+MANY = 12
+#: Runs of one k-mer are numbered in rows if texts have fewer k-mers than two to so many; ``signature`` is asked for longer ones.
+LONGEST = 21
+#: About so many code points are dealt to a task.
+PART = 4_000_000
 #: Sorted longs hold a hash in their upper half and a place in their lower one.
 HALF = 32
 
@@ -108,11 +114,68 @@ def signature(text: Column) -> Column:
     return _let(_kmers(text), lambda k: _let(_placed(k), lambda s: _let(F.sort_array(_numbered(s)), lambda w: _bins(k, s, w))))
 
 
-def signatures(rows: DataFrame, text: str, edited: str, kept: Column, sig: str, edited_sig: str) -> DataFrame:
+def _chosen(df: DataFrame, keep: list[str], k: str, s: str, l: str, t: str, info: Column, group: list[str]) -> DataFrame:
+    """Of each row, the numbered k-mers of both texts that may be among a bin's two smallest: (group, info, a, b), a and b of structs (hash above place, k-mer).
+
+    Every k-mer is a row for a moment, since that is compiled; those above ``_bound`` are left before anything is kept of them.
+    """
+    n, x = F.size(s), F.concat(s, t)
+    df = df.select("*", n.alias("sig_n"), F.size(t).alias("sig_m"), x.alias("sig_x"))
+    # One row more carries what isn't of k-mers; others are the first ones of their runs.
+    df = df.select("*", F.explode(F.sequence(F.lit(0), F.size("sig_x"))).alias("sig_lo"))
+    df = df.select("*", F.spark_partition_id().alias("sig_first"), F.get("sig_x", "sig_lo").bitwiseAND(F.lit(UPPER)).alias("sig_h"))
+    starts = (F.col("sig_lo") == 0) | (F.col("sig_lo") == F.col("sig_n")) | (F.get("sig_x", F.col("sig_lo") - 1) < F.col("sig_h")) | F.col("sig_h").isNull()
+    df = df.where((F.col("sig_first") >= 0) & starts).drop("sig_first")
+    df = df.select("*", (F.col("sig_lo") < F.col("sig_n")).alias("sig_own"), F.col("sig_lo").alias("sig_at"))
+    either = lambda x, y: F.when(F.col("sig_own"), x).otherwise(y)
+    # A run's last index is found by going on by falling powers of two while the hash is the same.
+    for p in range(LONGEST - 1, -1, -1):
+        on = F.col("sig_at") + (1 << p)
+        same = (F.get("sig_x", on) <= F.col("sig_h").bitwiseOR(F.lit(LOWER))) & ((on < F.col("sig_n")) == F.col("sig_own"))
+        df = df.select(*[c for c in df.columns if c != "sig_at"], F.when(same, on).otherwise(F.col("sig_at")).alias("sig_at"))
+    df = df.select("*", F.explode(F.sequence("sig_lo", "sig_at")).alias("sig_i"))
+    df = df.select("*", F.get("sig_x", "sig_i").alias("sig_e"))
+    # What a task alone knows keeps Spark from moving the condition below, which would write out all powers within one another.
+    df = df.select("*", F.xxhash64(F.shiftright("sig_h", HALF), F.col("sig_i") - F.col("sig_lo")).alias("sig_g"), F.spark_partition_id().alias("sig_task"))
+    last = F.col("sig_i") == F.size("sig_x")
+    low = F.shiftright("sig_g", HALF).bitwiseAND(F.lit((1 << (HALF - BITS)) - 1))
+    df = df.where((F.col("sig_task") >= 0) & (last | (low < either(_bound(F.col("sig_n")), _bound(F.col("sig_m"))))))
+    place = F.col("sig_e").bitwiseAND(F.lit(LOWER))
+    v = F.col("sig_g").bitwiseAND(F.lit(UPPER)).bitwiseOR(place)
+    kmer = either(F.get(k, place.cast("int")), F.get(l, place.cast("int")))
+    df = df.select(*group, F.when(last, info).alias("sig_info"), "sig_own", last.alias("sig_last"), v.alias("v"), kmer.alias("h"))
+    of = lambda c: F.collect_list(F.when(c & ~F.col("sig_last"), F.struct("v", "h")))
+    return df.groupBy(*group).agg(F.first("sig_info", ignorenulls=True).alias("sig_info"), of(F.col("sig_own")).alias("sig_a"), of(~F.col("sig_own")).alias("sig_b"))
+
+
+def _bound(n: Column) -> Column:
+    """What the lower bits of a hash stay below, so that some MANY of a bin are expected to; of fewer k-mers than MANY a bin, all."""
+    return F.when(n <= MANY << BITS, F.lit(1 << (HALF - BITS)).cast("long")).otherwise(F.floor(F.lit(float(MANY << HALF)) / n))
+
+
+def _chosen_bins(chosen: Column, n: Column) -> Column:
+    """``_bins`` from sorted structs of ``_chosen``; null if ``n`` k-mers were more and a bin hasn't two of them here."""
+    def one(x: Column, powers: Column, b: Column) -> Column:
+        step = lambda least: F.aggregate(powers, F.lit(0), lambda at, p: F.when(F.get(x, at + p - 1)["v"] < least, at + p).otherwise(at))
+        known = lambda e: (e["h"], F.shiftright(e["v"], HALF))
+        mine = lambda e: F.shiftright(e["v"], 64 - BITS) == b
+        place = lambda e: e["v"].bitwiseAND(F.lit(LOWER))
+        tuple_hash = lambda c, d: F.when(~F.coalesce(mine(d), F.lit(False)), F.when(F.size(x) == n, F.xxhash64(*known(c)))).when(place(c) < place(d), F.xxhash64(*known(c), *known(d))).otherwise(F.xxhash64(*known(d), *known(c)))
+        found = lambda i: F.when(mine(F.get(x, i)), F.coalesce((b + (1 << (BITS - 1))) * (1 << BIN_HASH) + F.pmod(tuple_hash(F.get(x, i), F.get(x, i + 1)), F.lit(1 << BIN_HASH)).cast("int"), F.lit(-1)))
+        return _let(_let(F.shiftleft(b.cast("long"), 64 - BITS), step), found)
+
+    half = 1 << (BITS - 1)
+    powers = lambda x: F.transform(F.sequence(F.length(F.bin(F.size(x))) - 1, F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+    each = lambda x, p: F.filter(F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), lambda b: one(x, p, b)), lambda y: y.isNotNull())
+    whole = lambda x, y: F.when((n < 1 << LONGEST) & ((F.size(x) == n) | ((F.size(y) == 2 * half) & ~F.array_contains(y, F.lit(-1)))), y)
+    return _let(chosen, lambda x: _let(_let(powers(x), lambda p: each(x, p)), lambda y: whole(x, y)))
+
+
+def signatures(rows: DataFrame, text: str, edited: str, kept: Column, sig: str, edited_sig: str, by: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with the ``signature`` of a text and of an edited one, whose first ``kept`` code points are the text's, in their place.
 
-    Names that begin with ``sig_`` are taken. The steps are those of ``signature``, but each is a projection of its own, whose sorts are compiled; and the k-mers
-    that both texts begin with are hashed once.
+    Names that begin with ``sig_`` are taken. The k-mers that both texts begin with are hashed once. Repeats are numbered and hashed in compiled rows, of
+    which a bound on the hash leaves few; where it left a bin fewer than two, ``signature`` is asked. Rows that are dealt out by the columns ``by`` stay where they are.
     """
     keep = [c for c in rows.columns if c not in (text, edited)]
 
@@ -122,12 +185,14 @@ def signatures(rows: DataFrame, text: str, edited: str, kept: Column, sig: str,
         now = F.inline(F.array(F.struct(*[F.col(f"`{n} now`").alias(n) for n in columns])))
         return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns and not c.endswith(" now")], now)
 
-    df = step(rows, sig_k=_kmers(F.col(text)), sig_kept=kept)
+    df = step(rows.withColumn("sig_row", F.monotonically_increasing_id()), sig_k=_kmers(F.col(text)), sig_kept=kept)
     df = step(df, sig_k=F.col("sig_k"), sig_l=_edited_kmers(F.col("sig_k"), F.col(edited), F.col("sig_kept")))
-    df = df.drop(text, edited)
     df = step(df, sig_s=_placed(F.col("sig_k")), sig_t=_placed(F.col("sig_l")))
-    df = step(df, sig_v=F.sort_array(_numbered(F.col("sig_s"))), sig_w=F.sort_array(_numbered(F.col("sig_t"))))
-    return df.select(*keep, _bins(F.col("sig_k"), F.col("sig_s"), F.col("sig_v")).alias(sig), _bins(F.col("sig_l"), F.col("sig_t"), F.col("sig_w")).alias(edited_sig))
+    info = F.struct(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).alias("text"), F.col(edited).alias("edited"), F.col("sig_n").alias("n"), F.col("sig_m").alias("m"))
+    df = _chosen(df, keep, "sig_k", "sig_s", "sig_l", "sig_t", info, [*by, "sig_row"])
+    df = step(df, sig_a=F.sort_array("sig_a"), sig_b=F.sort_array("sig_b"))
+    made = lambda chosen, n, text: F.coalesce(_chosen_bins(F.col(chosen), F.col("sig_info")[n]), signature(F.col("sig_info")[text]))
+    return df.select("sig_info.row.*", made("sig_a", "n", "text").alias(sig), made("sig_b", "m", "edited").alias(edited_sig))
 
 
 def _let(value: Column, body) -> Column:
@@ -172,7 +237,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     inside = Window.partitionBy("part").orderBy("k")
     ends = ids.groupBy("part").agg(F.max("k").alias("last"))
     ends = ends.select("part", F.lag("last").over(Window.orderBy("part")).alias("before"))  # a row for each part
-    end = ids.agg(F.max("k").alias("k"), F.max("rows").alias("rows")).first()
+    end = ids.agg(F.max("k").alias("k"), F.max("rows").alias("rows"), F.sum(F.col("n").cast("long") * F.col("rows")).alias("chars")).first()
     order = scratch.save(ids.join(F.broadcast(ends), "part").select(  # at most a row for each part of ids
         F.col("k").alias("d"), F.coalesce(F.lag("k").over(inside), "before", F.lit(end["k"] if end["k"] is not None else none)).alias("next"),
         F.floor(F.col("n") / 2).cast("int").alias("need"),
@@ -181,12 +246,14 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     repeated = (end["rows"] or 0) > 1
     if repeated:
         heads = heads.groupBy("d").agg(F.min_by("head", "turn").alias("head"))
-    both = rows.join(heads.select("d", "head"), F.col("k") == F.col("d"))
+    # A task sorts what is chosen of its k-mers, which is to fit its memory.
+    parts = (end["chars"] or 0) // PART + 1
+    both = rows.repartition(parts, "k").join(heads.select("d", "head").repartition(parts, "d"), F.col("k") == F.col("d"))
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.substring(F.col("head"), F.lit(1), F.floor(n / 2).cast("int")))
     out = both.select("k", "text", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("turn"), F.sha2(edited, 256).alias("edited_sha256"), edited.alias("edited"))
     # Signatures are made once, and only they travel from then on.
-    signed = signatures(out, "text", "edited", n - F.floor(n / 2).cast("int"), "sig", "edited_sig")
+    signed = signatures(out, "text", "edited", n - F.floor(n / 2).cast("int"), "sig", "edited_sig", by=("k",))
     signed = scratch.save(signed)
     nexts = signed.groupBy("k").agg(F.min_by("sig", "turn").alias("next_sig")) if repeated else signed.select("k", F.col("sig").alias("next_sig"))
     after = order.select("d", "next").join(nexts, F.col("next") == F.col("k")).select("d", "next_sig")
